@@ -35,38 +35,72 @@ def centroids(df: DataFrame, d: int | None = None) -> DataFrame:
     return df.groupBy("cluster").agg(F.count("*").alias("n"), F.array(*means).alias("center"), F.avg(norm).alias("square"))
 
 
+def _scattered(df: DataFrame) -> DataFrame:
+    """Per cluster: size, centre, mean distance and mean squared distance to the centre."""
+    to_center = squared_distance("x", "center")
+    return df.join(centroids(df), "cluster").groupBy("cluster").agg(
+        F.count("*").alias("n"), F.first("center").alias("center"),
+        F.avg(F.sqrt(to_center)).alias("scatter"), F.avg(to_center).alias("spread"),
+    )
+
+
+def _all_clusters(c: DataFrame) -> Column:
+    """The one-row-per-cluster table as an array, read by each cluster as a scalar subquery."""
+    return c.agg(F.collect_list(F.struct("cluster", "n", "center", "scatter", "spread"))).scalar()
+
+
 def davies_bouldin(df: DataFrame) -> DataFrame:
-    """Mean over clusters of the worst (scatter + scatter) / centre distance. Pairs are pairs of clusters."""
-    df = _clustered(df)
-    c = centroids(df)
-    scatter = df.join(F.broadcast(c), "cluster").groupBy("cluster").agg(
-        F.avg(F.sqrt(squared_distance("x", "center"))).alias("scatter"), F.first("center").alias("center")
+    """Mean over clusters of the worst (scatter + scatter) / centre distance."""
+    c = _scattered(_clustered(df))
+    others = F.filter(_all_clusters(c), lambda o: o["cluster"] != F.col("cluster"))
+    ratios = F.transform(
+        others,
+        lambda o: F.coalesce(
+            F.try_divide(F.col("scatter") + o["scatter"], F.sqrt(squared_distance(F.col("center"), o["center"]))), F.lit(0.0)
+        ),
     )
-    a, b = scatter.alias("a"), scatter.alias("b")
-    ratio = F.try_divide(F.col("a.scatter") + F.col("b.scatter"), F.sqrt(squared_distance("a.center", "b.center")))
-    worst = a.join(b, F.col("a.cluster") != F.col("b.cluster")).groupBy("a.cluster").agg(F.max(F.coalesce(ratio, F.lit(0.0))).alias("worst"))
-    return worst.agg(F.avg("worst").alias("davies_bouldin"))
+    return c.select(F.array_max(ratios).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def calinski_harabasz(df: DataFrame) -> DataFrame:
-    """Between over within sum of squares, each over its degrees of freedom; read from the centroid table."""
-    c = centroids(_clustered(df))
-    d = F.size("center")
-    total = F.sum("n")
-    grand = c.agg(total.alias("N"), F.count("*").alias("K"), F.collect_list(F.struct("n", "center", "square")).alias("parts"))
+    """Between over within sum of squares, each over its degrees of freedom; read from the per-cluster table."""
+    parts = F.col("parts")
+    one = _scattered(_clustered(df)).agg(
+        F.sum("n").alias("N"), F.count("*").alias("K"), F.sum(F.col("n") * F.col("spread")).alias("within"),
+        F.collect_list(F.struct("n", "center")).alias("parts"),
+    )
     mean = F.transform(
-        F.sequence(F.lit(0), F.size(F.col("parts")[0]["center"]) - 1),
-        lambda i: F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["n"] * F.get(p["center"], i)) / F.col("N"),
+        F.sequence(F.lit(0), F.size(parts[0]["center"]) - 1),
+        lambda i: F.aggregate(parts, F.lit(0.0), lambda s, p: s + p["n"] * F.get(p["center"], i)) / F.col("N"),
     )
-    between = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["n"] * squared_distance(p["center"], F.col("mean")))
-    total_ss = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["n"] * (p["square"] - _norm2(p["center"])))
-    out = grand.withColumn("mean", mean).select("N", "K", between.alias("between"), total_ss.alias("within"))
-    index = F.when(F.col("within") > 0, (F.col("between") / (F.col("K") - 1)) / (F.col("within") / (F.col("N") - F.col("K")))).otherwise(1.0)
-    return out.select(F.when(F.col("K") > 1, index).alias("calinski_harabasz"))
+    between = F.aggregate(parts, F.lit(0.0), lambda s, p: s + p["n"] * squared_distance(p["center"], F.col("mean")))
+    out = one.filter("K > 1").withColumn("mean", mean).select("N", "K", between.alias("between"), "within")
+    index = (F.col("between") / (F.col("K") - 1)) / (F.col("within") / (F.col("N") - F.col("K")))
+    return out.agg(F.max(F.when(F.col("within") > 0, index).otherwise(1.0)).alias("calinski_harabasz"))
+
 
+def silhouette_squared(df: DataFrame) -> DataFrame:
+    """Mean silhouette under squared Euclidean distance, exact and linear in the rows.
 
-def _norm2(v: Column) -> Column:
-    return F.aggregate(v, F.lit(0.0), lambda s, t: s + t * t)
+    The mean squared distance from x to a cluster is |x - centre|^2 + spread, so each row needs only
+    the per-cluster table. A cluster of one scores 0.
+    """
+    df = _clustered(df)
+    c = _scattered(df)
+    to = F.transform(
+        _all_clusters(c),
+        lambda o: F.struct(
+            o["cluster"].alias("cluster"), o["n"].alias("n"),
+            (squared_distance(F.col("x"), o["center"]) + o["spread"]).alias("mean"),
+        ),
+    )
+    rows = df.select("cluster", to.alias("to"))
+    own = F.filter("to", lambda t: t["cluster"] == F.col("cluster"))[0]
+    a = own["mean"] * own["n"] / (own["n"] - 1)
+    b = F.array_min(F.transform(F.filter("to", lambda t: t["cluster"] != F.col("cluster")), lambda t: t["mean"]))
+    rows = rows.select(own["n"].alias("n"), F.when(own["n"] > 1, a).alias("a"), b.alias("b"))
+    score = F.when(F.col("n") > 1, F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).otherwise(0.0)
+    return rows.filter("b is not null").agg(F.avg(score).alias("silhouette_squared"))
 
 
 def profile_clusters(features: DataFrame, segments: DataFrame) -> DataFrame:
