@@ -52,14 +52,14 @@ def _all_clusters(c: DataFrame) -> Column:
 def davies_bouldin(df: DataFrame) -> DataFrame:
     """Mean over clusters of the worst (scatter + scatter) / centre distance."""
     c = _scattered(_clustered(df))
-    others = F.filter(_all_clusters(c), lambda o: o["cluster"] != F.col("cluster"))
+    others = F.filter("everyone", lambda o: o["cluster"] != F.col("cluster"))
     ratios = F.transform(
         others,
         lambda o: F.coalesce(
             F.try_divide(F.col("scatter") + o["scatter"], F.sqrt(squared_distance(F.col("center"), o["center"]))), F.lit(0.0)
         ),
     )
-    return c.select(F.array_max(ratios).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+    return c.withColumn("everyone", _all_clusters(c)).select(F.array_max(ratios).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def calinski_harabasz(df: DataFrame) -> DataFrame:
@@ -88,13 +88,13 @@ def silhouette_squared(df: DataFrame) -> DataFrame:
     df = _clustered(df)
     c = _scattered(df)
     to = F.transform(
-        _all_clusters(c),
+        "everyone",
         lambda o: F.struct(
             o["cluster"].alias("cluster"), o["n"].alias("n"),
             (squared_distance(F.col("x"), o["center"]) + o["spread"]).alias("mean"),
         ),
     )
-    rows = df.select("cluster", to.alias("to"))
+    rows = df.withColumn("everyone", _all_clusters(c)).select("cluster", to.alias("to"))
     own = F.filter("to", lambda t: t["cluster"] == F.col("cluster"))[0]
     a = own["mean"] * own["n"] / (own["n"] - 1)
     b = F.array_min(F.transform(F.filter("to", lambda t: t["cluster"] != F.col("cluster")), lambda t: t["mean"]))
