@@ -16,32 +16,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_lines(spark: SparkSession, folder: str, item: str = "l_partkey") -> DataFrame:
+def raw_lines(spark: SparkSession, folder: str, item: str = "l_partkey", described: bool = True) -> DataFrame:
     """Lines in the raw retail schema. Returned lines carry a "C" invoice, as cancellations do.
 
     The joins to part and supplier are left joins on their unique keys, so they never change the line
-    count and AQE may broadcast whichever side proves small.
+    count and AQE may broadcast whichever side proves small. `described=False` leaves out what needs them.
     """
     line, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
-    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    nation = table(spark, folder, "nation")
-    supplier = table(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
-    columns = {"p_name", item} - set(line.columns)
-    if columns:
-        joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    joined = joined.join(supplier.select("s_suppkey", "n_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     cancelled = F.when(F.col("l_returnflag") == "R", "C").otherwise("")
-    return joined.select(
-        F.concat(cancelled, F.col("o_orderkey").cast("string")).alias("Invoice"),
-        F.col(item).cast("string").alias("StockCode"),
-        F.col("p_name").alias("Description"),
-        F.col("l_quantity").alias("Quantity"),
-        F.col("o_orderdate").alias("InvoiceDate"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("Price"),
-        F.col("o_custkey").cast("double").alias("Customer ID"),
-        F.col("n_name").alias("Country"),
-    )
+    columns = {
+        "Invoice": F.concat(cancelled, F.col("o_orderkey").cast("string")),
+        "StockCode": F.col(item if described else "l_partkey").cast("string"),
+        "Description": F.col("p_name"),
+        "Quantity": F.col("l_quantity"),
+        "InvoiceDate": F.col("o_orderdate"),
+        "Price": F.col("l_extendedprice") / F.col("l_quantity"),
+        "Customer ID": F.col("o_custkey").cast("double"),
+        "Country": F.col("n_name"),
+    }
+    if described:
+        part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+        nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+        supplier = table(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        joined = joined.join(supplier.select("s_suppkey", "n_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    else:
+        del columns["Description"], columns["Country"]
+    return joined.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
