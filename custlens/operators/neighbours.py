@@ -36,9 +36,11 @@ def _curve_position(x: Column, lows: list[float], highs: list[float]) -> Column:
     return code
 
 
-def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray]:
+def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray | None]:
     """Packed blocks (block, n, ids, xs flattened, payload arrays), written once, and their bounding boxes.
 
+    Points that fit one block stay lazy and have no boxes.
+
     The boxes array has one row [block, n, lows.., highs..] per block, so it is smaller than the data by
     the block size. The curve position is ranged together with the id, so copies cannot overfill a block.
     """
@@ -47,23 +49,17 @@ def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] =
     if n == 0:
         raise ValueError("no points")
     n_blocks = math.ceil(n / rows)
-    if n_blocks == 1:
-        placed = points.withColumn("block", F.lit(0))
-    else:
-        edges = points.agg(*[F.min(F.col("x")[j]).alias(f"l{j}") for j in range(d)], *[F.max(F.col("x")[j]).alias(f"h{j}") for j in range(d)]).first()
-        position = _curve_position(F.col("x"), [edges[f"l{j}"] for j in range(d)], [edges[f"h{j}"] for j in range(d)])
-        ranged = points.withColumn("_z", position).repartitionByRange(n_blocks, "_z", "id").drop("_z")
-        placed = materialize(ranged.withColumn("block", F.spark_partition_id()))
     members = F.array_sort(F.collect_list(F.struct("id", "x", *payload)))
-    packed = placed.groupBy("block").agg(
-        members.alias("m"),
-        *[F.min(F.col("x")[j]).alias(f"l{j}") for j in range(d)], *[F.max(F.col("x")[j]).alias(f"h{j}") for j in range(d)],
-    )
-    packed = materialize(packed.select(
-        "block", F.size("m").alias("n"), F.col("m.id").alias("ids"), F.flatten("m.x").alias("xs"),
-        *[F.col(f"m.{p}").alias(p) for p in payload],
-        F.array(*[F.col(f"l{j}") for j in range(d)]).alias("lows"), F.array(*[F.col(f"h{j}") for j in range(d)]).alias("highs"),
-    ))
+    columns = [F.size("m").alias("n"), F.col("m.id").alias("ids"), F.flatten("m.x").alias("xs"), *[F.col(f"m.{p}").alias(p) for p in payload]]
+    if n_blocks == 1:
+        return points.agg(members.alias("m")).select(F.lit(0).alias("block"), *columns), None
+    extent = [F.min(F.col("x")[j]).alias(f"l{j}") for j in range(d)] + [F.max(F.col("x")[j]).alias(f"h{j}") for j in range(d)]
+    edges = points.agg(*extent).first()
+    position = _curve_position(F.col("x"), [edges[f"l{j}"] for j in range(d)], [edges[f"h{j}"] for j in range(d)])
+    ranged = points.withColumn("_z", position).repartitionByRange(n_blocks, "_z", "id").drop("_z")
+    placed = materialize(ranged.withColumn("block", F.spark_partition_id()))
+    corners = [F.array(*[F.col(f"{e}{j}") for j in range(d)]).alias(n) for e, n in (("l", "lows"), ("h", "highs"))]
+    packed = materialize(placed.groupBy("block").agg(members.alias("m"), *extent).select("block", *columns, *corners))
     boxes = packed.select("block", "n", "lows", "highs").toPandas()
     table = np.column_stack([boxes["block"], boxes["n"], np.vstack(boxes["lows"]), np.vstack(boxes["highs"])]).astype(float)
     return packed.drop("lows", "highs"), table
@@ -144,7 +140,7 @@ def nearest(query: DataFrame, train: DataFrame, k: int, rows: int = BLOCK_ROWS)
     """
     same = Window.partitionBy("x").orderBy("id")
     train = train.select("id", "x").withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
-    asked = materialize(distinct_points(query.select("id", "x")))
+    asked = distinct_points(query.select("id", "x"))
     q_packed, q_boxes = blocks(asked.select("id", "x"), rows)
     t_packed, t_boxes = blocks(train, rows)
     found = _compare(query.sparkSession, q_packed, q_boxes, t_packed, t_boxes, k)
@@ -156,7 +152,12 @@ def nearest(query: DataFrame, train: DataFrame, k: int, rows: int = BLOCK_ROWS)
 
 
 def _compare(spark, q_packed, q_boxes, t_packed, t_boxes, k) -> DataFrame:
-    pairs = materialize(_candidate_pairs(spark, q_boxes, t_boxes, k))
+    if q_boxes is None or t_boxes is None:  # one side is a single block: it meets every block of the other
+        one, many = ("a", t_packed) if q_boxes is None else ("b", q_packed)
+        other = "b" if one == "a" else "a"
+        pairs = many.select(F.lit(0).cast("bigint").alias(one), F.col("block").cast("bigint").alias(other))
+    else:
+        pairs = materialize(_candidate_pairs(spark, q_boxes, t_boxes, k))
     q = q_packed.select(F.col("block").cast("bigint").alias("a"), F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"))
     t = t_packed.select(F.col("block").cast("bigint").alias("b"), F.col("ids").alias("t_ids"), F.col("xs").alias("t_xs"))
     joined = pairs.join(q, "a").join(t, "b").select("q_ids", "q_xs", "t_ids", "t_xs")
@@ -171,7 +172,7 @@ def k_distance(points: DataFrame, k: int = 4, rows: int = BLOCK_ROWS) -> DataFra
 
     Distinct points carry their number of copies, so a point with k copies has distance 0 at once.
     """
-    unique = materialize(distinct_points(points.select("id", "x")))
+    unique = distinct_points(points.select("id", "x"))
     packed, boxes = blocks(unique.select("id", "x"), rows)
     found = _compare(points.sparkSession, packed, boxes, packed, boxes, k)
     weight = unique.select(F.col("id").alias("neighbour"), "weight")
@@ -196,7 +197,7 @@ def silhouette(df: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     if sizes.limit(2).count() < 2:
         return none
     packed, boxes = blocks(unique.select("id", "x", "cluster", "weight"), rows, ("cluster", "weight"))
-    last = len(boxes) - 1
+    last = 0 if boxes is None else len(boxes) - 1
     number = Window.orderBy("block")  # one row per block
     packed = packed.withColumn("at", F.row_number().over(number) - 1)
     cols = ("ids", "xs", "cluster", "weight")
