@@ -211,16 +211,18 @@ def cross_validate(
 ) -> list[list[float]]:
     """AUC per candidate and fold. Encoder and oversampling are refitted once per fold and shared by all candidates."""
     folded = materialize(folds(train, k, seed))
-    out: list[list[float]] = [[] for _ in candidates]
-    for f in range(k):
+
+    def run(f: int) -> list[float]:
         data = prepare(folded.filter(F.col("fold") != f), columns, seed=seed)
         held = folded.filter(F.col("fold") == f)
-        with ThreadPool(parallelism) as pool:
+        with ThreadPool(min(parallelism, len(candidates))) as pool:
             scores = pool.map(lambda c: auc(fit(c[0], c[1], data, seed), held), candidates)
-        for values, s in zip(out, scores):
-            values.append(s)
         data.release()
-    return out
+        return scores
+
+    with ThreadPool(min(parallelism, k)) as pool:
+        by_fold = pool.map(run, range(k))
+    return [list(values) for values in zip(*by_fold)]
 
 
 LEADERBOARD = "Model string, CV_AUC_mean double, CV_AUC_std double, AUC double, F1 double, Precision double, Recall double, Accuracy double, best_params string"
@@ -268,27 +270,37 @@ def baselines(split: DataFrame, seed: int = config.SEED, trees: int = 200) -> Da
     constant = test.select(F.col(config.LABEL).alias("label"), F.lit(float(majority)).alias("score"), F.lit(majority).alias("pred"))
     everything = [*config.NUMERIC, config.COUNTRY]
     rows = [("MajorityClass", 1, scoring.metric_row(constant))]
-    for name, family, params, columns in [
-        ("RecencyOnly_LR", "LogisticRegression", {"C": 1.0}, ["Recency"]),
-        ("LR_without_Recency", "LogisticRegression", {"C": 1.0}, everything[1:]),
-        ("RandomForest_all", "RandomForest", {"trees": trees}, everything),
-    ]:
+    def run(spec: tuple) -> tuple:
+        name, family, params, columns = spec
         data = prepare(train, columns, seed=seed)
-        rows.append((name, len(columns), scoring.metric_row(materialize(fit(family, params, data, seed).scored(test)))))
+        metrics = scoring.metric_row(materialize(fit(family, params, data, seed).scored(test)))
         data.release()
+        return name, len(columns), metrics
+
+    with ThreadPool(3) as pool:
+        rows += pool.map(run, [
+            ("RecencyOnly_LR", "LogisticRegression", {"C": 1.0}, ["Recency"]),
+            ("LR_without_Recency", "LogisticRegression", {"C": 1.0}, everything[1:]),
+            ("RandomForest_all", "RandomForest", {"trees": trees}, everything),
+        ])
     out = [(n, c, *[m[x] for x in ("AUC", "F1", "Precision", "Recall", "Accuracy")]) for n, c, m in rows]
     return split.sparkSession.createDataFrame(out, f"Baseline string, n_features int, {METRICS}").orderBy(F.desc("AUC"), "Baseline")
 
 
-def ablation(split: DataFrame, groups: Mapping[str, Sequence[str]] = config.FEATURE_GROUPS, k: int = 5, seed: int = config.SEED) -> DataFrame:
+def ablation(split: DataFrame, groups: Mapping[str, Sequence[str]] = config.FEATURE_GROUPS, k: int = 5, seed: int = config.SEED, parallelism: int = 3) -> DataFrame:
     """One logistic regression per feature group: cross-validated and hold-out AUC."""
     train, test = split.filter("is_train"), split.filter("not is_train")
-    rows = []
-    for name, columns in groups.items():
+
+    def run(group: tuple[str, Sequence[str]]) -> tuple:
+        name, columns = group
         (values,) = cross_validate(train, [("LogisticRegression", {"C": 1.0})], k, columns, seed)
         data = prepare(train, columns, seed=seed)
-        rows.append((name, len(columns), float(np.mean(values)), float(np.std(values)), auc(fit("LogisticRegression", {"C": 1.0}, data, seed), test)))
+        test_auc = auc(fit("LogisticRegression", {"C": 1.0}, data, seed), test)
         data.release()
+        return name, len(columns), float(np.mean(values)), float(np.std(values)), test_auc
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(run, groups.items())
     return split.sparkSession.createDataFrame(rows, "FeatureGroup string, n_features int, CV_AUC_mean double, CV_AUC_std double, Test_AUC double")
 
 

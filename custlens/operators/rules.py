@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from custlens import config
 from custlens.operators.baskets import apriori, basket_sizes, fpgrowth, frequent_itemsets, long_baskets
+from custlens.runtime import materialize
 
 MEASURES = [
     "antecedent_support", "consequent_support", "support", "confidence", "lift", "representativity", "leverage",
@@ -133,11 +134,11 @@ def segment_rules(
     The segment is a grouping key through mining, so all segments share the same few jobs.
     """
     ids = segments.filter(F.col("cluster").isNotNull()).select("CustomerID", F.col("cluster").alias("_grp"))
-    long = long_baskets(lines.join(ids, "CustomerID"), item, F.col("_grp"))
+    long = materialize(long_baskets(lines.join(ids, "CustomerID"), item, F.col("_grp")))
     sizes = basket_sizes(long)
     enough = long.join(sizes.filter(F.col("n_baskets") >= min_invoices).select("grp"), "grp", "left_semi")
     rules = association_rules(apriori(enough, min_support), min_confidence, min_lift)
-    rules = top_rules_per_group(prune(rules), top)
+    rules = materialize(top_rules_per_group(prune(rules), top))
     found = rules.groupBy("grp").agg(F.count("*").alias("n_rules"))
     every = segments.filter(F.col("cluster").isNotNull()).select(F.col("cluster").alias("grp")).distinct()
     status = every.join(sizes, "grp", "left").join(found, "grp", "left").na.fill(0, ["n_baskets", "n_rules"])

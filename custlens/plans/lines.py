@@ -78,10 +78,18 @@ MONEY = {"Monetary": 4, "avg_basket_value": 4, "avg_basket_size": 6}
 FEATURES = '"CustomerID", "Recency", "Frequency", "Monetary", avg_basket_value, avg_basket_size, unique_products, "DominantCountry"'
 
 
-def clean_lines(spark: SparkSession, d: str, item: str = "l_partkey") -> DataFrame:
-    """Clip bounds need only quantity, price, invoice and id, so they are fitted on lines without the item joins."""
-    bounds = cleaning.winsor_bounds(star.raw_lines(spark, d, described=False))
-    return cleaning.clean(star.raw_lines(spark, d, item), bounds=bounds)
+def clip_bounds(spark: SparkSession, d: str) -> dict:
+    """Bounds need only quantity, price, invoice and id, so they are fitted on lines without the item joins."""
+    return cleaning.winsor_bounds(star.raw_lines(spark, d, described=False))
+
+
+def clean_lines(spark: SparkSession, d: str, item: str = "l_partkey", bounds: dict | None = None) -> DataFrame:
+    return cleaning.clean(star.raw_lines(spark, d, item), bounds=bounds or clip_bounds(spark, d))
+
+
+def basket_lines(spark: SparkSession, d: str, item: str) -> DataFrame:
+    """Clean lines for basket work, which reads no quantity or price: clipping is left out."""
+    return cleaning.clean(star.raw_lines(spark, d, item), q=None)
 
 
 def full_features(spark: SparkSession, d: str) -> DataFrame:
@@ -93,7 +101,8 @@ def pre_features(spark: SparkSession, d: str, lines: DataFrame | None = None) ->
 
 
 def labels(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
-    return customers.churn_labels(clean_lines(spark, d) if lines is None else lines, CUTOFF, WINDOW)
+    """Labels read only ids and dates, so unclipped lines do."""
+    return customers.churn_labels(basket_lines(spark, d, "l_partkey") if lines is None else lines, CUTOFF, WINDOW)
 
 
 def frame(spark: SparkSession, d: str) -> DataFrame:
@@ -160,7 +169,7 @@ SELECT 'raw' AS stage, count(*) AS n_lines, count(DISTINCT "Customer ID") AS n_c
 UNION ALL
 SELECT 'clean', count(*), count(DISTINCT "CustomerID"), count(DISTINCT "Invoice"), count(DISTINCT "StockCode"), count(DISTINCT "Country") FROM clean""")
 def _(spark, d):
-    return cleaning.raw_vs_clean(star.raw_lines(spark, d), clean_lines(spark, d))
+    return cleaning.raw_vs_clean(star.raw_lines(spark, d), basket_lines(spark, d, "l_partkey"))
 
 
 @register("null_counts", f"WITH {RAW_SQL}" + " UNION ALL ".join(
@@ -200,12 +209,12 @@ def _(spark, d):
 
 @register("product_variety", f"WITH {FULL_SQL} SELECT * FROM full_variety")
 def _(spark, d):
-    return customers.product_variety(clean_lines(spark, d))
+    return customers.product_variety(basket_lines(spark, d, "l_partkey"))
 
 
 @register("dominant_country", f"WITH {FULL_SQL} SELECT * FROM full_land")
 def _(spark, d):
-    return customers.dominant_country(clean_lines(spark, d))
+    return customers.dominant_country(basket_lines(spark, d, "l_partkey"))
 
 
 @register("customer_features", f"WITH {FULL_SQL} SELECT {FEATURES} FROM full_features", MONEY)

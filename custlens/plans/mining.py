@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens.operators import baskets, eda, rules
-from custlens.plans.lines import CLEAN_SQL, SEGMENT_SQL, clean_lines, given_segments
+from custlens.plans.lines import CLEAN_SQL, SEGMENT_SQL, basket_lines, given_segments
 from custlens.plans.registry import register
+from custlens.runtime import materialize
 
 SUPPORT, CONFIDENCE, LIFT = 0.02, 0.1, 0.7
 POPULAR = (0.11, 50)
@@ -58,11 +59,11 @@ def names_sql(side: str) -> str:
 
 
 def type_baskets(spark, d) -> DataFrame:
-    return baskets.long_baskets(clean_lines(spark, d, "p_type"))
+    return baskets.long_baskets(basket_lines(spark, d, "p_type"))
 
 
 def mined_rules(spark, d) -> DataFrame:
-    return rules.association_rules(baskets.apriori(type_baskets(spark, d), SUPPORT), CONFIDENCE, LIFT)
+    return rules.association_rules(baskets.apriori(materialize(type_baskets(spark, d)), SUPPORT), CONFIDENCE, LIFT)
 
 
 def as_text(df: DataFrame, *columns: str) -> DataFrame:
@@ -74,7 +75,7 @@ def as_text(df: DataFrame, *columns: str) -> DataFrame:
 WITH {CLEAN_SQL}, c AS (SELECT p_brand AS "StockCode", count(DISTINCT "Invoice") AS n_invoices FROM clean GROUP BY 1)
 SELECT * FROM c WHERE n_invoices >= greatest(50, floor(0.11 * (SELECT count(DISTINCT "Invoice") FROM clean)))""")
 def _(spark, d):
-    return baskets.popular_items(clean_lines(spark, d, "p_brand"), *POPULAR)
+    return baskets.popular_items(basket_lines(spark, d, "p_brand"), *POPULAR)
 
 
 @register("popular_lines", f"""
@@ -82,14 +83,14 @@ WITH {CLEAN_SQL}, c AS (SELECT p_brand AS "StockCode", count(DISTINCT "Invoice")
 p AS (SELECT * FROM c WHERE n_invoices >= greatest(50, floor(0.11 * (SELECT count(DISTINCT "Invoice") FROM clean))))
 SELECT p_brand AS "StockCode", count(*) AS n_lines, count(DISTINCT "Invoice") AS n_invoices FROM clean WHERE p_brand IN (SELECT "StockCode" FROM p) GROUP BY 1""")
 def _(spark, d):
-    lines = clean_lines(spark, d, "p_brand")
+    lines = basket_lines(spark, d, "p_brand")
     kept = baskets.keep_popular(lines, baskets.popular_items(lines, *POPULAR))
     return kept.groupBy("StockCode").agg(F.count("*").alias("n_lines"), F.count_distinct("Invoice").alias("n_invoices"))
 
 
 @register("baskets", f"""WITH {CLEAN_SQL} SELECT "Invoice", string_agg(it, '|' ORDER BY it) AS items FROM (SELECT DISTINCT "Invoice", p_type AS it FROM clean) GROUP BY 1""")
 def _(spark, d):
-    return as_text(baskets.baskets(clean_lines(spark, d, "p_type")), "items")
+    return as_text(baskets.baskets(basket_lines(spark, d, "p_type")), "items")
 
 
 @register("baskets_long", f"""WITH {CLEAN_SQL} SELECT DISTINCT 0 AS grp, "Invoice", p_type AS item FROM clean""")
@@ -112,12 +113,12 @@ ITEMSETS = f"WITH {ALL_SQL} SELECT items, freq, n_baskets, freq / n_baskets AS s
 
 @register("itemsets_apriori", ITEMSETS, {"support": 9})
 def _(spark, d):
-    return as_text(baskets.apriori(type_baskets(spark, d), SUPPORT), "items").drop("grp")
+    return as_text(baskets.apriori(materialize(type_baskets(spark, d)), SUPPORT), "items").drop("grp")
 
 
 @register("itemsets_fpgrowth", ITEMSETS, {"support": 9})
 def _(spark, d):
-    return as_text(baskets.fpgrowth(type_baskets(spark, d), SUPPORT), "items").drop("grp")
+    return as_text(baskets.fpgrowth(materialize(type_baskets(spark, d)), SUPPORT), "items").drop("grp")
 
 
 @register("rules_all_measures", f"WITH {ALL_SQL} SELECT * EXCLUDE (grp) FROM measured", MEASURES)
@@ -139,13 +140,13 @@ def _(spark, d):
 
 @register("code_descriptions", f"WITH {CLEAN_SQL}{DESCRIBE_SQL} SELECT * FROM described")
 def _(spark, d):
-    return rules.code_descriptions(clean_lines(spark, d, "p_type"))
+    return rules.code_descriptions(basket_lines(spark, d, "p_type"))
 
 
 @register("rule_descriptions", f"""
 WITH {ALL_SQL}{DESCRIBE_SQL} SELECT antecedents, consequents, {names_sql('antecedents')} AS antecedents_desc, {names_sql('consequents')} AS consequents_desc, lift FROM best""", {"lift": 9})
 def _(spark, d):
-    lines = clean_lines(spark, d, "p_type")
+    lines = basket_lines(spark, d, "p_type")
     named = rules.describe_rules(rules.prune(mined_rules(spark, d)), rules.code_descriptions(lines))
     return as_text(named, "antecedents", "consequents").select("antecedents", "consequents", "antecedents_desc", "consequents_desc", "lift")
 
@@ -157,7 +158,7 @@ def _(spark, d):
 
 
 def _by_segment(spark, d, min_invoices: int = 50):
-    return rules.segment_rules(clean_lines(spark, d, "p_type"), given_segments(spark, d), SUPPORT, CONFIDENCE, LIFT, min_invoices)
+    return rules.segment_rules(basket_lines(spark, d, "p_type"), given_segments(spark, d), SUPPORT, CONFIDENCE, LIFT, min_invoices)
 
 
 @register("segment_rules", f"""
@@ -174,7 +175,7 @@ SELECT grp AS cluster, n_baskets, CASE WHEN n_baskets < n THEN 0 ELSE n_rules EN
        CASE WHEN n_baskets < n THEN concat('only ', n_baskets, ' invoices (< ', n, ')') END AS skip_reason FROM total JOIN r USING (grp), big""")
 def _(spark, d):
     """The floor is set to the largest segment's invoices, so every other segment shows its reason."""
-    lines, segments = clean_lines(spark, d, "p_type"), given_segments(spark, d)
+    lines, segments = basket_lines(spark, d, "p_type"), given_segments(spark, d)
     sizes = lines.join(segments, "CustomerID").groupBy("cluster").agg(F.count_distinct("Invoice").alias("n"))
     floor = sizes.agg(F.max("n")).first()[0]
     return _by_segment(spark, d, floor)[1]
@@ -184,4 +185,4 @@ def _(spark, d):
 WITH {ALL_SQL} SELECT a AS algorithm, (SELECT count(*) FROM freq) AS n_itemsets, (SELECT count(*) FROM rule) AS n_rules, CAST(0 AS BIGINT) AS n_differences
 FROM (VALUES ('apriori'), ('fpgrowth')) AS t(a)""")
 def _(spark, d):
-    return rules.compare_miners(type_baskets(spark, d), SUPPORT, CONFIDENCE, LIFT).drop("runtime_s")
+    return rules.compare_miners(materialize(type_baskets(spark, d)), SUPPORT, CONFIDENCE, LIFT).drop("runtime_s")

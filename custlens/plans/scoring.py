@@ -12,7 +12,7 @@ from custlens.operators import anomaly, decisions, encoding, neighbours, quality
 from custlens.operators.cluster_metrics import as_points, profile_clusters
 from custlens.operators.eda import churn_overview, profile_minmax
 from custlens.plans.lines import (
-    AUC_SQL, CLEAN_SQL, FRAME_SQL, FULL_SQL, LABEL_SQL, PRE_SQL, SEGMENT_SQL, SPLIT_SQL, clean_lines, frame, full_features,
+    AUC_SQL, CLEAN_SQL, FRAME_SQL, FULL_SQL, LABEL_SQL, PRE_SQL, SEGMENT_SQL, SPLIT_SQL, basket_lines, clean_lines, frame, full_features,
     given_segments, labels, pre_features, split_frame, stored_frame,
 )
 from custlens.plans.mining import ALL_SQL, DESCRIBE_SQL, ORDER, mined_rules, names_sql
@@ -272,11 +272,10 @@ TABLE_DIGITS = {"Monetary": 4, "avg_basket_value": 4, "churn_probability": 9, "s
 
 
 def decision_inputs(spark, d) -> dict[str, DataFrame]:
-    """Stage tables of the decision flow; lines are cleaned once and features written once."""
-    lines = clean_lines(spark, d)
-    features, known = materialize(pre_features(spark, d, lines)), materialize(labels(spark, d, lines))
+    """Stage tables of the decision flow, each written once."""
+    features, known = materialize(pre_features(spark, d)), materialize(labels(spark, d))
     segments = given_segments(spark, d)
-    typed = clean_lines(spark, d, "p_type")
+    typed = basket_lines(spark, d, "p_type")
     named = rules.describe_rules(rules.top_rules(rules.prune(mined_rules(spark, d))), rules.code_descriptions(typed))
     return {
         "features": features, "labels": known, "segments": segments, "scores": decisions.scorecard_scores(features),
