@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from custlens.functions.strata import merge_intervals
+
 
 def exact_quantiles(
     df: DataFrame, wanted: dict[str, Sequence[float]], accuracy: int = 20_000
@@ -54,31 +56,34 @@ def exact_quantiles(
 
 
 def _ranks_within(df, targets, ids, counts, brackets) -> dict[tuple[int, int], float]:
-    """Values at the two ranks around each target, where the bracket (or its edge) holds them."""
-    parts, wanted_ranks = [], []
-    for i in ids:
-        c, q = targets[i]
-        low, high = (F.lit(float(b)) for b in brackets[i])
+    """Values at the two ranks around each target, where a bracket (or the edge of a gap) holds them.
+
+    Per column the brackets become disjoint intervals; zones alternate gap, interval, gap, .. A row's key
+    is its zone per column and its value only inside an interval, so nearly all rows fall into one group
+    and the pass is a plain aggregate with map-side combine.
+    """
+    columns = list(dict.fromkeys(targets[i][0] for i in ids))
+    keys, aggs, parts, ranks = [], [F.count("*").alias("n")], [], []
+    for j, c in enumerate(columns):
         v = F.col(c).cast("double")
-        zone = F.when(v < low, 0).when(v <= high, 1).when(v > high, 2)
-        parts.append(F.struct(F.lit(i).alias("i"), zone.alias("zone"), v.alias("v")))
-        position = q * (counts[c] - 1)
-        wanted_ranks += [(i, r) for r in {math.floor(position), math.ceil(position)}]
-    long = df.select(F.explode(F.array(*parts)).alias("t")).select("t.*").filter("zone is not null")
-    groups = long.groupBy("i", "zone", F.when(F.col("zone") == 1, F.col("v")).alias("inside")).agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    ordered = Window.partitionBy("i").orderBy("zone", "inside").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("r")) for i, r in wanted_ranks])
+        own = [i for i in ids if targets[i][0] == c]
+        zone = sum(((v >= F.lit(lo)).cast("int") + (v > F.lit(hi)).cast("int") for lo, hi in merge_intervals([float(b) for b in brackets[i]] for i in own)), F.lit(0))
+        keys += [zone.alias(f"z{j}"), F.when(zone % 2 == 1, v).alias(f"v{j}")]
+        aggs += [F.min(v).alias(f"lo{j}"), F.max(v).alias(f"hi{j}")]
+        parts.append(F.struct(F.lit(j).alias("j"), F.col(f"z{j}").alias("zone"), F.col(f"v{j}").alias("inside"), "n", F.col(f"lo{j}").alias("lo"), F.col(f"hi{j}").alias("hi")))
+        positions = {targets[i][1] * (counts[c] - 1) for i in own}
+        ranks += [(j, r) for r in {f(p) for p in positions for f in (math.floor, math.ceil)}]
+    groups = df.groupBy(*keys).agg(*aggs).select(F.explode(F.array(*parts)).alias("t")).select("t.*").filter("lo is not null")
+    groups = groups.groupBy("j", "zone", "inside").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ordered = Window.partitionBy("j").orderBy("zone", "inside").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(r).cast("bigint").alias("r")) for j, r in ranks])
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     covered = (
         groups.withColumn("upto", F.sum("n").over(ordered))
-        .withColumn("want", F.explode(F.filter(ranks, lambda w: w["i"] == F.col("i"))))
-        .withColumn("r", F.col("want.r"))
-        .filter(
-            ((F.col("zone") == 1) & (F.col("r") < F.col("upto")) & (F.col("r") >= F.col("upto") - F.col("n")))
-            | ((F.col("zone") == 0) & (F.col("r") == F.col("upto") - 1))
-            | ((F.col("zone") == 2) & (F.col("r") == F.col("upto") - F.col("n")))
-        )
-        .select("i", "r", F.when(F.col("zone") == 2, F.col("lo")).otherwise(F.col("hi")).alias("value"))
+        .withColumn("r", F.explode(F.transform(F.filter(wanted, lambda w: w["j"] == F.col("j")), lambda w: w["r"])))
+        .filter(F.when(F.col("zone") % 2 == 1, F.col("r").between(first, last)).otherwise((F.col("r") == first) | (F.col("r") == last)))
+        .select("j", "r", F.when(F.col("r") == first, F.col("lo")).otherwise(F.col("hi")).alias("value"))
     )
-    return {(t["i"], t["r"]): t["value"] for t in covered.collect()}
+    by_column = {(columns[t["j"]], t["r"]): t["value"] for t in covered.collect()}
+    return {(i, r): by_column[(targets[i][0], r)] for i in ids for _, r in ranks if (targets[i][0], r) in by_column}
+

@@ -17,6 +17,17 @@ def seeded_hash(seed: int, *cols: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+def merge_intervals(intervals) -> list[tuple[float, float]]:
+    """Sorted disjoint intervals that cover the given ones."""
+    out: list[list[float]] = []
+    for lo, hi in sorted(intervals):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out]
+
+
 def hash_strata(
     df: DataFrame, unique: str, label: str, shares: Sequence[float], seed: int, name: str = "stratum"
 ) -> DataFrame:
@@ -35,27 +46,28 @@ def hash_strata(
         todo = [w for w in wanted if (w[0], w[1]) not in cuts and w[2] > 0]
         if not todo:
             break
-        parts = []
-        for j, (c, _, k) in enumerate(todo):
-            n = sizes[c]
-            half = width * math.sqrt(n) + 2
-            low = max(0, int((k - half) / n * 2**HASH_BITS))
-            high = min(2**HASH_BITS, int((k + half) / n * 2**HASH_BITS))
-            zone = F.when(F.col(label) == F.lit(c), F.when(F.col("_h") < low, 0).when(F.col("_h") <= high, 1))
-            parts.append(F.struct(F.lit(j).alias("j"), zone.alias("zone")))
+        zone = F.lit(None).cast("int")
+        for c in {w[0] for w in todo}:
+            n, half = sizes[c], width * math.sqrt(sizes[c]) + 2
+            bands = [((k - half) / n, (k + half) / n) for cc, _, k in todo if cc == c]
+            bands = [(max(0, int(lo * 2**HASH_BITS)), min(2**HASH_BITS, int(hi * 2**HASH_BITS))) for lo, hi in merge_intervals(bands)]
+            here = sum(((F.col("_h") >= lo).cast("int") + (F.col("_h") > hi).cast("int") for lo, hi in bands), F.lit(0))
+            zone = F.when(F.col(label) == F.lit(c), here).otherwise(zone)
+        inside = F.col("_zone") % 2 == 1
         near = (
-            df.select(label, F.col(unique).alias("_id"), h.alias("_h"))
-            .select("_id", "_h", F.explode(F.array(*parts)).alias("t"))
-            .filter("t.zone is not null")
-            .select("t.j", "t.zone", F.when(F.col("t.zone") == 1, F.col("_id")).alias("_id"),
-                    F.when(F.col("t.zone") == 1, F.col("_h")).alias("_h"))
-            .groupBy("j", "zone", "_h", "_id").agg(F.count("*").alias("n"))
+            df.select(F.col(label).alias("_c"), F.col(unique).alias("_id"), h.alias("_h"), F.col(label))
+            .withColumn("_zone", zone).filter("_zone is not null")
+            .groupBy("_c", "_zone", F.when(inside, F.col("_h")).alias("_h"), F.when(inside, F.col("_id")).alias("_id")).agg(F.count("*").alias("n"))
         )
-        order = Window.partitionBy("j").orderBy("zone", "_h", "_id").rowsBetween(Window.unboundedPreceding, 0)
-        want = F.element_at(F.array(*[F.lit(w[2]) for w in todo]), F.col("j") + 1)
-        hits = near.withColumn("upto", F.sum("n").over(order)).filter((F.col("zone") == 1) & (F.col("upto") == want))
-        for r in hits.collect():
-            cuts[todo[r["j"]][:2]] = (r["_h"], r["_id"])
+        order = Window.partitionBy("_c").orderBy("_zone", "_h", "_id").rowsBetween(Window.unboundedPreceding, 0)
+        hit = F.lit(False)
+        for c, _, k in todo:
+            hit = hit | ((F.col("_c") == F.lit(c)) & (F.col("upto") == k))
+        hits = near.withColumn("upto", F.sum("n").over(order)).filter(inside & hit).collect()
+        for r in hits:
+            for c, i, k in todo:
+                if r["_c"] == c and r["upto"] == k:
+                    cuts[(c, i)] = (r["_h"], r["_id"])
         width *= 8
     stratum = F.lit(0)
     for c, i, k in wanted:
