@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
@@ -114,15 +115,24 @@ def _candidates(level: DataFrame, length: int) -> DataFrame:
 
 
 def fpgrowth(long: DataFrame, min_support: float = config.MIN_SUPPORT) -> DataFrame:
-    """The same table from MLlib's parallel FP-Growth, for one group."""
-    n = long.select("Invoice").distinct().count()
-    packed = long.groupBy("Invoice").agg(F.collect_set("item").alias("items"))
-    if n == 0:
-        return apriori(long, min_support)
-    mined = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(packed).freqItemsets
+    """The same table from MLlib's parallel FP-Growth, for one group.
+
+    Infrequent items are dropped before baskets are packed, so a basket is never longer than the list of
+    frequent items; the support is restated for the baskets that are left, with the same needed count.
+    """
+    sizes = basket_sizes(long)
+    n = (sizes.first() or {"n_baskets": 0})["n_baskets"]
+    need = max(1, math.ceil(min_support * n - 1e-9))
+    frequent = long.groupBy("item").agg(F.count("*").alias("freq")).filter(F.col("freq") >= need).select("item")
+    packed = long.join(frequent, "item", "left_semi").groupBy("Invoice").agg(F.collect_set("item").alias("items"))
+    left = packed.count()
+    if left == 0:
+        mined = packed.select("items", F.lit(0).cast("bigint").alias("freq"))
+    else:
+        mined = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / left, minConfidence=1.0).fit(packed).freqItemsets
     return mined.select(
         F.lit(0).alias("grp"), F.array_sort("items").alias("items"), "freq", F.lit(n).cast("bigint").alias("n_baskets"),
-        (F.col("freq") / F.lit(n)).alias("support"),
+        (F.col("freq") / F.lit(max(n, 1))).alias("support"),
     )
 
 

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens import config
-from custlens.operators import anomaly, attribution, cluster_metrics, dbscan, encoding, models, neighbours, segments
-from custlens.operators.decisions import flag_anomalies
+from custlens.operators import anomaly, attribution, cluster_metrics, dbscan, decisions, encoding, models, neighbours, rules, segments
+from custlens.operators.scoring import calibration_report
 from custlens.operators.smote import smote
-from custlens.plans.lines import MATRIX_SQL, full_features, pre_features, split_frame, stored_frame
+from custlens.plans.lines import MATRIX_SQL, basket_lines, full_features, labels, pre_features, split_frame, stored_frame
+from custlens.plans.mining import mined_rules
 from custlens.plans.registry import register
-from custlens.runtime import materialize
+from custlens.runtime import materialize, shared_folder
+from custlens.sources import model_store, runlog
 from custlens.sources.starschema import table
 
 
-def rfm_points(spark, d) -> DataFrame:
-    return segments.points_of(encoding.clustering_matrix(materialize(full_features(spark, d))))
+def rfm_points(spark, d, basis: str = "full_history") -> DataFrame:
+    """`pre_cutoff` keeps the label window out of the segments; `full_history` lets Recency see it."""
+    features = full_features(spark, d) if basis == "full_history" else pre_features(spark, d)
+    return segments.points_of(encoding.clustering_matrix(materialize(features)))
 
 
 def labelled_vectors(spark, d) -> DataFrame:
@@ -197,10 +204,65 @@ def _(spark, d):
 
 @register("churn_model_scores")
 def _(spark, d):
-    from custlens.operators.decisions import score_customers
-
+    """Scores of a pipeline that was saved and loaded again."""
     model, _ = one_model(spark, d, "LogisticRegression", {"C": 0.1})
-    return score_customers(pre_features(spark, d), model.pipeline, "LogisticRegression")
+    folder = f"{shared_folder(spark)}/custlens/{uuid.uuid4().hex}"
+    model_store.save_model(model.pipeline, folder, model.name)
+    return decisions.score_customers(pre_features(spark, d), model_store.load_model(folder, model.name), model.name)
+
+
+@register("model_metadata")
+def _(spark, d):
+    model, split = one_model(spark, d, "LogisticRegression", {"C": 0.1})
+    facts = split.agg(F.count("*").alias("n_customers"), F.avg(config.LABEL).alias("churn_rate"), F.sum(F.col("is_train").cast("int")).alias("n_train"))
+    fields = {**model.metadata(), **facts.first().asDict()}
+    return runlog.metric_rows(spark, fields, "run-1", datetime(2001, 1, 1)).select("metric", "value")
+
+
+@register("churn_by_fitted_segment")
+def _(spark, d):
+    """Churn per k-means segment on both bases: the full-history gap is inflated by what Recency has seen."""
+    known, rates = materialize(labels(spark, d)), []
+    for basis in ("full_history", "pre_cutoff"):
+        found, _ = segments.kmeans(rfm_points(spark, d, basis), restarts=3)
+        rate = decisions.churn_by_segment(known, found.select(F.col("id").alias(config.ID), "cluster"))
+        rates.append(rate.select(F.lit(basis).alias("basis"), "cluster", "n_customers", "churn_rate"))
+    return rates[0].unionByName(rates[1])
+
+
+@register("decision_table_fitted")
+def _(spark, d):
+    """The decision table from fitted parts: logistic scores, pre-cutoff k-means segments, reconstruction errors, mined rules."""
+    model, split = one_model(spark, d, "LogisticRegression", {"C": 0.1})
+    features, known = materialize(pre_features(spark, d)), materialize(labels(spark, d))
+    found, _ = segments.kmeans(rfm_points(spark, d, "pre_cutoff"), restarts=3)
+    found = materialize(found.select(F.col("id").alias(config.ID), "cluster"))
+    train = split.filter("is_train").select(config.ID)
+    rates = decisions.churn_by_segment(known.join(train, config.ID, "left_semi"), found)
+    errors = materialize(anomaly.reconstruction_errors(features, 4))
+    named = rules.describe_rules(rules.top_rules(rules.prune(mined_rules(spark, d))), rules.code_descriptions(basket_lines(spark, d, "p_type")))
+    return decisions.decision_table(
+        features, decisions.score_customers(features, model.pipeline, model.name), known, found, rates, decisions.flag_anomalies(errors),
+        named, "2001-01-01T00:00:00+00:00", train,
+    )
+
+
+@register("metric_snapshot")
+def _(spark, d):
+    """Headline numbers of one run as one row."""
+    frame = stored_frame(spark, d)
+    board, fitted, split = models.train_classical(frame, {"LogisticRegression": [{"C": 0.1}], "NaiveBayes": [{}]}, k=2)
+    network, _ = models.train_network(frame, steps=(30,))
+    test = split.filter("not is_train")
+    scored = {"LogisticRegression": materialize(fitted["LogisticRegression"].scored(test)), "MLP": materialize(network.scored(test))}
+    stable = segments.stability(rfm_points(spark, d, "pre_cutoff"), seeds=range(2), restarts=1)
+    log = runlog.metric_rows(spark, {
+        "seed": config.SEED, "n_customers_labelled": frame.count(), "churn_rate": frame.agg(F.avg(config.LABEL)).first()[0],
+    }, "run-1", datetime(2001, 1, 1))
+    return runlog.snapshot(
+        log, board, models.baselines(split, trees=20), models.comparison(scored),
+        calibration_report(scored["LogisticRegression"], "LogisticRegression"), stable, rules.prune(mined_rules(spark, d)),
+    )
 
 
 @register("forest_importance")
@@ -212,7 +274,7 @@ def _(spark, d):
 @register("pca_anomalies")
 def _(spark, d):
     errors = materialize(anomaly.reconstruction_errors(materialize(pre_features(spark, d)), 4))
-    return flag_anomalies(errors).orderBy(F.desc("reconstruction_error"), config.ID)
+    return decisions.flag_anomalies(errors).orderBy(F.desc("reconstruction_error"), config.ID)
 
 
 @register("anomaly_loss_curve")
@@ -224,3 +286,11 @@ def _(spark, d):
 def _(spark, d):
     model, split = one_model(spark, d, "RandomForest", {"trees": 40, "max_depth": 8, "min_leaf": 5})
     return attribution.ranked(attribution.shapley_values(model, split.filter("not is_train"), split.filter("is_train"), orders=4))
+
+
+@register("shapley_network")
+def _(spark, d):
+    network, _ = models.train_network(stored_frame(spark, d), steps=(30,))
+    split = split_frame(spark, d)
+    values = attribution.shapley_values(network, split.filter("not is_train"), split.filter("is_train"), orders=4, rows=80)
+    return attribution.ranked(values)
