@@ -141,14 +141,9 @@ def prepare(train: DataFrame, columns: Sequence[str] | None = None, oversample:
     coded = encoder.transform(train).select(F.col(config.ID).alias("id"), F.col(config.LABEL).alias("label"), vector_to_array("features").alias("x"))
     points = materialize(coded)
     rows = smote(points, seed=seed) if oversample else points.select("label", "x")
-    rows = rows.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = materialize(rows.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features")))
     n = rows.count()
-    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    if rows.rdd.getNumPartitions() > parts:
-        sized = rows.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-        sized.count()
-        rows.unpersist()
-        rows = sized
+    rows = rows.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(encoder, rows, points, n, len(encoder.slots))
 
 

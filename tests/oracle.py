@@ -1,4 +1,4 @@
-"""Compare registered queries with their SQL in DuckDB. Usage: python tests/oracle.py FOLDER [name ...]"""
+"""Compare registered queries with their SQL in DuckDB. Usage: python tests/oracle.py FOLDER [name ...], or `checked` for all that have SQL."""
 
 from __future__ import annotations
 
@@ -66,6 +66,8 @@ def main(folder: str, names: list[str]) -> int:
 
     spark, con = local_session(), connect(folder)
     queries, oracles, failed = entry.queries(), entry.oracle_sql(), 0
+    if names == ["checked"]:
+        names = list(oracles)
     for name in names or queries:
         start = time.time()
         try:
