@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, name: str = "custlens") -> SparkSession:
@@ -45,3 +48,20 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/custlens/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: executors need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="custlens-"), "custlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("custlens", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
