@@ -13,11 +13,11 @@ from custlens.llm.bpe import CHARS_AT_ONCE, batches_of_texts
 from custlens.runtime import ship_package
 
 
-def add_columns(df: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[list], list[pa.Array]], size: int = CHARS_AT_ONCE) -> DataFrame:
-    """Add `fields`, computed by `compute(texts)` for runs of rows that hold about `size` characters. Columns of the same names are replaced."""
+def add_columns(df: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[list], list[pa.Array]], size: int = CHARS_AT_ONCE, keep_text: bool = True) -> DataFrame:
+    """Add `fields`, computed by `compute(texts)` for runs of rows that hold about `size` characters. Columns of the same names are replaced, and the text goes unless `keep_text`."""
     ship_package(df.sparkSession)
-    new = {f.name.lower() for f in fields}
-    df = df.select("*", F.col(text).cast("string").alias("__text")).drop(*[c for c in df.columns if c.lower() in new])
+    new = {f.name.lower() for f in fields} | ({text.lower()} if not keep_text else set())
+    df = df.select("*", F.col(f"`{text}`").cast("string").alias("__text")).drop(*[c for c in df.columns if c.lower() in new])
     kept = [c for c in df.columns if c != "__text"]
     schema = T.StructType([f for f in df.schema.fields if f.name != "__text"] + list(fields))
 

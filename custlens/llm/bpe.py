@@ -127,18 +127,18 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @functools.cache
-def _hash_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random odd value per byte, and powers of a base and of its inverse modulo 2^64."""
-    base = 0x9E3779B97F4A7C15
+def _hash_tables(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15 + 2 * seed
     steps = [np.full(n + 1, b, np.uint64) for b in (base, pow(base, -1, 2**64))]
     for x in steps:
         x[0] = 1
     powers, inverse = (np.cumprod(x, dtype=np.uint64) for x in steps)
-    return np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1), powers, inverse
+    return np.random.default_rng(seed).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1), powers, inverse
 
 
-def hash_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _hash_tables(1 << max(20, n.bit_length()))
+def hash_tables(n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random odd value per byte, and the powers of a base and of its inverse modulo 2^64: the tables of a range hash of n bytes."""
+    return _hash_tables(1 << max(20, n.bit_length()), seed)
 
 
 @dataclass
@@ -216,30 +216,29 @@ def pre_tokens(voc: Vocabulary, texts: list[str | None]) -> Words:
     data = np.frombuffer(flat, np.uint8)
     special_ids = np.array(list(voc.special.values()), np.int64)
     plain = special < 0
-    table, powers, inverse = hash_tables(len(data))
-    with np.errstate(over="ignore"):
-        prefix = np.concatenate([[np.uint64(0)], np.cumsum(table[data] * powers[: len(data)])])
-        code = (prefix[hi] - prefix[lo]) * inverse[lo] + (hi - lo).astype(np.uint64)
-    code = code[plain]
-    _, rep, back = np.unique(code, return_index=True, return_inverse=True)
     plo, phi = lo[plain], hi[plain]
-    spans = list(zip(plo[rep].tolist(), phi[rep].tolist()))
-    distinct = [flat[a:b] for a, b in spans]
-    _confirm(data, plo, phi, plo[rep][back], phi[rep][back])
+    for seed in range(16):
+        table, powers, inverse = hash_tables(len(data), seed)
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * powers[: len(data)])])
+        _, rep, back = np.unique((prefix[phi] - prefix[plo]) * inverse[plo], return_index=True, return_inverse=True)
+        if _alike(data, plo, phi, plo[rep][back], phi[rep][back]):
+            break
+    else:
+        raise ArithmeticError("sixteen hash functions clashed on one batch")
+    distinct = [flat[a:b] for a, b in zip(plo[rep].tolist(), phi[rep].tolist())]
     word = np.empty(len(plain), np.int64)
     word[plain] = back
     word[~plain] = len(distinct) + special[~plain]
     return Words(distinct, word, doc, special_ids)
 
 
-def _confirm(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, rep_lo: np.ndarray, rep_hi: np.ndarray) -> None:
-    """Pre-tokens that got the same hash must have the same bytes."""
+def _alike(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, rep_lo: np.ndarray, rep_hi: np.ndarray) -> bool:
+    """Whether pre-tokens that got the same hash have the same bytes."""
     n = hi - lo
     if (n != rep_hi - rep_lo).any():
-        raise ArithmeticError("two pre-tokens share a 64-bit hash")
+        return False
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    if (data[inside + np.repeat(lo, n)] != data[inside + np.repeat(rep_lo, n)]).any():
-        raise ArithmeticError("two pre-tokens share a 64-bit hash")
+    return bool((data[inside + np.repeat(lo, n)] == data[inside + np.repeat(rep_lo, n)]).all())
 
 
 def first_symbols(voc: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

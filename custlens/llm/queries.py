@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, packing, token_counts
+from custlens.llm import bpe_codec, packing, quality_classifier, quality_rules, sharding, token_counts
+from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 TOKEN_LIMIT = 512
+SHARDS = 8
 
 
 def query(name: str, sql: str | None = None):
@@ -59,3 +61,28 @@ def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_boosted_quality")
+def op2_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    stats = materialize(quality_classifier.with_statistics(docs, keep_text=False))
+    model = quality_classifier.fit_on(stats, table(spark, folder, "labels"))
+    scored = quality_classifier.with_score(stats, model)
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= quality_classifier.ACCEPT).cast("int").alias("predicted"))
+
+
+@query("op4_risk_controlled_rules")
+def op4_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    stats = materialize(quality_rules.with_statistics(docs, keep_text=False))
+    judged = quality_rules.judge(stats, quality_rules.fit_cutoffs(stats, table(spark, folder, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_jump_sharding")
+def op7_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = sharding.assign(docs, "doc_id", SHARDS, ["text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
