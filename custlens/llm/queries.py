@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, packing, quality_classifier, quality_rules, sharding, token_counts
+from custlens.llm import bpe_codec, packing, quality_classifier, quality_rules, sharding, token_counts, vantage_tree
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 TOKEN_LIMIT = 512
 SHARDS = 8
+NEAREST = 5
+# Less than 1 prunes more than the triangle inequality allows.
+PRUNE_FACTOR = 0.9
 
 
 def query(name: str, sql: str | None = None):
@@ -86,3 +89,10 @@ def op7_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     placed = sharding.assign(docs, "doc_id", SHARDS, ["text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op9_vantage_trees")
+def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vantage_tree.usable(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    index = vantage_tree.build_index(rows, NEAREST)
+    return vantage_tree.neighbours(index, rows.where("id % 50 = 0"), NEAREST, PRUNE_FACTOR)
