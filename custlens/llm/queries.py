@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, packing, quality_classifier, quality_rules, sharding, token_counts, vantage_tree
+from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, token_counts, vantage_tree
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,9 @@ def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
     rows = vantage_tree.usable(table(spark, folder, "embeddings"), "vec_id", "embedding")
     index = vantage_tree.build_index(rows, NEAREST)
     return vantage_tree.neighbours(index, rows.where("id % 50 = 0"), NEAREST, PRUNE_FACTOR)
+
+
+@query("op6_order_minhash")
+def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = order_minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "text_id", "n_words")
