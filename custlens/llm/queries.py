@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, token_counts, vantage_tree
+from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,11 @@ def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = order_minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "text_id", "n_words")
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked = suffix_dedup.repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    cut = suffix_dedup.without_spans(marked)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", F.length("data").cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
