@@ -1,7 +1,76 @@
-"""Corpus pipeline."""
-STAGES = []
+"""Corpus pipeline: quality rules, quality classifier, near-duplicates, repeated strings, packing.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of `documents`. `run`
+writes each result to the shared folder and rereads it as the next stage's input. Labels are read from `sf_dir`; each stage
+fits on its own input. Rows with null ids, null or empty texts, and repeated rows pass through by the operators' own rules.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from custlens.llm import order_minhash, packing, quality_classifier, quality_rules, suffix_dedup
+from custlens.llm.queries import END_ID, WORD_BPE
+from custlens.runtime import materialize
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _with_whole_row(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns an operator needs, beside the row of `docs` in one column that no name can clash with."""
+    return docs.select(F.struct(*COLUMNS).alias("_document"), *needed)
+
+
+def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail no base rule and no certified cutoff."""
+    stats = materialize(quality_rules.with_statistics(_with_whole_row(docs, "doc_id", "lang", "text"), keep_text=False))
+    cutoffs = quality_rules.fit_cutoffs(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.judge(stats, cutoffs).where("kept").select("_document.*")
+
+
+def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is accepted."""
+    stats = materialize(quality_classifier.with_statistics(_with_whole_row(docs, "doc_id", "text"), keep_text=False))
+    model = quality_classifier.fit_on(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality_classifier.with_score(stats.select("_document", *quality_classifier.COUNTS), model)
+    return scored.where(F.col("score") >= quality_classifier.ACCEPT).select("_document.*")
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: that with the smallest id."""
+    found = order_minhash.near_duplicates(docs.select("doc_id", "text"))
+    return docs.select(*COLUMNS).join(found.where("id <> class_id").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+
+
+def repeated_strings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings that repeat; characters cut in part go whole."""
+    cut = suffix_dedup.without_spans(suffix_dedup.at_characters(suffix_dedup.repeated_spans(docs.select(*COLUMNS))))
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
+    n_chars = F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.withColumn("text", text).withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in training sequences."""
+    pieces = packing.pack(docs.select("doc_id", packing.document_parts().alias("parts")), WORD_BPE, END_ID)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality rules", quality_rules_stage),
+    ("quality classifier", quality_classifier_stage),
+    ("near duplicates", near_duplicates_stage),
+    ("repeated strings", repeated_strings_stage),
+    ("packing", packing_stage),
+]
+
+# SQL cannot express boosted trees, alignment or a tokenizer: tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return docs

@@ -274,3 +274,16 @@ def without_spans(df: DataFrame, out: str = "kept") -> DataFrame:
     edges = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), "spans", F.array(F.struct(F.length("data").cast("long").alias("start"), F.length("data").cast("long").alias("end"))))
     gaps = F.transform(F.sequence(F.lit(1), F.size("spans") + 1), lambda i: F.hex(F.substring(F.col("data"), (F.element_at("_edges", i)["end"] + 1).cast("int"), (F.element_at("_edges", i + 1)["start"] - F.element_at("_edges", i)["end"]).cast("int"))))
     return df.withColumn("_edges", edges).withColumn(out, F.when(F.size("spans") == 0, F.col("data")).otherwise(F.unhex(F.array_join(gaps, "")))).drop("_edges")
+
+
+def at_characters(df: DataFrame) -> DataFrame:
+    """`df` of `repeated_spans` with spans widened to whole characters, so that what remains is valid UTF-8."""
+    inside = lambda place: F.hex(F.substring(F.col("data"), (place + 1).cast("int"), F.lit(1))).between("80", "BF")
+
+    def lower(s):
+        return F.when(~inside(s), s).when(~inside(s - 1), s - 1).when(~inside(s - 2), s - 2).otherwise(s - 3)
+
+    def upper(e):
+        return F.when(~inside(e), e).when(~inside(e + 1), e + 1).when(~inside(e + 2), e + 2).otherwise(e + 3)
+
+    return df.withColumn("spans", F.transform("spans", lambda s: F.struct(lower(s["start"]).alias("start"), upper(s["end"]).alias("end"))))
