@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree
+from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,39 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup.without_spans(marked)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return cut.select("doc_id", F.length("data").cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _mark(salt: str):
+    """A number below 65536 from the page's address: which records of the second replica are damaged."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.coalesce("url", F.lit(""))).cast("binary")), 1, 4), 16, 10).cast("int")
+
+
+@query(
+    "op3_merkle_fixity",
+    """
+    WITH r AS (
+      SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+        CAST('0x' || substr(md5('lost' || coalesce(url, '')), 1, 4) AS INTEGER) % 199 = 7 AS lost,
+        CAST('0x' || substr(md5('bits' || coalesce(url, '')), 1, 4) AS INTEGER) % 97 = 7 AS flipped
+      FROM pages
+    ), w AS (
+      SELECT *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: '
+        || CAST(strlen(html) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS rec FROM r
+    ), s AS (
+      SELECT page_id, lost, flipped, sha256(rec) AS first_sha256, sha256(left(rec, length(rec) - 1) || '?') AS flipped_sha256, CAST(strlen(rec) AS BIGINT) AS record_length,
+        CAST(sum(strlen(rec)) OVER (ORDER BY page_id NULLS FIRST, sha256(rec) ROWS UNBOUNDED PRECEDING) AS BIGINT) - CAST(strlen(rec) AS BIGINT) AS record_offset FROM w
+    )
+    SELECT page_id, record_offset, record_length, CASE WHEN lost THEN 'lost' ELSE 'changed' END AS damage, first_sha256, CASE WHEN lost THEN NULL ELSE flipped_sha256 END AS second_sha256
+    FROM s WHERE lost OR flipped
+    """,
+)
+def op3_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """A second replica of the archived pages lacks some records and has the last byte of others changed; the audit finds them."""
+    pages = table(spark, folder, "pages").select("page_id", warc_fixity.record(F.col("url"), F.col("html")).alias("record"), _mark("lost").alias("lost"), _mark("bits").alias("bits"))
+    changed = F.concat(F.expr("left(record, length(record) - 1)"), F.lit("?"))
+    replica = F.when(F.col("lost") % 199 == 7, None).when(F.col("bits") % 97 == 7, changed).otherwise(F.col("record"))
+    hashed = pages.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("first_sha256"), F.sha2(replica, 256).alias("second_sha256"))
+    placed = materialize(warc_fixity.lay_out(materialize(hashed), ["page_id", "first_sha256"]))
+    trees = [warc_fixity.build_tree(placed.select("offset", "length", F.col(c).alias("hash")).where("hash is not null")) for c in ("first_sha256", "second_sha256")]
+    found = warc_fixity.audit(*trees)
+    return placed.join(found, "offset").select("page_id", F.col("offset").alias("record_offset"), F.col("length").alias("record_length"), "damage", "first_sha256", "second_sha256")
