@@ -33,11 +33,15 @@ def hash_strata(
 ) -> DataFrame:
     """Number each row by how many cut points lie below it; cut i keeps floor(share_i * n) rows of each class.
 
-    A window ordered by hash would put a whole class into one task. The hash is uniform, so the cut
+    `unique` must be without NULLs and repeats, and `label` without NULLs, else ValueError: a cut between equal ids is not
+    defined. A window ordered by hash would put a whole class into one task. The hash is uniform, so the cut
     row lies in a narrow band known in advance; one pass counts below the band and looks only inside
     it, and a band that misses is widened. Rows are then labelled by comparison alone, with no shuffle.
     """
     h = seeded_hash(seed, unique)
+    keys = df.groupBy(unique).agg(F.count("*").alias("n"), F.count(label).alias("labels"))
+    if not keys.filter(F.col(unique).isNull() | (F.col("n") > 1) | (F.col("labels") < 1)).isEmpty():
+        raise ValueError(f"{unique} must be unique and not NULL, and {label} not NULL")
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
     wanted = [(c, i, math.floor(s * n + 1e-9)) for c, n in sizes.items() for i, s in enumerate(shares)]
     cuts: dict[tuple, tuple[int, int]] = {}
@@ -68,6 +72,8 @@ def hash_strata(
             for c, i, k in todo:
                 if r["_c"] == c and r["upto"] == k:
                     cuts[(c, i)] = (r["_h"], r["_id"])
+        if width > 2**HASH_BITS:
+            raise ArithmeticError("no cut was found")
         width *= 8
     stratum = F.lit(0)
     for c, i, k in wanted:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens import config
+from custlens.functions.ordering import global_rank
 from custlens.runtime import materialize
 
 
@@ -40,13 +41,14 @@ def baskets(lines: DataFrame, item: str = "StockCode") -> DataFrame:
     return long_baskets(lines, item).groupBy("Invoice").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def encode_wide(long: DataFrame, max_items: int = 1000) -> DataFrame:
-    """Boolean column per item, for small item sets; mining itself never needs it."""
-    items = [r["item"] for r in long.select("item").distinct().orderBy("item").limit(max_items + 1).collect()]
-    if len(items) > max_items:
-        raise ValueError(f"more than {max_items} items: use the long form")
-    flags = [F.max((F.col("item") == i).cast("int")).cast("boolean").alias(i) for i in items]
-    return long.groupBy("Invoice").agg(*flags)
+def item_index(long: DataFrame) -> DataFrame:
+    """(item, slot): items in alphabetical order, numbered from 0."""
+    return global_rank(long.select("item").distinct(), [F.asc("item")], "_r").select("item", (F.col("_r") - 1).alias("slot"))
+
+
+def encode(long: DataFrame, index: DataFrame) -> DataFrame:
+    """One-hot baskets in sparse form: (grp, Invoice, slots), the sorted slots that are 1. No limit on the catalogue."""
+    return long.join(index, "item").groupBy("grp", "Invoice").agg(F.array_sort(F.collect_set("slot")).alias("slots"))
 
 
 def basket_sizes(long: DataFrame) -> DataFrame:
@@ -115,13 +117,18 @@ def _candidates(level: DataFrame, length: int) -> DataFrame:
 
 
 def fpgrowth(long: DataFrame, min_support: float = config.MIN_SUPPORT) -> DataFrame:
-    """The same table from MLlib's parallel FP-Growth, for one group.
+    """The same table from MLlib's parallel FP-Growth, run once per group (groups are few: segments).
 
     Infrequent items are dropped before baskets are packed, so a basket is never longer than the list of
     frequent items; the support is restated for the baskets that are left, with the same needed count.
     """
-    sizes = basket_sizes(long)
-    n = (sizes.first() or {"n_baskets": 0})["n_baskets"]
+    groups = basket_sizes(long).collect()
+    if not groups:
+        return _mined(long, long.schema["grp"].dataType, None, 0, min_support)
+    return reduce(DataFrame.unionByName, [_mined(long.filter(F.col("grp").eqNullSafe(F.lit(r["grp"]))), long.schema["grp"].dataType, r["grp"], r["n_baskets"], min_support) for r in groups])
+
+
+def _mined(long: DataFrame, kind, group, n: int, min_support: float) -> DataFrame:
     need = max(1, math.ceil(min_support * n - 1e-9))
     frequent = long.groupBy("item").agg(F.count("*").alias("freq")).filter(F.col("freq") >= need).select("item")
     packed = long.join(frequent, "item", "left_semi").groupBy("Invoice").agg(F.collect_set("item").alias("items"))
@@ -131,7 +138,7 @@ def fpgrowth(long: DataFrame, min_support: float = config.MIN_SUPPORT) -> DataFr
     else:
         mined = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / left, minConfidence=1.0).fit(packed).freqItemsets
     return mined.select(
-        F.lit(0).alias("grp"), F.array_sort("items").alias("items"), "freq", F.lit(n).cast("bigint").alias("n_baskets"),
+        F.lit(group).cast(kind).alias("grp"), F.array_sort("items").alias("items"), "freq", F.lit(n).cast("bigint").alias("n_baskets"),
         (F.col("freq") / F.lit(max(n, 1))).alias("support"),
     )
 

@@ -108,12 +108,12 @@ def score_customers(features: DataFrame, model, name: str = "") -> DataFrame:
     """Probability, prediction at 0.5, tier and model name from a fitted binary probabilistic model."""
     scored = model.transform(features)
     if "probability" not in scored.columns:
-        raise TypeError("risk tiers need a model that gives probabilities")
+        raise TypeError(f"no probability column in the output of {name or type(model).__name__}")
     p = vector_to_array("probability")
     scored = scored.select(config.ID, p.alias("p"))
     width = scored.select(F.size("p").alias("k")).first()
     if width and width["k"] != 2:
-        raise ValueError(f"expected a binary classifier, got {width['k']} classes")
+        raise ValueError(f"two class probabilities are needed per customer, found {width['k']}")
     return churn_scores(scored.select(config.ID, F.col("p")[1].alias("churn_probability")), name)
 
 

@@ -143,7 +143,7 @@ def prepare(train: DataFrame, columns: Sequence[str] | None = None, oversample:
     rows = smote(points, seed=seed) if oversample else points.select("label", "x")
     rows = materialize(rows.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features")))
     n = rows.count()
-    rows = rows.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(encoder, rows, points, n, len(encoder.slots))
 
 

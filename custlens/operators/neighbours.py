@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custlens.runtime import materialize
+from custlens.runtime import materialize, ship_package
 
 BLOCK_ROWS = 2048
 CURVE_DIMENSIONS = 6
@@ -36,11 +36,9 @@ def _curve_position(x: Column, lows: list[float], highs: list[float]) -> Column:
     return code
 
 
-def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray | None]:
+def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray]:
     """Packed blocks (block, n, ids, xs flattened, payload arrays), written once, and their bounding boxes.
 
-    Points that fit one block stay lazy and have no boxes.
-
     The boxes array has one row [block, n, lows.., highs..] per block, so it is smaller than the data by
     the block size. The curve position is ranged together with the id, so copies cannot overfill a block.
     """
@@ -51,8 +49,6 @@ def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] =
     n_blocks = math.ceil(n / rows)
     members = F.array_sort(F.collect_list(F.struct("id", "x", *payload)))
     columns = [F.size("m").alias("n"), F.col("m.id").alias("ids"), F.flatten("m.x").alias("xs"), *[F.col(f"m.{p}").alias(p) for p in payload]]
-    if n_blocks == 1:
-        return points.agg(members.alias("m")).select(F.lit(0).alias("block"), *columns), None
     extent = [F.min(F.col("x")[j]).alias(f"l{j}") for j in range(d)] + [F.max(F.col("x")[j]).alias(f"h{j}") for j in range(d)]
     edges = points.agg(*extent).first()
     position = _curve_position(F.col("x"), [edges[f"l{j}"] for j in range(d)], [edges[f"h{j}"] for j in range(d)])
@@ -152,12 +148,8 @@ def nearest(query: DataFrame, train: DataFrame, k: int, rows: int = BLOCK_ROWS)
 
 
 def _compare(spark, q_packed, q_boxes, t_packed, t_boxes, k) -> DataFrame:
-    if q_boxes is None or t_boxes is None:  # one side is a single block: it meets every block of the other
-        one, many = ("a", t_packed) if q_boxes is None else ("b", q_packed)
-        other = "b" if one == "a" else "a"
-        pairs = many.select(F.lit(0).cast("bigint").alias(one), F.col("block").cast("bigint").alias(other))
-    else:
-        pairs = materialize(_candidate_pairs(spark, q_boxes, t_boxes, k))
+    ship_package(spark)
+    pairs = materialize(_candidate_pairs(spark, q_boxes, t_boxes, k))
     q = q_packed.select(F.col("block").cast("bigint").alias("a"), F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"))
     t = t_packed.select(F.col("block").cast("bigint").alias("b"), F.col("ids").alias("t_ids"), F.col("xs").alias("t_xs"))
     joined = pairs.join(q, "a").join(t, "b").select("q_ids", "q_xs", "t_ids", "t_xs")
@@ -197,9 +189,9 @@ def silhouette(df: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     if sizes.limit(2).count() < 2:
         return none
     packed, boxes = blocks(unique.select("id", "x", "cluster", "weight"), rows, ("cluster", "weight"))
-    last = 0 if boxes is None else len(boxes) - 1
-    number = Window.orderBy("block")  # one row per block
-    packed = packed.withColumn("at", F.row_number().over(number) - 1)
+    ship_package(df.sparkSession)
+    last = int(boxes[:, 0].max())
+    packed = packed.withColumn("at", F.col("block"))
     cols = ("ids", "xs", "cluster", "weight")
     left = packed.select("at", F.explode(F.sequence("at", F.lit(last))).alias("other"), *[F.col(c).alias(f"l_{c}") for c in cols])
     right = packed.select(F.col("at").alias("other"), *[F.col(c).alias(f"r_{c}") for c in cols])

@@ -89,8 +89,12 @@ def code_descriptions(lines: DataFrame, item: str = "StockCode") -> DataFrame:
 
 
 def describe_rules(rules: DataFrame, descriptions: DataFrame, width: int = config.DESCRIPTION_WIDTH) -> DataFrame:
-    """Readable names of both sides: distinct, cut to `width`, sorted, comma-joined; unknown codes stay codes."""
-    key = F.struct("grp", "antecedents", "consequents")
+    """Readable names of both sides: distinct, cut to `width`, sorted, comma-joined; unknown codes stay codes.
+
+    Takes rules of baskets (`grp`) and of segments (`cluster`).
+    """
+    group = "grp" if "grp" in rules.columns else "cluster"
+    key = F.struct(group, "antecedents", "consequents")
     long = rules.select(
         key.alias("key"),
         F.explode(F.concat(
@@ -105,7 +109,7 @@ def describe_rules(rules: DataFrame, descriptions: DataFrame, width: int = confi
 
     texts = named.groupBy("key").agg(text("a").alias("antecedents_desc"), text("c").alias("consequents_desc"))
     texts = texts.select("key.*", "antecedents_desc", "consequents_desc")
-    return rules.join(texts, ["grp", "antecedents", "consequents"])
+    return rules.join(texts, [group, "antecedents", "consequents"])
 
 
 def mine_rules(
@@ -142,8 +146,8 @@ def segment_rules(
     found = rules.groupBy("grp").agg(F.count("*").alias("n_rules"))
     every = segments.filter(F.col("cluster").isNotNull()).select(F.col("cluster").alias("grp")).distinct()
     status = every.join(sizes, "grp", "left").join(found, "grp", "left").na.fill(0, ["n_baskets", "n_rules"])
-    few = F.concat(F.lit("only "), F.col("n_baskets").cast("string"), F.lit(f" invoices (< {min_invoices})"))
-    none = F.lit(f"no rules at support>={min_support}, lift>={min_lift}")
+    few = F.concat(F.lit("too few invoices: "), F.col("n_baskets").cast("string"), F.lit(f" of {min_invoices}"))
+    none = F.lit(f"nothing reaches support {min_support} and lift {min_lift}")
     reason = F.when(F.col("n_baskets") < min_invoices, few).when(F.col("n_rules") == 0, none)
     return rules.withColumnRenamed("grp", "cluster"), status.select(
         F.col("grp").alias("cluster"), "n_baskets", "n_rules", reason.alias("skip_reason")

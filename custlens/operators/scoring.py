@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from custlens import config
 from custlens.functions.quantiles import exact_quantiles
+from custlens.runtime import materialize
 
 ROWS_PER_BUCKET = 500_000
 
@@ -25,30 +26,23 @@ def _per_score(scored: DataFrame) -> DataFrame:
 def running_counts(scored: DataFrame, descending: bool) -> DataFrame:
     """(score, pos, neg, pos_upto, neg_upto) in score order.
 
-    Few distinct scores use one window. Many are cut into score ranges of about `ROWS_PER_BUCKET`;
-    each range has its own window and adds the totals of the ranges before it, one row per range.
+    Distinct scores are written once and cut into score ranges of at most about `ROWS_PER_BUCKET`; each range
+    has its own window and adds the totals of the ranges before it, one row per range.
     """
-    per_score = _per_score(scored)
-    n = per_score.count()
-    buckets = math.ceil(n / ROWS_PER_BUCKET)
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = per_score.agg(F.percentile_approx("score", probs, 20 * buckets)).first()[0]
-        splits = [-math.inf, *sorted(set(cuts)), math.inf]
-        per_score = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
-    else:
-        per_score = per_score.withColumn("bucket", F.lit(0.0))
+    per_score = materialize(_per_score(scored))
+    buckets = 1 + math.ceil(per_score.count() / ROWS_PER_BUCKET)
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = per_score.agg(F.percentile_approx("score", probs, 20 * buckets)).first()[0] or [0.0]
+    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    per_score = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
     order = F.desc if descending else F.asc
     inside = Window.partitionBy("bucket").orderBy(order("score")).rowsBetween(Window.unboundedPreceding, 0)
     out = per_score.withColumns({f"{c}_upto": F.sum(c).over(inside) for c in ("pos", "neg")})
-    if buckets > 1:
-        earlier = Window.orderBy(order("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-        totals = per_score.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
-        totals = totals.select(
-            "bucket", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("p", "q")]
-        )
-        out = out.join(totals, "bucket")
-        out = out.withColumns({"pos_upto": F.col("pos_upto") + F.col("p_before"), "neg_upto": F.col("neg_upto") + F.col("q_before")})
+    earlier = Window.orderBy(order("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = per_score.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    totals = totals.select("bucket", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("p", "q")])
+    out = out.join(totals, "bucket")
+    out = out.withColumns({"pos_upto": F.col("pos_upto") + F.col("p_before"), "neg_upto": F.col("neg_upto") + F.col("q_before")})
     return out.select("score", "pos", "neg", "pos_upto", "neg_upto")
 
 

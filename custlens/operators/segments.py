@@ -78,19 +78,18 @@ def best_k(sweep: DataFrame) -> int:
 
 
 def stability(points: DataFrame, k: int = 2, seeds: Sequence[int] = range(10), restarts: int = RESTARTS, measure: str = "squared") -> DataFrame:
-    """Silhouette, size variation and sorted sizes per seed, then a SUMMARY row with means and the silhouette's std."""
+    """Silhouette, size variation and sorted sizes per seed; the row without a seed has the means over seeds and, in `silhouette_std`, the spread."""
     def run(seed: int):
         labelled, _ = kmeans(points, k, seed, restarts)
         sizes = sorted((r["n"] for r in labelled.groupBy("cluster").agg(F.count("*").alias("n")).collect()), reverse=True)
         sizes += [0] * (k - len(sizes))
-        return seed, silhouette_of(labelled, measure), float(np.std(sizes) / np.mean(sizes)), ",".join(map(str, sizes))
+        return seed, silhouette_of(labelled, measure), float(np.std(sizes) / np.mean(sizes)), sizes
 
     with ThreadPool(4) as pool:
         rows = pool.map(run, seeds)
     sil, cv = [r[1] for r in rows], [r[2] for r in rows]
-    out = [(str(s), a, b, c) for s, a, b, c in rows]
-    out.append(("SUMMARY", float(np.mean(sil)), float(np.mean(cv)), f"silhouette_std={np.std(sil):.4f}"))
-    return points.sparkSession.createDataFrame(out, "seed string, silhouette double, size_cv double, cluster_sizes string")
+    out = [(*r, None) for r in rows] + [(None, float(np.mean(sil)), float(np.mean(cv)), None, float(np.std(sil)))]
+    return points.sparkSession.createDataFrame(out, "seed int, silhouette double, size_cv double, cluster_sizes array<bigint>, silhouette_std double")
 
 
 def eps_heuristic(points: DataFrame, k: int = 4, q: float = 0.92) -> float:

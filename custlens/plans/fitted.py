@@ -42,7 +42,7 @@ SELECT avg(CASE WHEN size > 1 THEN (b - a) / greatest(a, b) ELSE 0.0 END) AS {na
 
 @register("silhouette_exact", SILHOUETTE_SQL.format(v=VECTOR_SQL, dist=DISTANCE, name="silhouette"), {"silhouette": 9})
 def _(spark, d):
-    return neighbours.silhouette(labelled_vectors(spark, d))
+    return neighbours.silhouette(labelled_vectors(spark, d), rows=256)
 
 
 @register("silhouette_squared", SILHOUETTE_SQL.format(v=VECTOR_SQL, dist=f"{DISTANCE} * {DISTANCE}", name="silhouette_squared"), {"silhouette_squared": 9})
@@ -80,7 +80,7 @@ pd AS (SELECT p.id, q.id AS other, sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b)
 @register("k_distance", f"""
 WITH {POINT_SQL} SELECT id, dist AS k_distance FROM (SELECT id, dist, row_number() OVER (PARTITION BY id ORDER BY dist) AS r FROM pd) WHERE r = 4""", {"k_distance": 8})
 def _(spark, d):
-    return neighbours.k_distance(rfm_points(spark, d), 4)
+    return neighbours.k_distance(rfm_points(spark, d), 4, rows=256)
 
 
 @register("eps_heuristic", f"""
@@ -113,12 +113,12 @@ def _(spark, d):
 
 @register("k_sweep")
 def _(spark, d):
-    return segments.k_sweep(rfm_points(spark, d), restarts=3)
+    return segments.k_sweep(rfm_points(spark, d))
 
 
 @register("cluster_stability")
 def _(spark, d):
-    return segments.stability(rfm_points(spark, d), restarts=2)
+    return segments.stability(rfm_points(spark, d))
 
 
 @register("ward_segments")
@@ -135,7 +135,7 @@ def _(spark, d):
 
 @register("clustering_validation")
 def _(spark, d):
-    return segments.validation_table(rfm_points(spark, d), restarts=3)[0]
+    return segments.validation_table(rfm_points(spark, d))[0]
 
 
 @register("pca_2d")
@@ -153,39 +153,46 @@ def _(spark, d):
     return smote(materialize(points)).groupBy("label").agg(F.count("*").alias("n"))
 
 
-# One candidate per family keeps the registered run short; `models.GRIDS` holds the full search.
-SHORT_GRIDS = {
-    "LogisticRegression": [{"C": 0.1}, {"C": 1.0}],
-    "DecisionTree": [{"max_depth": 6, "min_leaf": 5}],
-    "RandomForest": [{"trees": 40, "max_depth": 10, "min_leaf": 5}],
-    "KNN": [{"k": 21}],
-    "SVM": [{"C": 1.0}],
-    "NaiveBayes": [{}],
-}
+_searches: dict[tuple[str, str], tuple] = {}
+
+
+def searched(spark, d) -> tuple[DataFrame, dict[str, models.FittedModel], DataFrame]:
+    """The full search (all grids, five folds) of one folder, run once per application and shared by all queries that need it."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _searches:
+        _searches[key] = models.train_classical(stored_frame(spark, d), parallelism=6)
+    return _searches[key]
+
+
+def selected(spark, d) -> tuple[models.FittedModel, DataFrame]:
+    """The family with the best cross-validated AUC (ties by name), and the split frame it was found on."""
+    board, fitted, split = searched(spark, d)
+    best = board.orderBy(F.desc("CV_AUC_mean"), "Model").first()["Model"]
+    return fitted[best], split
 
 
 @register("model_leaderboard")
 def _(spark, d):
-    return models.train_classical(stored_frame(spark, d), SHORT_GRIDS, k=3, parallelism=6)[0]
+    return searched(spark, d)[0]
 
 
 @register("baselines")
 def _(spark, d):
-    return models.baselines(split_frame(spark, d), trees=60)
+    return models.baselines(split_frame(spark, d))
 
 
 @register("ablation")
 def _(spark, d):
-    return models.ablation(split_frame(spark, d), k=3)
+    return models.ablation(split_frame(spark, d))
 
 
 @register("mlp_comparison")
 def _(spark, d):
-    frame = stored_frame(spark, d)
-    network, _ = models.train_network(frame)
-    board, fitted, split = models.train_classical(frame, {"LogisticRegression": [{"C": 0.1}]}, k=2)
+    """The network beside the best classical model, both scored on the test part."""
+    network, _ = models.train_network(stored_frame(spark, d))
+    best, split = selected(spark, d)
     test = split.filter("not is_train")
-    return models.comparison({"LogisticRegression": materialize(fitted["LogisticRegression"].scored(test)), "MLP": materialize(network.scored(test))})
+    return models.comparison({best.name: materialize(best.scored(test)), "MLP": materialize(network.scored(test))})
 
 
 def one_model(spark, d, name: str, params: dict):
@@ -224,7 +231,7 @@ def _(spark, d):
     """Churn per k-means segment on both bases: the full-history gap is inflated by what Recency has seen."""
     known, rates = materialize(labels(spark, d)), []
     for basis in ("full_history", "pre_cutoff"):
-        found, _ = segments.kmeans(rfm_points(spark, d, basis), restarts=3)
+        found, _ = segments.kmeans(rfm_points(spark, d, basis))
         rate = decisions.churn_by_segment(known, found.select(F.col("id").alias(config.ID), "cluster"))
         rates.append(rate.select(F.lit(basis).alias("basis"), "cluster", "n_customers", "churn_rate"))
     return rates[0].unionByName(rates[1])
@@ -232,17 +239,17 @@ def _(spark, d):
 
 @register("decision_table_fitted")
 def _(spark, d):
-    """The decision table from fitted parts: logistic scores, pre-cutoff k-means segments, reconstruction errors, mined rules."""
-    model, split = one_model(spark, d, "LogisticRegression", {"C": 0.1})
+    """The decision table from fitted parts: scores of the model that cross-validation selects, pre-cutoff k-means segments, reconstruction errors, mined rules."""
+    model, split = selected(spark, d)
     features, known = materialize(pre_features(spark, d)), materialize(labels(spark, d))
-    found, _ = segments.kmeans(rfm_points(spark, d, "pre_cutoff"), restarts=3)
+    found, _ = segments.kmeans(rfm_points(spark, d, "pre_cutoff"))
     found = materialize(found.select(F.col("id").alias(config.ID), "cluster"))
     train = split.filter("is_train").select(config.ID)
     rates = decisions.churn_by_segment(known.join(train, config.ID, "left_semi"), found)
     errors = materialize(anomaly.reconstruction_errors(features, 4))
     named = rules.describe_rules(rules.top_rules(rules.prune(mined_rules(spark, d))), rules.code_descriptions(basket_lines(spark, d, "p_type")))
     return decisions.decision_table(
-        features, decisions.score_customers(features, model.pipeline, model.name), known, found, rates, decisions.flag_anomalies(errors),
+        features, decisions.score_customers(features, model, model.name), known, found, rates, decisions.flag_anomalies(errors),
         named, "2001-01-01T00:00:00+00:00", train,
     )
 
@@ -251,23 +258,24 @@ def _(spark, d):
 def _(spark, d):
     """Headline numbers of one run as one row."""
     frame = stored_frame(spark, d)
-    board, fitted, split = models.train_classical(frame, {"LogisticRegression": [{"C": 0.1}], "NaiveBayes": [{}]}, k=2)
-    network, _ = models.train_network(frame, steps=(30,))
+    board, _, _ = searched(spark, d)
+    best, split = selected(spark, d)
+    network, _ = models.train_network(frame)
     test = split.filter("not is_train")
-    scored = {"LogisticRegression": materialize(fitted["LogisticRegression"].scored(test)), "MLP": materialize(network.scored(test))}
-    stable = segments.stability(rfm_points(spark, d, "pre_cutoff"), seeds=range(2), restarts=1)
+    scored = {best.name: materialize(best.scored(test)), "MLP": materialize(network.scored(test))}
+    stable = segments.stability(rfm_points(spark, d, "pre_cutoff"))
     log = runlog.metric_rows(spark, {
         "seed": config.SEED, "n_customers_labelled": frame.count(), "churn_rate": frame.agg(F.avg(config.LABEL)).first()[0],
     }, "run-1", datetime(2001, 1, 1))
     return runlog.snapshot(
-        log, board, models.baselines(split, trees=20), models.comparison(scored),
-        calibration_report(scored["LogisticRegression"], "LogisticRegression"), stable, rules.prune(mined_rules(spark, d)),
+        log, board, models.baselines(split), models.comparison(scored),
+        calibration_report(scored[best.name], best.name), stable, rules.prune(mined_rules(spark, d)),
     )
 
 
 @register("forest_importance")
 def _(spark, d):
-    model, _ = one_model(spark, d, "RandomForest", {"trees": 60, "max_depth": 10, "min_leaf": 5})
+    model, _ = one_model(spark, d, "RandomForest", {"trees": 200, "max_depth": 10, "min_leaf": 5})
     return models.forest_importance(model, spark)
 
 
@@ -284,13 +292,13 @@ def _(spark, d):
 
 @register("shapley_attribution")
 def _(spark, d):
-    model, split = one_model(spark, d, "RandomForest", {"trees": 40, "max_depth": 8, "min_leaf": 5})
-    return attribution.ranked(attribution.shapley_values(model, split.filter("not is_train"), split.filter("is_train"), orders=4))
+    model, split = one_model(spark, d, "RandomForest", {"trees": 200, "max_depth": 10, "min_leaf": 5})
+    return attribution.ranked(attribution.shapley_values(model, split.filter("not is_train"), split.filter("is_train")))
 
 
 @register("shapley_network")
 def _(spark, d):
-    network, _ = models.train_network(stored_frame(spark, d), steps=(30,))
+    network, _ = models.train_network(stored_frame(spark, d))
     split = split_frame(spark, d)
-    values = attribution.shapley_values(network, split.filter("not is_train"), split.filter("is_train"), orders=4, rows=80)
+    values = attribution.shapley_values(network, split.filter("not is_train"), split.filter("is_train"))
     return attribution.ranked(values)

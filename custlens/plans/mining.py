@@ -101,11 +101,11 @@ def _(spark, d):
 @register("baskets_wide", f"""
 WITH {CLEAN_SQL} SELECT "Invoice", list_sort(list(DISTINCT p_type))[1] AS first_item, count(DISTINCT p_type) AS n_items FROM clean GROUP BY 1""")
 def _(spark, d):
-    """The boolean columns are read back as their count and first true name, so that columns do not depend on the data."""
-    wide = baskets.encode_wide(type_baskets(spark, d))
-    items = wide.columns[1:]
-    first = F.coalesce(*[F.when(F.col(f"`{i}`"), i) for i in items])
-    return wide.select("Invoice", first.alias("first_item"), sum(F.col(f"`{i}`").cast("bigint") for i in items).alias("n_items"))
+    """The sparse one-hot form, decoded again: the item of the first slot, and the number of slots."""
+    long = materialize(type_baskets(spark, d))
+    index = materialize(baskets.item_index(long))
+    coded = baskets.encode(long, index).select("Invoice", F.element_at("slots", 1).alias("slot"), F.size("slots").cast("bigint").alias("n_items"))
+    return coded.join(index, "slot").select("Invoice", F.col("item").alias("first_item"), "n_items")
 
 
 ITEMSETS = f"WITH {ALL_SQL} SELECT items, freq, n_baskets, freq / n_baskets AS support FROM freq JOIN name USING (mask)"

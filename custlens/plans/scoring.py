@@ -334,23 +334,34 @@ def _(spark, d):
     return runlog.latest(runlog.read_log(spark, path))
 
 
-CHECKS = [
-    "schema[classification_features]", "schema[churn_labels]", "schema[customer_decision_table]", "schema[top_priority_customers]",
-    "features and labels have the same customers", "no missing values[classification_features]", "no missing values[churn_labels]",
-    "Recency >= 0 before the cutoff", "one decision row per customer", "no missing recommended_action", "no missing priority_score",
-    "priority_rank is 1..N", "single provenance stamp", "top rows are in the decision table",
-]
-
-
-@register("quality_report", f"""
-WITH {FRAME_SQL}, odd AS (SELECT count(*) AS n FROM features f FULL JOIN labelled l ON l."CustomerID" = f."CustomerID" WHERE f."CustomerID" IS NULL OR l."CustomerID" IS NULL),
-bad AS (SELECT count(*) FILTER ("Recency" < 0) AS n FROM features)
-SELECT c AS "check", CASE WHEN c LIKE 'features and%' THEN (SELECT n FROM odd) = 0 WHEN c LIKE 'Recency%' THEN (SELECT n FROM bad) = 0 ELSE true END AS passed
-FROM (VALUES {', '.join("('" + c + "')" for c in CHECKS)}) AS t(c)""")
-def _(spark, d):
-    inputs = decision_inputs(spark, d)
-    table = materialize(decisions.decision_table(**inputs, source_run=RUN))
-    features, known, top = inputs["features"], inputs["labels"], decisions.top_priority(table)
+FEATURE_COLUMNS = ["CustomerID", "Recency", "Frequency", "Monetary", "avg_basket_value", "avg_basket_size", "unique_products", "DominantCountry"]
+# Every check is computed from the tables; `{f}` and `{t}` are the features and the decision table, sound or damaged.
+REPORT_SQL = """
+c AS (SELECT count(*) AS n, count(DISTINCT "CustomerID") AS ids, count(recommended_action) AS actions, count(priority_score) AS scores, count(DISTINCT priority_rank) AS ranks,
+  min(priority_rank) AS first, max(priority_rank) AS last, min(source_run_generated_at) AS s1, max(source_run_generated_at) AS s2 FROM {t}),
+top AS (SELECT "CustomerID" FROM decided WHERE priority_rank <= 25)
+SELECT 'classification_features: columns' AS "check", (SELECT count({cols}) FROM {f}) >= 0 AS passed
+UNION ALL SELECT 'churn_labels: columns', (SELECT count(churn) FROM labelled) >= 0
+UNION ALL SELECT 'customer_decision_table: columns', (SELECT count(priority_rank) FROM {t}) >= 0
+UNION ALL SELECT 'top_priority_customers: columns', (SELECT count(*) FROM top) >= 0
+UNION ALL SELECT 'features and labels: customer sets', NOT EXISTS (SELECT 1 FROM {f} AS f FULL JOIN labelled l ON l."CustomerID" = f."CustomerID" WHERE f."CustomerID" IS NULL OR l."CustomerID" IS NULL)
+UNION ALL SELECT 'classification_features: NULL cells', NOT EXISTS (SELECT 1 FROM {f} WHERE {nulls})
+UNION ALL SELECT 'churn_labels: NULL cells', NOT EXISTS (SELECT 1 FROM labelled WHERE "CustomerID" IS NULL OR churn IS NULL)
+UNION ALL SELECT 'features: sign of Recency', (SELECT count(*) FILTER ("Recency" < 0) = 0 FROM {f})
+UNION ALL SELECT 'decisions: one row each', (SELECT n = ids AND n = (SELECT count(*) FROM {f}) FROM c)
+UNION ALL SELECT 'decisions: every action set', (SELECT actions = n FROM c)
+UNION ALL SELECT 'decisions: every score set', (SELECT scores = n FROM c)
+UNION ALL SELECT 'decisions: gapless ranks', (SELECT ranks = n AND first = 1 AND last = n FROM c)
+UNION ALL SELECT 'decisions: run stamp', (SELECT s1 = s2 FROM c)
+UNION ALL SELECT 'top list: known customers', NOT EXISTS (SELECT 1 FROM top WHERE "CustomerID" NOT IN (SELECT "CustomerID" FROM {t}))"""
+
+
+def _report_sql(features: str, table: str) -> str:
+    quoted = [f'"{c}"' for c in FEATURE_COLUMNS]
+    return REPORT_SQL.format(f=features, t=table, cols="concat(" + ", ".join(quoted) + ")", nulls=" OR ".join(f"{c} IS NULL" for c in quoted))
+
+
+def _report(spark, known: DataFrame, features: DataFrame, table: DataFrame, top: DataFrame) -> DataFrame:
     found = quality.report(
         quality.columns_present(spark, {
             "classification_features": features, "churn_labels": known, "customer_decision_table": table, "top_priority_customers": top,
@@ -359,3 +370,31 @@ def _(spark, d):
         quality.recency_not_negative(features), quality.decisions_sound(table, features, top),
     )
     return found.select("check", "passed")
+
+
+@register("quality_report", f"WITH {DECISION_SQL}, {_report_sql('features', 'decided')}")
+def _(spark, d):
+    inputs = decision_inputs(spark, d)
+    table = materialize(decisions.decision_table(**inputs, source_run=RUN))
+    return _report(spark, inputs["labels"], inputs["features"], table, decisions.top_priority(table))
+
+
+@register("quality_report_broken", f"""
+WITH {DECISION_SQL},
+f2 AS (SELECT * REPLACE ("Recency" - 1000 * ("CustomerID" % 7 = 0)::INT AS "Recency", CASE WHEN "CustomerID" % 11 <> 0 THEN "Monetary" END AS "Monetary") FROM features WHERE "CustomerID" % 13 <> 0),
+t2 AS (SELECT * REPLACE (CASE WHEN priority_rank <> 5 THEN recommended_action END AS recommended_action, CASE WHEN priority_rank <> 6 THEN priority_score END AS priority_score,
+  CASE WHEN priority_rank = 7 THEN 'other run' ELSE source_run_generated_at END AS source_run_generated_at) FROM decided WHERE priority_rank <> 2),
+{_report_sql('f2', 't2')}""")
+def _(spark, d):
+    """The same checks on damaged copies: customers, cells, ranks and stamps that are wrong are found."""
+    inputs = decision_inputs(spark, d)
+    table = materialize(decisions.decision_table(**inputs, source_run=RUN))
+    rank, number = F.col("priority_rank"), F.col(config.ID)
+    features = inputs["features"].filter(number % 13 != 0).withColumns({
+        "Recency": F.col("Recency") - 1000 * (number % 7 == 0).cast("int"), "Monetary": F.when(number % 11 != 0, F.col("Monetary")),
+    })
+    damaged = table.filter(rank != 2).withColumns({
+        "recommended_action": F.when(rank != 5, F.col("recommended_action")), "priority_score": F.when(rank != 6, F.col("priority_score")),
+        "source_run_generated_at": F.when(rank == 7, "other run").otherwise(F.col("source_run_generated_at")),
+    })
+    return _report(spark, inputs["labels"], features, damaged, decisions.top_priority(table))

@@ -13,8 +13,12 @@ CUTOFF = datetime(2011, 9, 1)
 
 
 def test_clean_golden(raw):
-    got = {r["Invoice"]: (r["Quantity"], r["Price"], r["TotalAmount"]) for r in cleaning.clean(raw).collect()}
-    want = {"100": (5.92, 2.5, 14.8), "101": (3, 2.5, 7.5), "102": (4, 3, 12), "103": (2, 4.96, 9.92), "104": (1.04, 4, 4.16)}
+    """Quantities 1 1 2 3 4 10 have the bounds 1 and 9.7, prices 3 3.5 11 12 38 40 the bounds 3.025 and 39.9."""
+    got = {(r["Invoice"], r["StockCode"]): (r["Quantity"], r["Price"], r["TotalAmount"]) for r in cleaning.clean(raw).collect()}
+    want = {
+        ("5001", "G-10"): (2, 39.9, 79.8), ("5001", "G-22"): (9.7, 3.025, 29.3425), ("5002", "G-22"): (4, 3.5, 14),
+        ("5003", "G-31"): (1, 12, 12), ("5004", "G-10"): (1, 38, 38), ("5005", "G-31"): (3, 11, 33),
+    }
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v)
@@ -22,30 +26,31 @@ def test_clean_golden(raw):
 
 def test_clean_coerces_text(spark):
     rows = [
-        ("1", "A", " MUG ", "2", "2011-01-01 10:00:00", "1.5", "17850.0", " France "),
-        ("2", "A", None, "2", "2011-01-01", "1.5", "17850", "France"),
-        ("3", "A", "x", "2", "not a date", "1.5", "17850", "France"),
-        ("4", "A", "x", "2", "2011-01-01", "1.5", "abc", "France"),
-        ("c5", "A", "x", "2", "2011-01-01", "1.5", "17850", "France"),
-        ("C6", "A", "x", "2", "2011-01-01", "1.5", "17850", "France"),
+        ("1", "A", " Spade ", "2", "2011-01-01 10:00:00", "1.5", "41.0", " Chile "),
+        ("2", "A", None, "2", "2011-01-01", "1.5", "41", "Chile"),
+        ("3", "A", "x", "2", "not a date", "1.5", "41", "Chile"),
+        ("4", "A", "x", "2", "2011-01-01", "1.5", "abc", "Chile"),
+        ("c5", "A", "x", "2", "2011-01-01", "1.5", "41", "Chile"),
+        ("C6", "A", "x", "2", "2011-01-01", "1.5", "41", "Chile"),
     ]
     raw = spark.createDataFrame(rows, "Invoice string, StockCode string, Description string, Quantity string, InvoiceDate string, Price string, `Customer ID` string, Country string")
     got = {r["Invoice"]: r for r in cleaning.clean(raw, q=None).collect()}
     assert set(got) == {"1", "2", "c5"}
-    assert got["1"]["Description"] == "MUG" and got["1"]["Country"] == "France" and got["1"]["CustomerID"] == 17850
+    assert got["1"]["Description"] == "Spade" and got["1"]["Country"] == "Chile" and got["1"]["CustomerID"] == 41
     assert got["2"]["Description"] is None
 
 
 def test_features_and_labels_golden(raw):
     lines = cleaning.clean(raw)
     got = {r["CustomerID"]: r for r in customers.pre_cutoff_features(lines, CUTOFF).collect()}
-    assert set(got) == {17850, 17851}
-    a, b = got[17850], got[17851]
-    assert (a["Recency"], a["Frequency"], a["unique_products"], a["DominantCountry"]) == (31, 1, 1, "United Kingdom")
-    assert (b["Recency"], b["Frequency"], b["unique_products"], b["DominantCountry"]) == (12, 2, 2, "France")
-    assert (b["Monetary"], b["avg_basket_value"], b["avg_basket_size"]) == pytest.approx((21.92, 10.96, 3.0))
+    assert set(got) == {301, 302}
+    a, b = got[301], got[302]
+    assert (a["Recency"], a["Frequency"], a["unique_products"], a["DominantCountry"]) == (19, 1, 2, "Norway")
+    assert (a["Monetary"], a["avg_basket_value"], a["avg_basket_size"]) == pytest.approx((109.1425, 109.1425, 11.7))
+    assert (b["Recency"], b["Frequency"], b["unique_products"], b["DominantCountry"]) == (0, 2, 2, "Italy")
+    assert (b["Monetary"], b["avg_basket_value"], b["avg_basket_size"]) == pytest.approx((26, 13, 2.5))
     labels = {r["CustomerID"]: r["churn"] for r in customers.churn_labels(lines, CUTOFF, 90).collect()}
-    assert labels == {17850: 0, 17851: 1}
+    assert labels == {301: 0, 302: 1}
 
 
 def test_window_borders_and_time_of_day(spark):
@@ -93,13 +98,13 @@ def test_global_rank_with_hot_value(spark):
 
 
 def test_encoder_folds_rare_and_unseen(supervised):
-    train = supervised.filter("DominantCountry <> 'Rareland'")
+    train = supervised.filter("DominantCountry <> 'Malta'")
     model = encoding.ChurnEncoder(rareShare=0.08).fit(train)
     assert model.slots[-1] == "DominantCountry_infrequent"
-    coded = model.columns_frame(supervised, "DominantCountry").filter("DominantCountry = 'Rareland'").collect()
+    coded = model.columns_frame(supervised, "DominantCountry").filter("DominantCountry = 'Malta'").collect()
     assert coded and all(r["DominantCountry_infrequent"] == 1.0 for r in coded)
     no_rare = encoding.ChurnEncoder(rareShare=0.0).fit(train)
-    unseen = no_rare.columns_frame(supervised, "DominantCountry").filter("DominantCountry = 'Rareland'").first().asDict()
+    unseen = no_rare.columns_frame(supervised, "DominantCountry").filter("DominantCountry = 'Malta'").first().asDict()
     assert sum(v for k, v in unseen.items() if k.startswith("DominantCountry_")) == 0.0
     assert len(encoding.ChurnEncoder(columns=["Recency", "Frequency", "Monetary"]).fit(train).slots) == 3
     stats = model.columns_frame(train).agg(F.avg("Monetary"), F.stddev_pop("Monetary")).first()
@@ -114,10 +119,10 @@ def test_missing_column_raises(supervised):
 def test_reports(raw):
     lines = cleaning.clean(raw)
     curve = eda.pareto_curve(lines).orderBy("position").collect()
-    assert [r["CustomerID"] for r in curve] == [17850, 17851, 17852] and curve[-1]["revenue_share"] == pytest.approx(1)
-    assert {r["stage"]: r["n_lines"] for r in cleaning.raw_vs_clean(raw, lines).collect()} == {"raw": 9, "clean": 5}
+    assert [r["CustomerID"] for r in curve] == [301, 303, 302] and curve[-1]["revenue_share"] == pytest.approx(1)
+    assert {r["stage"]: r["n_lines"] for r in cleaning.raw_vs_clean(raw, lines).collect()} == {"raw": 10, "clean": 6}
     audit = cleaning.cleaning_audit(raw).first()
-    assert audit["missing_id_share"] == pytest.approx(1 / 9) and audit["removed_share"] == pytest.approx(4 / 9)
+    assert audit["missing_id_share"] == pytest.approx(1 / 10) and audit["removed_share"] == pytest.approx(4 / 10)
     assert {r[0]: r[1] for r in cleaning.null_counts(raw).collect()}["Customer ID"] == 1
 
 
@@ -125,14 +130,14 @@ def test_sources_round_trip(spark, raw, tmp_path):
     lines = cleaning.clean(raw)
     retail.write_clean(lines, f"{tmp_path}/clean")
     back = retail.read_clean(spark, f"{tmp_path}/clean")
-    assert sorted(map(tuple, back.select(lines.columns).collect())) == sorted(map(tuple, lines.collect()))
+    assert sorted(map(repr, back.select(lines.columns).collect())) == sorted(map(repr, lines.collect()))
     early = retail.read_clean(spark, f"{tmp_path}/clean", before=CUTOFF)
-    assert {r["Invoice"] for r in early.collect()} == {"100", "102", "103"}
+    assert {r["Invoice"] for r in early.collect()} == {"5001", "5002", "5003"}
     part = raw.withColumnRenamed("Country", " Country ")
-    for name, df in (("a.csv", part.filter("Invoice < '103'")), ("b.csv", part.filter("Invoice >= '103'"))):
+    for name, df in (("a.csv", part.filter("Invoice < '5003'")), ("b.csv", part.filter("Invoice >= '5003'"))):
         df.write.option("header", True).csv(f"{tmp_path}/{name}")
     loaded = retail.load_raw(spark, f"{tmp_path}/a.csv", f"{tmp_path}/b.csv")
-    assert loaded.columns == raw.columns and loaded.count() == 9
-    assert {r["Invoice"] for r in cleaning.clean(loaded).collect()} == {"100", "101", "102", "103", "104"}
+    assert loaded.columns == raw.columns and loaded.count() == 10
+    assert {r["Invoice"] for r in cleaning.clean(loaded).collect()} == {"5001", "5002", "5003", "5004", "5005"}
     with pytest.raises(Exception):
         retail.load_raw(spark, f"{tmp_path}/absent.csv")

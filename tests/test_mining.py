@@ -11,27 +11,46 @@ def found(df):
     return {"".join(r["items"]): r["freq"] for r in df.collect()}
 
 
-def test_itemsets_golden(baskets8):
-    long = baskets.long_baskets(baskets8)
-    want = {"A": 7, "B": 7, "C": 3, "D": 2, "AB": 7, "AC": 2, "BC": 2, "ABC": 2}
-    assert found(baskets.frequent_itemsets(long, "apriori", 0.2)) == want
-    assert found(baskets.frequent_itemsets(long, "fpgrowth", 0.2)) == want
-    assert found(baskets.frequent_itemsets(long, "apriori", 0.99)) == {}
-    assert rules.mine_rules(long, "apriori", 0.99)[1].count() == 0
+def test_itemsets_golden(baskets6):
+    """Six baskets; a support of 0.3 asks for two of them."""
+    long = baskets.long_baskets(baskets6)
+    want = {"P": 4, "Q": 5, "R": 3, "S": 2, "PQ": 3, "PR": 2, "QR": 3, "QS": 2, "PQR": 2}
+    assert found(baskets.frequent_itemsets(long, "apriori", 0.3)) == want
+    assert found(baskets.frequent_itemsets(long, "fpgrowth", 0.3)) == want
+    assert found(baskets.frequent_itemsets(long, "apriori", 0.9)) == {}
+    assert rules.mine_rules(long, "apriori", 0.9)[1].count() == 0
     with pytest.raises(ValueError):
-        baskets.frequent_itemsets(long, "eclat")
+        baskets.frequent_itemsets(long, "no such miner")
 
 
-def test_multi_item_consequents(baskets8):
-    _, r = rules.mine_rules(baskets.long_baskets(baskets8), "apriori", 0.2, 0.5, 0.5)
+def test_multi_item_consequents(baskets6):
+    _, r = rules.mine_rules(baskets.long_baskets(baskets6), "apriori", 0.3, 0.5, 0.5)
     by = {("".join(x["antecedents"]), "".join(x["consequents"])): x for x in r.collect()}
-    ab = by[("A", "B")]
-    assert ab["lift"] == pytest.approx(1 / 0.875) and ab["conviction"] == float("inf") and ab["jaccard"] == 1
-    assert by[("C", "AB")]["confidence"] == pytest.approx(2 / 3)
+    pq = by[("P", "Q")]
+    assert (pq["lift"], pq["conviction"], pq["jaccard"]) == pytest.approx((0.9, 2 / 3, 0.5))
+    assert by[("R", "Q")]["conviction"] == float("inf")
+    assert by[("R", "PQ")]["confidence"] == pytest.approx(2 / 3)
     pruned = rules.prune(r)
     assert pruned.count() == pruned.select("consequents").distinct().count()
-    named = rules.describe_rules(pruned, rules.code_descriptions(baskets8)).collect()
-    assert {x["consequents_desc"] for x in named if len(x["consequents"]) == 2} == {"item A, item B"}
+    named = rules.describe_rules(pruned, rules.code_descriptions(baskets6)).collect()
+    assert {x["consequents_desc"] for x in named if len(x["consequents"]) == 2} == {"item P, item Q", "item Q, item R"}
+
+
+def test_miners_keep_groups_apart(spark):
+    """Two groups of different sizes: both miners give every support within its own group."""
+    data = [(0, "a", "XY"), (0, "b", "X"), (0, "c", "XY"), (1, "d", "XZ"), (1, "e", "Z")]
+    long = spark.createDataFrame([(g, i, c) for g, i, b in data for c in b], "grp int, Invoice string, item string")
+    want = {(0, "X"): 1.0, (0, "Y"): 2 / 3, (0, "XY"): 2 / 3, (1, "X"): 0.5, (1, "Z"): 1.0, (1, "XZ"): 0.5}
+    for miner in (baskets.apriori, baskets.fpgrowth):
+        assert {(r["grp"], "".join(r["items"])): r["support"] for r in miner(long, 0.5).collect()} == pytest.approx(want)
+
+
+def test_segment_rules_can_be_described(spark, baskets6):
+    lines = baskets6.withColumn("CustomerID", F.col("Invoice").cast("int") % 2)
+    both = spark.createDataFrame([(0, 0), (1, 1)], "CustomerID int, cluster int")
+    per, _ = rules.segment_rules(lines, both, 0.3, 0.5, 0.1, min_invoices=2)
+    named = rules.describe_rules(per, rules.code_descriptions(baskets6))
+    assert named.count() == per.count() and named.filter("antecedents_desc not like 'item%'").isEmpty()
 
 
 def test_apriori_equals_brute_force_with_common_basket(spark):
@@ -52,18 +71,20 @@ def test_popular(spark):
     popular = baskets.popular_items(df, 0.0, 3)
     assert [r["StockCode"] for r in popular.collect()] == ["A"]
     assert baskets.keep_popular(df, popular).count() == 3
-    assert baskets.encode_wide(baskets.long_baskets(df)).columns == ["Invoice", "A", "B"]
+    index = baskets.item_index(baskets.long_baskets(df))
+    assert index.orderBy("slot").collect() == [("A", 0), ("B", 1)]
+    assert {r["Invoice"]: r["slots"] for r in baskets.encode(baskets.long_baskets(df), index).collect()} == {"1": [0, 1], "2": [0], "3": [0], "4": [1]}
 
 
-def test_segment_skip_reasons(spark, baskets8):
+def test_segment_skip_reasons(spark, baskets6):
     df = spark.createDataFrame([("1", "A", 1), ("1", "B", 1), ("2", "A", 2), ("2", "B", 2)], "Invoice string, StockCode string, CustomerID int")
     segments = spark.createDataFrame([(1, 0), (2, 0)], "CustomerID int, cluster int")
     found_rules, status = rules.segment_rules(df, segments)
     assert found_rules.count() == 0
-    assert status.first()["skip_reason"] == "only 2 invoices (< 50)"
-    lines = baskets8.withColumn("CustomerID", F.col("Invoice").cast("int") % 2)
+    assert status.first()["skip_reason"] == "too few invoices: 2 of 50"
+    lines = baskets6.withColumn("CustomerID", F.col("Invoice").cast("int") % 2)
     both = spark.createDataFrame([(0, 0), (1, 1)], "CustomerID int, cluster int")
-    per, status = rules.segment_rules(lines, both, 0.3, 0.5, 0.1, min_invoices=2)
+    per, status = rules.segment_rules(lines, both, 0.3, 0.5, 0.1, min_invoices=2, top=1000)
     for c in (0, 1):
         alone = baskets.long_baskets(lines.filter(F.col("CustomerID") == c))
         want = rules.prune(rules.association_rules(baskets.apriori(alone, 0.3), 0.5, 0.1))

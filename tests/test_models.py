@@ -91,16 +91,16 @@ def test_network(supervised):
     model, tried = models.train_network(supervised, hidden=(8, 4), steps=(5, 40))
     assert tried.count() == 2
     p = [r["score"] for r in model.scored(supervised).collect()]
-    assert len(p) == 240 and all(0 <= v <= 1 for v in p) and models.auc(model, supervised) > 0.7
+    assert len(p) == 260 and all(0 <= v <= 1 for v in p) and models.auc(model, supervised) > 0.7
 
 
 def test_shapley_adds_up_and_matches_a_linear_model(spark, trained):
     split, _, fitted = trained
     model = fitted["LogisticRegression"]
     explain, background = split.filter("not is_train"), split.filter("is_train").limit(1)
-    values = materialize(attribution.shapley_values(model, explain, background, orders=2, rows=10, background_rows=1))
+    values = materialize(attribution.shapley_values(model, explain, background, orders=2))
     total = {r["CustomerID"]: r["t"] for r in values.groupBy("CustomerID").agg(F.sum("value").alias("t")).collect()}
-    assert len(total) == 10
+    assert len(total) == explain.count()
     base = model.scored(background).first()["score"]
     for r in model.scored(explain.filter(F.col("CustomerID").isin(list(total)))).collect():
         assert total[r["CustomerID"]] == pytest.approx(r["score"] - base, abs=1e-9)
