@@ -11,8 +11,10 @@ in that order, and the common prefix of two neighbours is one more than the smal
 if their bytes differ. After at most length - k such steps every window of the batch has met its neighbours in suffix order;
 it occurs again if and only if its common prefix with one of them is `length` or more. Nothing is decided by a hash here.
 
-A k-gram with more than `hot` occurrences would make one large batch. Its windows are spread over all tasks by a 128-bit
-fingerprint instead. Equal texts are one text; one of at least `length` bytes with a copy goes whole.
+A k-gram with more than `hot` occurrences would make one large batch, so its occurrences are dealt by a hash into parts of
+about `hot`, and each part is sorted as above. What is left are windows with no equal in their part: these, and one window
+of each class of equal ones, meet those of the other parts by a 128-bit fingerprint. Equal texts are one text; one of at
+least `length` bytes with a copy goes whole.
 
 Defined cases: a null text is empty; texts shorter than `length` stay whole, copies or not; overlapping hits count, in one
 text too; matches never cross texts; strings are judged on the input. Ids may repeat or be null (rows are told apart by
@@ -21,7 +23,6 @@ their place). Extra columns are carried over.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from custlens.runtime import materialize, ship_package
 
 LENGTH = 400
 GRAM = 160
-HOT = 4096
+HOT = 16_384
 # Long texts are sampled in overlapping stretches, so that a place fits into the low bits of a sample key.
 PLACE_BITS = 20
 STRETCH = 1 << PLACE_BITS
@@ -91,8 +92,8 @@ def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return out
 
 
-def induce(group: np.ndarray, left: list[bytes], right: list[bytes], nearest: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Windows that occur again, as (row, first x, last x): they start x bytes before the anchor of that row.
+def induce(group: np.ndarray, left: list[bytes], right: list[bytes], nearest: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two flags `[row, x]` for the window that starts x bytes before the anchor of a row: it occurs again, and it leads the windows equal to it.
 
     Rows come sorted by `group` and `right` (the bytes from the anchor on); `left`: the bytes before it that windows of the
     row cover; `nearest`: the smallest x that is a window of the row.
@@ -111,7 +112,7 @@ def induce(group: np.ndarray, left: list[bytes], right: list[bytes], nearest: np
     order = np.arange(n)
     prefix = np.zeros(n, np.int64)  # with the row before it in the order
     prefix[1:] = np.where(group[1:] == group[:-1], np.minimum(common, np.minimum(size[1:], size[:-1])), 0)
-    again = np.zeros((n, deepest + 2), bool)
+    again, leads = np.zeros((n, deepest + 2), bool), np.zeros((n, deepest + 2), bool)
     for x in range(deepest + 1):
         if x:
             stay = np.flatnonzero(reach[order] >= x)
@@ -129,13 +130,20 @@ def induce(group: np.ndarray, left: list[bytes], right: list[bytes], nearest: np
                 moved[1:][same] = 1 + _range_min(prefix, a[same] + 1, b[same])
             order, prefix = order[leave], moved
         hit = prefix >= length
+        leads[order[~hit], x] = True
         hit[:-1] |= hit[1:]
         again[order[hit], x] = True
-    again[np.arange(deepest + 2)[None, :] < nearest[:, None]] = False
-    padded = np.concatenate([np.zeros((n, 1), bool), again], axis=1)
+    places = np.arange(deepest + 2)[None, :]
+    owned = (places >= nearest[:, None]) & (places <= reach[:, None])
+    return again & owned, leads & owned
+
+
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of true flags as (row, first, last)."""
+    padded = np.concatenate([np.zeros((len(flags), 1), bool), flags], axis=1)
     row, first = np.nonzero(padded[:, 1:] & ~padded[:, :-1])
-    _, last = np.nonzero(padded[:, :-1] & ~padded[:, 1:])
-    return row, first, last - 1
+    _, end = np.nonzero(padded[:, :-1] & ~padded[:, 1:])
+    return row, first, end - 1
 
 
 def _samples(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -168,8 +176,14 @@ def _samples(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _induced(contexts: DataFrame, length: int) -> DataFrame:
-    """`row`, `start`, `end` of bytes to remove, from `gram`, `row`, `at`, `first`, `last`, `left`, `right` sorted within partitions."""
-    arrow = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+    """`row`, `start`, `end` of bytes to remove, from `gram`, `part`, `parts`, `row`, `at`, `first`, `last`, `left`, `right` sorted within partitions.
+
+    Where a k-gram has several parts, there are also rows with a fingerprint (`one`, `two`): windows that lead their equals
+    in the part. `lonely` marks those that occur there once.
+    """
+    schema = "row long, start long, end long, one long, two long, lonely boolean"
+    types = [pa.int64()] * 5 + [pa.bool_()]
+    names = ["row", "start", "end", "one", "two", "lonely"]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -180,49 +194,56 @@ def _induced(contexts: DataFrame, length: int) -> DataFrame:
             if rows < BATCH_ROWS:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks()
-            key = whole["gram"].to_numpy()
-            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            cuts = np.flatnonzero(fresh(whole)) + 1
             lo = 0
-            while len(cuts) and len(ready := cuts[cuts > lo]) and len(key) - lo >= BATCH_ROWS:
+            while len(ready := cuts[cuts > lo]) and rows - lo >= BATCH_ROWS:
                 hi = int(ready[min(np.searchsorted(ready, lo + BATCH_ROWS), len(ready) - 1)])
                 yield from solve(whole.slice(lo, hi - lo))
                 lo = hi
             held = whole.slice(lo).combine_chunks().to_batches()
-            rows = len(key) - lo
+            rows -= lo
         if rows:
             yield from solve(pa.Table.from_batches(held).combine_chunks())
 
+    def fresh(part: pa.Table) -> np.ndarray:
+        gram, number = part["gram"].to_numpy(), part["part"].to_numpy()
+        return (gram[1:] != gram[:-1]) | (number[1:] != number[:-1])
+
     def solve(part: pa.Table):
-        key, row, at, last = (part[c].to_numpy() for c in ("gram", "row", "at", "last"))
-        group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        mine, near, far = induce(group, part["left"].to_pylist(), part["right"].to_pylist(), at - last, length)
+        row, at, last, parts = (part[c].to_numpy() for c in ("row", "at", "last", "parts"))
+        left, right = part["left"].to_pylist(), part["right"].to_pylist()
+        again, leads = induce(np.concatenate([[0], np.cumsum(fresh(part))]), left, right, at - last, length)
+        mine, near, far = _runs(again)
+        none = np.zeros(len(mine), bool)
         if len(mine):
-            yield pa.RecordBatch.from_arrays([pa.array(row[mine]), pa.array(at[mine].astype(np.int64) - far), pa.array(at[mine].astype(np.int64) - near + length)], schema=arrow)
-
-    return contexts.mapInArrow(run, "row long, start long, end long")
-
+            yield pack(row[mine], at[mine].astype(np.int64) - far, at[mine].astype(np.int64) - near + length, None, None, none)
+        for i in np.flatnonzero(parts > 1).tolist():
+            x = np.flatnonzero(leads[i])
+            if len(x):
+                place, marks = len(left[i]) - x, _fingerprints(left[i] + right[i], length)
+                yield pack(np.full(len(x), row[i]), at[i] - x.astype(np.int64), None, *(m[place] for m in marks), ~again[i, x])
+
+    def pack(*columns):
+        n = len(columns[0])
+        return pa.RecordBatch.from_arrays([pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return contexts.mapInArrow(run, schema)
+
+
+def _fingerprints(text: bytes, length: int) -> list[np.ndarray]:
+    data, out = np.frombuffer(text, np.uint8), []
+    for seed in (21, 22):
+        table, powers, inverse = hash_tables(len(data), seed)
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * powers[: len(data)])])
+        out.append(((prefix[length:] - prefix[:-length]) * inverse[: len(data) - length + 1]).view(np.int64))
+    return out
 
-def _fingerprinted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for windows of very common k-grams: `row`, `start`, `end`, by a distributed count of 128-bit fingerprints."""
-    arrow = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("one", pa.int64()), ("two", pa.int64())])
 
-    def run(batches):
-        for batch in batches:
-            first = batch.column("first").to_numpy()
-            for i, row in enumerate(batch.column("row").to_pylist()):
-                data = np.frombuffer(batch.column("left")[i].as_py() + batch.column("right")[i].as_py(), np.uint8)
-                marks = []
-                for seed in (21, 22):
-                    table, powers, inverse = hash_tables(len(data), seed)
-                    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * powers[: len(data)])])
-                    marks.append(((prefix[length:] - prefix[:-length]) * inverse[: len(data) - length + 1]).view(np.int64))
-                n = len(marks[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(first[i] + np.arange(n, dtype=np.int64)), *map(pa.array, marks)], schema=arrow)
-
-    windows = materialize(contexts.select("row", "first", "left", "right").mapInArrow(run, "row long, start long, one long, two long"))
-    place = F.struct("row", "start")
-    repeated = windows.groupBy("one", "two").agg(F.min(place).alias("_lo"), F.max(place).alias("_hi")).where("_lo <> _hi").select("one", "two")
-    hits = windows.join(repeated, ["one", "two"], "left_semi")
+def _across_parts(found: DataFrame, length: int) -> DataFrame:
+    """`row`, `start`, `end` of lonely windows that equal a window of another part."""
+    marks = found.where("one is not null")
+    several = marks.groupBy("one", "two").agg(F.count("*").alias("_n"), F.max("lonely").alias("_any")).where("_n > 1 and _any").select("one", "two")
+    hits = marks.where("lonely").join(several, ["one", "two"], "left_semi")
     return hits.select("row", "start", (F.col("start") + length).alias("end"))
 
 
@@ -241,15 +262,18 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, gram
     place = F.struct("code", "at")
     repeated = samples.groupBy("gram").agg(F.min(place).alias("_lo"), F.max(place).alias("_hi")).where("_lo <> _hi").select("gram")
     wanted = materialize(samples.join(repeated, "gram", "left_semi").join(copies.select("row"), "row", "left_semi").select("gram", "row", "at", "first", "last"))
-    common = wanted.groupBy("gram").count().where(F.col("count") > hot).select("gram", F.lit(True).alias("hot"))
+    common = wanted.groupBy("gram").count().where(F.col("count") > hot).select("gram", F.ceil(F.col("count") / max(hot, 1)).cast("int").alias("parts"))
     contexts = (
         wanted.join(common, "gram", "left")
         .join(docs.select("row", "data"), "row")
-        .select("gram", "hot", "row", "at", "first", "last", F.expr("substring(data, first + 1, at - first)").alias("left"), F.expr(f"substring(data, at + 1, last + {length} - at)").alias("right"))
+        .select(
+            "gram", F.coalesce("parts", F.lit(1)).alias("parts"), "row", "at", "first", "last",
+            F.expr("substring(data, first + 1, at - first)").alias("left"), F.expr(f"substring(data, at + 1, last + {length} - at)").alias("right"),
+        )
+        .withColumn("part", F.pmod(F.xxhash64("row", "at"), F.col("parts")).cast("int"))
     )
-    contexts = materialize(contexts)
-    sorted_ = contexts.where("hot is null").drop("hot").repartition("gram").sortWithinPartitions("gram", "right")
-    pieces = _induced(sorted_, length).unionByName(_fingerprinted(contexts.where("hot"), length))
+    found = materialize(_induced(contexts.repartition("gram", "part").sortWithinPartitions("gram", "part", "right"), length))
+    pieces = found.where("one is null").select("row", "start", "end").unionByName(_across_parts(found, length))
     spans = pieces.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_found"))
     # every row that has a copy goes whole
     whole = marks.join(copies.where("n > 1").select("mark"), "mark", "left_semi").select("row", F.lit(True).alias("_whole"))

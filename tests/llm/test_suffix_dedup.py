@@ -44,7 +44,7 @@ def corpus(rng, n=60, length=40):
     return [*out, *out[:8], None, None, "", "", "z" * length, "z" * length, "q" * (length + 1), "short", "short"]
 
 
-@pytest.mark.parametrize("hot", [sd.HOT, 5, 0])
+@pytest.mark.parametrize("hot", [sd.HOT, 5, 1])
 def test_spans_equal_brute_force(spark, hot):
     texts = corpus(random.Random(hot))
     rows = [(i if i % 7 else None, t, i, "x") for i, t in enumerate(texts)]
