@@ -68,7 +68,8 @@ def apriori(long: DataFrame, min_support: float = config.MIN_SUPPORT, max_length
     a popular basket costs one row. Level k joins each basket's leading item pair with the candidates
     that start with it and keeps those the basket contains; counts combine before the shuffle.
     """
-    sizes = basket_sizes(long)
+    # one row per group, written, so that Spark knows its size and does not deal all counts by group
+    sizes = materialize(basket_sizes(long))
     single = long.groupBy("grp", "item").agg(F.count("*").alias("freq")).join(sizes, "grp").filter(F.col("freq") >= _needed(min_support))
     single = materialize(single.select("grp", F.array("item").alias("items"), "freq", "n_baskets"))
     frequent = long.join(single.select("grp", F.col("items")[0].alias("item")), ["grp", "item"], "left_semi")

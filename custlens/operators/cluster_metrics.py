@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custlens import config
+from custlens.runtime import materialize
 
 
 def as_points(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
@@ -38,7 +39,7 @@ def centroids(df: DataFrame, d: int | None = None) -> DataFrame:
 def _scattered(df: DataFrame) -> DataFrame:
     """Per cluster: size, centre, mean distance and mean squared distance to the centre."""
     to_center = squared_distance("x", "center")
-    return df.join(centroids(df), "cluster").groupBy("cluster").agg(
+    return df.join(materialize(centroids(df)), "cluster").groupBy("cluster").agg(
         F.count("*").alias("n"), F.first("center").alias("center"),
         F.avg(F.sqrt(to_center)).alias("scatter"), F.avg(to_center).alias("spread"),
     )

@@ -10,6 +10,7 @@ from custlens import config
 from custlens.functions.ordering import global_rank
 from custlens.functions.quantiles import exact_quantiles
 from custlens.operators.rules import strongest_first
+from custlens.runtime import materialize
 
 # Texts, points and column order of the published decision table.
 VIP = "VIP nurture / Cross-sell"
@@ -161,6 +162,8 @@ def decision_table(
             raise ValueError(f"repeated keys in {name}: the join would fan out")
     cuts = exact_quantiles(features, {"Monetary": [0.25, 0.75], "Recency": [0.75]})
     (q25, q75), (dormant_from,) = cuts["Monetary"], cuts["Recency"]
+    # one row per segment, written, so that Spark knows its size and does not deal all customers by segment
+    segment_rates = materialize(segment_rates.select("cluster", "churn_rate"))
     rated = segments.select(config.ID, F.col("cluster").alias("segment")).join(
         segment_rates.select(F.col("cluster").alias("segment"), F.col("churn_rate").alias("segment_churn_rate")), "segment", "left"
     )

@@ -139,7 +139,7 @@ def segment_rules(
     """
     ids = segments.filter(F.col("cluster").isNotNull()).select("CustomerID", F.col("cluster").alias("_grp"))
     long = materialize(long_baskets(lines.join(ids, "CustomerID"), item, F.col("_grp")))
-    sizes = basket_sizes(long)
+    sizes = materialize(basket_sizes(long))
     enough = long.join(sizes.filter(F.col("n_baskets") >= min_invoices).select("grp"), "grp", "left_semi")
     rules = association_rules(apriori(enough, min_support), min_confidence, min_lift)
     rules = materialize(top_rules_per_group(prune(rules), top))

@@ -186,3 +186,18 @@ WITH {ALL_SQL} SELECT a AS algorithm, (SELECT count(*) FROM freq) AS n_itemsets,
 FROM (VALUES ('apriori'), ('fpgrowth')) AS t(a)""")
 def _(spark, d):
     return rules.compare_miners(materialize(type_baskets(spark, d)), SUPPORT, CONFIDENCE, LIFT).drop("runtime_s")
+
+
+@register("itemsets_after_filter", f"""
+WITH {CLEAN_SQL}, line AS (SELECT DISTINCT "Invoice", "StockCode" AS item FROM clean WHERE "Invoice" IS NOT NULL AND "StockCode" IS NOT NULL),
+popular AS (SELECT item FROM line GROUP BY 1 HAVING count(*) >= greatest(2, floor(0.002 * (SELECT count(DISTINCT "Invoice") FROM line)))),
+kept AS (SELECT * FROM line WHERE item IN (SELECT item FROM popular)), total AS (SELECT count(DISTINCT "Invoice") AS n_baskets FROM kept),
+sets AS (
+  SELECT item AS items, count(*) AS freq FROM kept GROUP BY 1
+  UNION ALL SELECT a.item || '|' || b.item, count(*) FROM kept a JOIN kept b ON a."Invoice" = b."Invoice" AND a.item < b.item GROUP BY 1)
+SELECT items, freq, n_baskets, freq / n_baskets AS support FROM sets, total WHERE freq >= ceil(0.001 * n_baskets - 1e-9)""", {"support": 9})
+def _(spark, d):
+    """Items and pairs of the whole part catalogue: parts in too few invoices go first, and supports refer to the baskets that are left."""
+    lines = materialize(basket_lines(spark, d, "l_partkey").select("Invoice", "StockCode"))
+    kept = baskets.keep_popular(lines, baskets.popular_items(lines, 0.002, 2))
+    return as_text(baskets.apriori(materialize(baskets.long_baskets(kept)), 0.001, max_length=2), "items").drop("grp")
