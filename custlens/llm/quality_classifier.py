@@ -3,7 +3,7 @@
 Statistics come from one narrow pass over the texts (`text_stats`). Trees are grown level by level on binned features, by
 sums of gradients per node, feature and bin, and are flattened into arrays in heap order (children of i: 2i + 1, 2i + 2), so
 that a batch of rows goes through all trees by a few numpy takes. The fit uses a sample of labelled rows of at most
-`fit_rows` (those with the smallest hash of the id), which alone goes to the driver; scoring covers every row.
+`fit_rows` (a share of all, those with the smallest hash of the id), which alone goes to the driver; scoring covers every row.
 
 Defined cases: null and empty texts have all statistics 0 and get a score like others. Null, contradicting or absent labels
 do not count. With labels of one kind only, every score is that kind's smoothed share. Repeated rows are scored each.
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from custlens.llm import text_stats
 from custlens.llm.batches import add_columns
 from custlens.llm.quality_rules import agreed_labels
-from custlens.runtime import ship_package
+from custlens.runtime import materialize, ship_package
 
 COUNTS = text_stats.BASE + text_stats.MORE
 # Features: counts on a log scale, and shares (count over count).
@@ -116,7 +116,11 @@ def held_out(key: str = "doc_id") -> Column:
 def fit_on(stats: DataFrame, labels: DataFrame, key: str = "doc_id", fit_rows: int = 20_000) -> Trees:
     """Trees fitted on at most `fit_rows` labelled rows that are not held out."""
     learn = agreed_labels(labels.where(~held_out(key)), key=key)
-    sample = stats.select(F.col(key).alias("_id"), *COUNTS).join(learn, "_id").orderBy(F.xxhash64("_id"), "_id", *COUNTS).limit(fit_rows).toPandas()
+    known = materialize(stats.select(F.col(key).alias("_id"), *COUNTS).join(learn, "_id"))
+    share = fit_rows / max(1, known.count())
+    if share < 1:  # so that no partition sends more than its part of the sample
+        known = known.where(F.xxhash64("_id", F.lit(3)) < F.lit(int((2 * share - 1) * 2**63)))
+    sample = known.orderBy(F.xxhash64("_id", F.lit(3)), "_id", *COUNTS).limit(fit_rows).toPandas()
     return fit(features(sample), sample["_label"].to_numpy(float))
 
 
