@@ -31,8 +31,9 @@ from custlens.runtime import materialize, ship_package
 LEAST_WORDS = 10
 MOST_REPEATED = 20
 
-# Shares of good texts that each step of the ladder would reject by each single rule, loosest first.
-LADDER = (0.0, 0.0005, 0.001, 0.002, 0.004, 0.008)
+# Steps of the ladder, loosest first: the share of good texts beyond a rule's cutoff, and how much further out the cutoff lies,
+# as a part of its distance from the median. The highest values of one half are exceeded in the other, so it starts beyond them.
+LADDER = ((0.0, 1.0), (0.0, 0.5), (0.0, 0.2), (0.0, 0.0), (0.0005, 0.0), (0.001, 0.0), (0.002, 0.0), (0.004, 0.0))
 
 RULES: dict[str, tuple[str, str]] = {
     "symbols": ("n_symbols", "word_chars"),
@@ -89,9 +90,12 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, stratum: str = "lang", key:
     labelled = stats.where(~base_failed()).select(F.col(key).alias("_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"), *[share(r).alias(r) for r in RULES])
     labelled = materialize(labelled.join(agreed_labels(labels, key=key), "_id").withColumn("_fit", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(2)) == 0))
     good = labelled.where("_fit and _label = 1")
-    points = [1 - q for q in LADDER]
-    ladder = good.groupBy("_stratum").agg(*[F.percentile_approx(r, F.array(*map(F.lit, points)), F.lit(20_000)).alias(r) for r in RULES])
-    ladder = materialize(ladder.select("_stratum", F.posexplode(F.arrays_zip(*RULES)).alias("_level", "_cut")).select("_stratum", "_level", *[F.col(f"_cut.{r}").alias(f"cut_{r}") for r in RULES]))
+    points = [*[1 - q for q, _ in LADDER], 0.5]
+    found = good.groupBy("_stratum").agg(*[F.percentile_approx(r, F.array(*map(F.lit, points)), F.lit(20_000)).alias(r) for r in RULES])
+    out = F.element_at(F.array(*[F.lit(x) for _, x in LADDER]), F.col("_level") + 1)
+    cut = {r: F.get(r, F.col("_level")) + out * (F.get(r, F.col("_level")) - F.get(r, F.lit(len(LADDER)))) for r in RULES}
+    ladder = found.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(len(LADDER) - 1))))
+    ladder = materialize(ladder.select("_stratum", "_level", *[c.alias(f"cut_{r}") for r, c in cut.items()]))
     tests = max(1, ladder.count())
     rejected = F.greatest(*[(F.col(r) > F.col(f"cut_{r}")).cast("int") for r in RULES])
     counted = (
