@@ -5,15 +5,16 @@ from __future__ import annotations
 import numpy as np
 
 # Cells of the diagonal matrix that may stand in memory; beyond it rows of the band are computed one by one.
-MATRIX_CELLS = 20_000_000
+MATRIX_CELLS = 8_000_000
 FIRST_BAND = 8
 
 
 def similarity(a: list, b: list, least: float) -> float:
-    """The edit similarity of two sequences if it is at least `least`, else 0. Two empty sequences have 1.
+    """Edit similarity of two sequences by the narrowest band that shows at least `least`, or 0 if no alignment does.
 
-    Equal ends are cut off, a bound from the bags of words rejects most unlike pairs, and the band doubles until the
-    distance lies within it or no distance within it could matter.
+    Equal ends are cut off and a bound from the bags of words rejects most unlike pairs. A path inside a band is an
+    alignment, so a narrow band can accept; only the band of the largest distance that matters can reject. The value is
+    that of the alignment found (the true one is no smaller). Two empty sequences have 1.
     """
     longer = max(len(a), len(b))
     if not longer:
@@ -29,15 +30,15 @@ def similarity(a: list, b: list, least: float) -> float:
     if bound > most:
         return 0.0
     x, y = _middle(x, y)
-    band = max(FIRST_BAND, 2 * bound)
+    band = abs(len(x) - len(y)) + FIRST_BAND
     while True:
         band = min(band, most)
-        d = distance(x, y, band)
+        d = distance(x, y, band, most)
         if d is not None:
             return 1 - d / longer
         if band == most:
             return 0.0
-        band *= 2
+        band *= 4
 
 
 def _middle(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,42 +52,46 @@ def _middle(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[: len(x) - tail], y[: len(y) - tail]
 
 
-def distance(x: np.ndarray, y: np.ndarray, band: int) -> int | None:
-    """Edit distance if it is at most `band`, else None."""
+def distance(x: np.ndarray, y: np.ndarray, band: int, most: int) -> int | None:
+    """Edits of the best alignment that stays on diagonals -band .. band, if at most `most`, else None."""
     if abs(len(x) - len(y)) > band:
         return None
     if not len(x) or not len(y):
-        return max(len(x), len(y))
-    if (2 * band + 1) * (len(x) + 1) <= MATRIX_CELLS:
-        return _by_diagonals(x, y, band)
-    return _by_rows(x, y, band)
+        d = max(len(x), len(y))
+        return d if d <= most else None
+    if (2 * band + 1) * (len(x) + 2) <= MATRIX_CELLS:
+        return _by_diagonals(x, y, band, most)
+    return _by_rows(x, y, band, most)
 
 
-def _by_diagonals(x: np.ndarray, y: np.ndarray, band: int) -> int | None:
+def _by_diagonals(x: np.ndarray, y: np.ndarray, band: int, most: int) -> int | None:
     """Furthest place reached on each diagonal with 0, 1, 2, ... edits; `stop[k, i]` is the next mismatch from i on."""
     n, m = len(x), len(y)
     shift = np.arange(-band, band + 1)
-    at = np.arange(n)[None, :] + shift[:, None]
-    off = (at < 0) | (at >= m)
-    differ = off | (y[np.clip(at, 0, m - 1)] != x[None, :])
-    stop = np.full((2 * band + 1, n + 2), n, np.int32)
-    stop[:, :n] = np.minimum.accumulate(np.where(differ, np.arange(n, dtype=np.int32), np.int32(n))[:, ::-1], axis=1)[:, ::-1]
-    rows, goal, none = np.arange(2 * band + 1), m - n + band, -(2**30)
+    stop = np.empty((2 * band + 1, n + 2), np.int32)
+    place = np.arange(n + 2, dtype=np.int32)
+    for row, k in enumerate(range(-band, band + 1)):
+        lo, hi = max(0, -k), max(0, -k, min(n, m - k))
+        stop[row, :lo] = place[:lo]
+        stop[row, hi:] = np.minimum(place[hi:], n)
+        ahead = np.where(x[lo:hi] != y[lo + k : hi + k], place[lo:hi], np.int32(hi))
+        stop[row, lo:hi] = np.minimum.accumulate(ahead[::-1])[::-1]
+    rows, goal, none, limit = np.arange(2 * band + 1), m - n + band, -(2**30), np.minimum(n, m - shift)
     reach = np.full(2 * band + 3, none, np.int64)  # one more diagonal on each side
     reach[band + 1] = stop[band, 0]
-    for d in range(band + 1):
+    for d in range(most + 1):
         if d:
-            inner = np.maximum(np.maximum(reach[1:-1] + 1, reach[2:] + 1), reach[:-2])
-            inner = np.where(inner < 0, none, np.minimum(inner, np.minimum(n, m - shift)))
+            inner = np.minimum(np.maximum(np.maximum(reach[1:-1] + 1, reach[2:] + 1), reach[:-2]), limit)
             live = inner >= 0
-            inner[live] = np.maximum(inner[live], stop[rows[live], inner[live]])
+            inner[live] = stop[rows[live], inner[live]]
+            inner[~live] = none
             reach[1:-1] = inner
         if reach[goal + 1] >= n:
             return d
     return None
 
 
-def _by_rows(x: np.ndarray, y: np.ndarray, band: int) -> int | None:
+def _by_rows(x: np.ndarray, y: np.ndarray, band: int, most: int) -> int | None:
     n, m, width, far = len(x), len(y), 2 * band + 1, 2**30
     step = np.arange(width)
     j = step - band
@@ -100,7 +105,7 @@ def _by_rows(x: np.ndarray, y: np.ndarray, band: int) -> int | None:
         new[(j < 0) | (j > m)] = far
         row = np.minimum.accumulate(new - step) + step
         row[(j < 0) | (j > m)] = far
-        if row.min() > band:
+        if row.min() > most:
             return None
     d = int(row[m - n + band])
-    return d if d <= band else None
+    return d if d <= most else None

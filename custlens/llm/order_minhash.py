@@ -7,8 +7,8 @@ the order. A candidate pair is a link if a banded alignment of the words has an
 Classes are the connected components of the links.
 
 Work per entry is linear. Equal texts are one node. In each bucket of equal entries all members meet the member with the
-smallest id first; only if the bucket then still holds several classes, members of different classes meet each other, and
-only if two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No bucket is one task and no
+smallest id first. While the bucket then still holds several classes, a member outside its largest class meets those of other
+classes, for some rounds; after that all such members do, and only if two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No bucket is one task and no
 member is left out: a pair inside one class already needs no comparison, any other is compared.
 
 Defined cases: a null text is an empty one. Texts with fewer than five words have one k-mer of all their words; texts
@@ -39,6 +39,8 @@ LEAST = 2
 SKETCHES = 24
 SIMILAR = 0.8
 CELLS = 256
+# Rounds in which one more member of each bucket that holds several classes meets the rest, before all that are left meet.
+STAR_ROUNDS = 3
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -150,8 +152,27 @@ def _split(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+def contracted_components(found: DataFrame) -> DataFrame:
+    """(node, root): the smallest reachable id of each linked node.
+
+    Every node is first drawn into its smallest neighbour; only links between such neighbours, a small graph of hubs,
+    go through the rounds of the general algorithm.
+    """
+    edges = found.select(F.least("u", "v").alias("hub"), F.greatest("u", "v").alias("node")).where("hub <> node")
+    drawn = materialize(edges.groupBy("node").agg(F.min("hub").alias("into"), F.max("hub").alias("_last"), F.array_sort(F.collect_set("hub")).alias("hubs")))
+    between = drawn.where("into <> _last").select(F.col("into").alias("u"), F.explode("hubs").alias("v")).where("u <> v")
+    # a hub that was drawn into another one hands its nodes on
+    between = materialize(between.unionByName(drawn.select(F.col("into").alias("u"), F.col("node").alias("v")).join(edges.select(F.col("hub").alias("v")).distinct(), "v", "left_semi").select("u", "v")).distinct())
+    hubs = edges.select(F.col("hub").alias("node"), F.col("hub").alias("into")).distinct()
+    ends = drawn.select("node", "into").unionByName(hubs)
+    if between.isEmpty():
+        return ends.groupBy("node").agg(F.min("into").alias("root"))
+    roots = components(between).withColumnRenamed("node", "into")
+    return ends.join(roots, "into", "left").groupBy("node").agg(F.min(F.coalesce("root", "into")).alias("root"))
+
+
 def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links `u`, `v` between distinct texts. `nodes`: `id`, `_words`, `_entries`, `_cells`; `texts`: `id`, `text`; both written tables.
+    """Classes (node, root) of distinct texts that have links. `nodes`: `id`, `_words`, `_entries`, `_cells`; `texts`: `id`, `text`; both written tables.
 
     Every candidate pair is either verified, or its two texts are in one class through other links.
     """
@@ -161,20 +182,51 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     involved = members.select("id").distinct()
     used = materialize(texts.join(involved, "id", "left_semi"))
     star = members.where((F.col("id") != F.col("first")) & _lengths_allow("_words", "first_words")).select(F.col("first").alias("u"), F.col("id").alias("v")).distinct()
-    star_links = materialize(verified(star, used))
-    classes = materialize(components(star_links))
-    placed = members.where("_n > 2").join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = placed.groupBy("entry").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select("entry")
-    mixed = materialize(placed.join(mixed, "entry", "left_semi").select("entry", "id", "root", "first", "_words"))
-    cells = nodes.join(mixed.select("id").distinct(), "id", "left_semi").select("id", "_cells")
-    mixed = mixed.join(cells, "id")
-    left = mixed.select("entry", *[F.col(c).alias(f"u{c}") for c in ("id", "root", "first", "_words", "_cells")])
-    right = mixed.select("entry", *[F.col(c).alias(f"v{c}") for c in ("id", "root", "_words", "_cells")])
-    # members of one bucket in different classes; pairs with the bucket's first member have been verified
-    apart = (F.col("uid") < F.col("vid")) & (F.col("uroot") != F.col("vroot")) & (F.col("uid") != F.col("ufirst"))
-    cross = left.join(right, (left["entry"] == right["entry"]) & apart & _lengths_allow("u_words", "v_words") & _cells_allow())
-    cross = cross.select(F.col("uid").alias("u"), F.col("vid").alias("v")).distinct()
-    return star_links.unionByName(materialize(verified(cross, used)))
+    classes = materialize(contracted_components(verified(star, used)))
+    several = members.where("_n > 2").select("entry", "id", "first", "_words")
+    for ask_all in [*[False] * STAR_ROUNDS, True]:
+        mixed = _mixed(several, classes, nodes)
+        pairs = materialize(_apart(mixed, ask_all))
+        if pairs.isEmpty():
+            continue
+        joined = verified(pairs, used).join(pairs, ["u", "v"]).select(F.col("uroot").alias("u"), F.col("vroot").alias("v")).distinct()
+        classes = _merged(classes, materialize(joined))
+    return classes
+
+
+def _mixed(several: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, with their class `root`, the bucket's `largest` class and their cells."""
+    placed = several.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = placed.groupBy("entry", "root").agg(F.count("*").alias("_n"))
+    largest = sizes.groupBy("entry").agg(F.max_by("root", F.struct("_n", "root")).alias("largest"), F.count("*").alias("_classes")).where("_classes > 1")
+    mixed = materialize(placed.join(largest.select("entry", "largest"), "entry"))
+    return mixed.join(nodes.select("id", "_cells"), "id")
+
+
+def _apart(mixed: DataFrame, ask_all: bool) -> DataFrame:
+    """Pairs `u`, `v` of one bucket in different classes `uroot`, `vroot`, where bounds let them be near.
+
+    Members outside the bucket's largest class ask: all of them, or only the smallest of each bucket. Pairs with the
+    bucket's first member have been verified before.
+    """
+    asking = mixed.where("root <> largest and id <> first")
+    if not ask_all:
+        asking = asking.join(asking.groupBy("entry").agg(F.min("id").alias("id")), ["entry", "id"], "left_semi")
+    left = asking.select("entry", *[F.col(c).alias(f"u{c}") for c in ("id", "root", "_words", "_cells")])
+    right = mixed.where("id <> first").select("entry", F.col("largest").alias("vlargest"), *[F.col(c).alias(f"v{c}") for c in ("id", "root", "_words", "_cells")])
+    once = (F.col("vroot") == F.col("vlargest")) | (F.col("uid") < F.col("vid")) | F.lit(not ask_all)
+    near = (F.col("uroot") != F.col("vroot")) & once & _lengths_allow("u_words", "v_words") & _cells_allow()
+    return left.join(right, (left["entry"] == right["entry"]) & near).select(F.col("uid").alias("u"), F.col("vid").alias("v"), "uroot", "vroot").distinct()
+
+
+def _merged(classes: DataFrame, joined: DataFrame) -> DataFrame:
+    """`classes` after links `u`, `v` between roots."""
+    if joined.isEmpty():
+        return classes
+    merged = contracted_components(joined).select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    alone = joined.select(F.col("u").alias("node")).unionByName(joined.select(F.col("v").alias("node"))).select("node", F.col("node").alias("root"))
+    before = classes.unionByName(alone).distinct()
+    return materialize(before.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
 
 
 def _cells_allow() -> Column:
@@ -191,10 +243,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     same = materialize(coded.select("id", "code", F.col("_words").alias("n_words")).distinct().join(equal, "code").select("id", "text_id", "n_words"))
     nodes = coded.join(same.select(F.col("text_id").alias("id")).distinct(), "id", "left_semi").select("id", "_words", "_entries", "_cells").dropDuplicates(["id"])
     nodes = materialize(nodes)
-    found = links(nodes, rows)
+    classes = links(nodes, rows)
     per_id = same.groupBy("id").agg(F.min("text_id").alias("text_id"), F.max("text_id").alias("_last"), F.max("n_words").alias("n_words"))
     # an id with several texts ties them together
     several = per_id.where("text_id <> _last").select("id", F.col("text_id").alias("u"))
-    tied = several.join(same.select("id", F.col("text_id").alias("v")), "id").where("u <> v").select("u", "v")
-    classes = components(found.select("u", "v").unionByName(tied)).withColumnRenamed("node", "text_id")
+    if not several.isEmpty():
+        tied = several.join(same.select("id", F.col("text_id").alias("v")), "id").where("u <> v").select("u", "v")
+        classes = contracted_components(tied.unionByName(classes.select(F.col("root").alias("u"), F.col("node").alias("v"))))
+    classes = classes.withColumnRenamed("node", "text_id")
     return per_id.join(classes, "text_id", "left").select("id", F.coalesce("root", "text_id").alias("class_id"), "text_id", "n_words")

@@ -41,13 +41,16 @@ def test_distances_equal_plain():
         b = edited(rng, a, rng.randrange(8)) if rng.random() < 0.7 else [rng.randrange(6) for _ in range(rng.randrange(1, 25))]
         d = plain_distance(a, b)
         x, y = (np.unique(a + b, return_inverse=True)[1][s] for s in (slice(0, len(a)), slice(len(a), None)))
-        for band in (0, 1, 3, 30):
-            want = d if d <= band else None
-            assert alignment.distance(x, y, band) == want
+        for band, most in ((0, 9), (1, 1), (3, 3), (3, 40), (30, 30)):
+            got = alignment.distance(x, y, band, most)
+            if min(band, most) >= d:
+                assert got == d
+            elif got is not None:
+                assert d <= got <= most
             if len(x) and len(y) and abs(len(x) - len(y)) <= band:
-                assert alignment._by_rows(x, y, band) == want
-        s = 1 - d / max(len(a), len(b))
-        assert alignment.similarity(a, b, 0.6) == pytest.approx(s if s >= 0.6 else 0.0)
+                assert alignment._by_rows(x, y, band, most) == got
+        s = alignment.similarity(a, b, 0.6)
+        assert (s >= 0.6) == (1 - d / max(len(a), len(b)) >= 0.6) and s <= 1 - d / max(len(a), len(b)) + 1e-12
     assert alignment.similarity([], [], 0.8) == 1.0 and alignment.similarity([], ["a"], 0.8) == 0.0
 
 
@@ -106,3 +109,16 @@ def test_odd_rows(spark):
     got = {r.id: r.class_id for r in order_minhash.near_duplicates(df).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8, 9: 8, 10: 10, 11: 10}
     assert order_minhash.near_duplicates(df.where("false")).count() == 0
+
+
+def test_contracted_components(spark):
+    rng = random.Random(4)
+    for n, m in ((60, 20), (60, 45), (40, 120)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(100, 130)]
+        root = {i: i for e in edges for i in e}
+        for _ in root:
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        got = order_minhash.contracted_components(spark.createDataFrame(edges, "u long, v long")).collect()
+        alone = {a for a, b in edges if a == b} - {i for a, b in edges if a != b for i in (a, b)}
+        assert len(got) == len({r.node for r in got}) and {r.node: r.root for r in got} == {i: r for i, r in root.items() if i not in alone}
