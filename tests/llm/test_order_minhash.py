@@ -122,3 +122,44 @@ def test_contracted_components(spark):
         got = order_minhash.contracted_components(spark.createDataFrame(edges, "u long, v long")).collect()
         alone = {a for a, b in edges if a == b} - {i for a, b in edges if a != b for i in (a, b)}
         assert len(got) == len({r.node for r in got}) and {r.node: r.root for r in got} == {i: r for i, r in root.items() if i not in alone}
+
+
+def replaced(rng, words, edits, name):
+    words = list(words)
+    for k, i in enumerate(rng.sample(range(len(words)), edits)):
+        words[i] = f"{name}_{k}"
+    return words
+
+
+def test_planted_pairs_are_found(spark):
+    """Pairs with words replaced at scattered places: all of them in short texts, 99 % in longer ones."""
+    rng, docs, pairs = random.Random(8), {}, {}
+    for n, sizes in ((5, 20), (10, 40), (12, 40), (15, 40), (16, 40), (40, 40), (128, 40), (129, 150), (250, 150)):
+        for similar in (0.8, 0.85, 0.9):
+            for _ in range(sizes):
+                base, at = ["w%d" % rng.randrange(10**9) for _ in range(n)], len(docs)
+                docs[at], docs[at + 1] = " ".join(base), " ".join(replaced(rng, base, int((1 - similar) * n + 1e-9), f"r{at}"))
+                pairs.setdefault((n > order_minhash.SHORT, similar), []).append(at)
+    # every fifth word replaced: no run of five words is left
+    for n in (10, 15, 60, 125):
+        base, at = ["v%d" % rng.randrange(10**9) for _ in range(n)], len(docs)
+        docs[at], docs[at + 1] = " ".join(base), " ".join("x%d" % i if i % 5 == 4 else w for i, w in enumerate(base))
+        pairs[False, 0.8].append(at)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.id: r.class_id for r in order_minhash.near_duplicates(df).collect()}
+    assert all(got[a] in (a, a - 1) for a in got)
+    recall = {k: sum(got[a] == got[a + 1] for a in found) / len(found) for k, found in pairs.items()}
+    print(recall)
+    assert all(v >= (0.99 if long else 1) for (long, _), v in recall.items())
+
+
+def test_short_texts_equal_brute_force(spark):
+    rng, docs = random.Random(9), {}
+    for n in (3, 5, 9, 11, 13, 14, 16, 19, 20, 33):
+        for family in range(5):
+            base = ["s%d_%d_%d" % (n, family, rng.randrange(40)) for _ in range(n)]
+            for _ in range(8):
+                docs[len(docs)] = " ".join(edited(rng, base, rng.randrange(1 + n // 5)))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.id: r.class_id for r in order_minhash.near_duplicates(df).collect()}
+    assert got == brute_classes(docs)
