@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of `documents`. `run`
 writes each result to the shared folder and rereads it as the next stage's input. Labels are read from `sf_dir`; each stage
-fits on its own input. Rows with null ids, null or empty texts, and repeated rows pass through by the operators' own rules.
+fits on its own input. Null or empty texts pass through by the operators' own rules, as do rows with null ids and repeated rows,
+but that of near-duplicate rows one stays, whatever their ids.
 """
 
 from __future__ import annotations
@@ -38,9 +39,12 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: that with the smallest id."""
-    found = order_minhash.near_duplicates(docs.select("doc_id", "text"))
-    return docs.select(*COLUMNS).join(found.where("id <> class_id").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    """One row of each class of near-duplicates: that with the smallest id, a null one last. Rows are told apart by number, not by id."""
+    rows = materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
+    found = order_minhash.near_duplicates(rows, "_row").select(F.col("id").alias("_row"), "class_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
+    kept = rows.select("_row", "doc_id").join(found, "_row").groupBy("class_id").agg(first)
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def repeated_strings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ smallest id first. While the bucket then still holds several classes, a member o
 classes, for some rounds; after that all such members do, and only if two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No bucket is one task and no
 member is left out: a pair inside one class already needs no comparison, any other is compared.
 
-Defined cases: a null text is an empty one. Texts without words are near only to equal texts. Rows that share an id are one document. Rows with a null id are left out of the
-result. Extra columns are ignored.
+Defined cases: a null text is an empty one. Texts without words are near only to equal texts. Rows that share an id are one document. `near_duplicates` leaves rows with a null id out,
+`near_duplicates_of_all` does not. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from custlens.functions.ordering import global_rank
 from custlens.llm import alignment
 from custlens.llm.batches import add_columns
 from custlens.llm.bpe import hash_tables
@@ -324,3 +325,21 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         classes = contracted_components(tied.unionByName(classes.select(F.col("root").alias("u"), F.col("node").alias("v"))))
     classes = classes.withColumnRenamed("node", "text_id")
     return per_id.join(classes, "text_id", "left").select("id", F.coalesce("root", "text_id").alias("class_id"), "text_id", "n_words")
+
+
+def near_duplicates_of_all(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`near_duplicates`, and a row with a null `id` for each row with a null id.
+
+    Each distinct text of such rows has a number of its own above all ids, which stands as `text_id` or `class_id` where no id does.
+    """
+    rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    nameless = materialize(rows.where("id is null").select("text", F.sha2("text", 256).alias("code")))
+    if nameless.isEmpty():
+        return near_duplicates(df, key, text)
+    top = rows.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    numbers = global_rank(nameless.select("code").distinct(), [F.asc("code")], "_r").select("code", (F.col("_r") + top).alias("id"))
+    numbers = materialize(numbers)
+    named = nameless.dropDuplicates(["code"]).join(numbers, "code").select("id", "text")
+    found = materialize(near_duplicates(rows.where("id is not null").unionByName(named), "id"))
+    again = nameless.select("code").join(numbers, "code").join(found, "id").select(F.lit(None).cast("long").alias("id"), "class_id", "text_id", "n_words")
+    return found.where(F.col("id") <= top).unionByName(again)

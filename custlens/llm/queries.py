@@ -100,7 +100,7 @@ def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_order_minhash")
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    found = order_minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    found = order_minhash.near_duplicates_of_all(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "text_id", "n_words")
 
 

@@ -163,3 +163,12 @@ def test_short_texts_equal_brute_force(spark):
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     got = {r.id: r.class_id for r in order_minhash.near_duplicates(df).collect()}
     assert got == brute_classes(docs)
+
+
+def test_rows_without_id_have_a_class(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    df = spark.createDataFrame([(4, one), (None, one), (None, one + " end"), (None, two), (None, two), (9, "c d e")], "doc_id long, text string")
+    got = sorted(((r.id, r.class_id, r.text_id) for r in order_minhash.near_duplicates_of_all(df).collect()), key=str)
+    end, other = (next(t for i, c, t in got if i is None and (c == 4) == near and t != 4) for near in (True, False))
+    assert got == sorted([(4, 4, 4), (None, 4, 4), (None, 4, end), (None, other, other), (None, other, other), (9, 9, 9)], key=str)
+    assert {end, other} <= {10, 11, 12}

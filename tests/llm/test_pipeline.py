@@ -108,3 +108,21 @@ def test_run_and_empty_input(spark, stages):
     for _, stage in cp.STAGES:
         docs = materialize(stage(spark, docs, FOLDER))
     assert docs.count() == 0
+
+
+def test_one_row_of_each_group_keeps_its_text(spark):
+    """Repeated rows, and rows with and without an id: the text of each group survives once through the repeated strings."""
+    one, two, three = (" ".join(f"{x}{i * i}" for i in range(120)) for x in "abc")
+    rows = [(5, one), (5, one), (None, one), (7, one + " tail"), (None, two), (None, two), (3, three)]
+    docs = materialize(spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], SCHEMA).repartition(3))
+    for stage in (cp.near_duplicates_stage, cp.repeated_strings_stage):
+        docs = materialize(stage(spark, docs, FOLDER))
+        assert sorted(((r.doc_id, r.text) for r in docs.collect()), key=str) == sorted([(5, one), (None, two), (3, three)], key=str)
+
+
+def test_near_duplicates_by_row(stages):
+    """Every row of the stage's input is a document of its own, whatever its id; of each class one stays."""
+    _, before, after = stages[2]
+    rows = sorted(before, key=lambda r: (r[0] is None, r[0] or 0))
+    classes = brute_classes(dict(enumerate(r[1] for r in rows)))
+    assert rows_of(after) == sorted(repr(r) for i, r in enumerate(rows) if classes[i] == i)
