@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity
+from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity, whitening
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,13 @@ def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
     return vantage_tree.neighbours(index, rows.where("id % 50 = 0"), NEAREST, PRUNE_FACTOR)
 
 
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = whitening.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    white = whitening.whiten(vectors, whitening.fit(vectors))
+    return white.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation as long)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 @query("op6_order_minhash")
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = order_minhash.near_duplicates_of_all(table(spark, folder, "documents").select("doc_id", "text"))
