@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, order_minhash, packing, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity, whitening
+from custlens.llm import bpe_codec, order_minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity, whitening
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,23 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return white.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation as long)").alias("deviation"), "whitened", "explained", "identity_error")
 
 
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", periodic_runs.planted("doc_id", "text").alias("text"))
+    found = periodic_runs.periodic_runs(docs, keep_text=False).withColumn("longest", periodic_runs.longest())
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op6_order_minhash")
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = order_minhash.near_duplicates_of_all(table(spark, folder, "documents").select("doc_id", "text"))
