@@ -258,9 +258,9 @@ def periodic_runs(df: DataFrame, text: str = "text", keep_text: bool = True) ->
     gone = {"n_words", "runs", "collapsed"} | (set() if keep_text else {text.lower()})
     kept = [c for c in df.columns if c.lower() not in gone]
     # the input goes along in one column, which no name can clash with
-    asked = df.select(F.struct(*[F.col(f"`{c}`") for c in kept], F.lit(0).alias("_")).alias("_input"), F.col(f"`{text}`").cast("string").alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    asked = df.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("_input"), F.col(f"`{text}`").cast("string").alias("_text"), F.monotonically_increasing_id().alias("_row"))
     first = materialize(with_fragments(asked, "_text").withColumn("_text", F.when(F.size("_fragments") > 0, F.col("_text"))))
-    out = [*[F.col(f"_input.`{c}`") for c in kept], "n_words", "runs", "collapsed"]
+    out = [*[F.col(f"_input.c{i}").alias(c) for i, c in enumerate(kept)], "n_words", "runs", "collapsed"]
     plain = first.where("size(_fragments) = 0").withColumn("runs", F.array().cast(RUNS)).select(*out)
     some = first.where("size(_fragments) > 0")
     runs = stitch(some.select("_row", F.inline("_fragments"))).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("_runs"))

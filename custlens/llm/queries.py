@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custlens.llm import bpe_codec, order_minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, vantage_tree, warc_fixity, whitening
+from custlens.llm import bpe_codec, order_minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, suffix_dedup, token_counts, toxicity, vantage_tree, warc_fixity, whitening
 from custlens.runtime import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +122,13 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op13_toxic_spans")
+def op13_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.with_score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"), "spans")
+
+
 @query("op6_order_minhash")
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = order_minhash.near_duplicates_of_all(table(spark, folder, "documents").select("doc_id", "text"))
