@@ -6,8 +6,8 @@ first: toxic is a word of a toxic document whose letters stand in toxic document
 likelihood-ratio test over all buckets on *different* contexts (neighbour, word, neighbour), so that copies of a text count
 once. The field is then fitted on these labelled words by its exact gradient, expected minus observed counts by
 forward-backward. Scoring runs forward-backward over every word of every text; words whose marginal is at least `MARGINAL`
-make up the offending spans, and the sum and maximum of a text's marginals go through a logistic curve fitted on whole
-labelled texts, weighted back to all labels, to the document's score.
+make up the offending spans. The sum of a text's squared marginals (plain ones would add up to something in any long text)
+and their maximum go through a logistic curve fitted on whole labelled texts, weighted back to all labels: the score.
 
 With two states, forward and backward need one number each, the ratio of both states, so a batch is one recursion over
 places for all chains at once. The fit sees at most `fit_rows` labelled texts, half of each label, and `fit_pieces` of their
@@ -129,6 +129,8 @@ class Field:
 
 def toxic_buckets(letters: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Buckets of letters that mark toxic texts. `letters`: the first feature of all words; `toxic`: is a word's text toxic?"""
+    if not len(letters):
+        return np.zeros(0, np.int64)
     first = np.zeros(len(letters), bool)
     first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     before = np.where(first, -1, np.concatenate([[-1], letters[:-1]]))
@@ -269,7 +271,7 @@ def _spans(text: str, chance: np.ndarray, lengths: list[int]) -> list[dict]:
 
 
 def with_marginals(df: DataFrame, model: Field, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """`df` with `n_words`, the sum `mass` and maximum `top` of the words' toxic marginals, and the offending `spans`."""
+    """`df` with `n_words`, the sum `mass` of the squares and the maximum `top` of the words' toxic marginals, and the offending `spans`."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights
     encode = Encoder()
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
@@ -279,7 +281,7 @@ def with_marginals(df: DataFrame, model: Field, text: str = "text", keep_text: b
         field_ = shared.value
         chance, _ = field_.marginals(field_.emissions(features), lengths)
         n = len(texts)
-        words, mass, top = np.bincount(owner, minlength=n), np.bincount(owner, chance, n), np.zeros(n)
+        words, mass, top = np.bincount(owner, minlength=n), np.bincount(owner, chance * chance, n).astype(float), np.zeros(n)
         np.maximum.at(top, owner, chance)
         ends, chains, spans = np.cumsum(words), np.cumsum(lengths), []
         for i in range(n):
@@ -289,7 +291,7 @@ def with_marginals(df: DataFrame, model: Field, text: str = "text", keep_text: b
                 spans.append(_spans(texts[i], chance[lo:hi], own.tolist()))
             else:
                 spans.append([])
-        return [pa.array(words, pa.int64()), pa.array(mass), pa.array(top), pa.array(spans, kind)]
+        return [pa.array(words, pa.int64()), pa.array(mass, pa.float64()), pa.array(top), pa.array(spans, kind)]
 
     fields = [T.StructField("n_words", T.LongType()), T.StructField("mass", T.DoubleType()), T.StructField("top", T.DoubleType()), T.StructField("spans", T._parse_datatype_string(SPANS))]
     return add_columns(df, text, fields, compute, keep_text=keep_text)
