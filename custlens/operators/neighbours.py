@@ -2,21 +2,25 @@
 
 Points are rows (id bigint, x array<double>). They are cut into compact blocks of bounded size along a
 space-filling curve; a block pair is compared inside one task with NumPy, and only k rows per point (or
-one sum per point and cluster) leave it. Pairs of blocks that cannot hold a neighbour are never joined.
+one sum per point and cluster) leave it. Boxes around the blocks form a tree, kept as one table per level; pairs of
+blocks that cannot hold a neighbour are dropped level by level, by joins on the parent box.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from custlens.functions.ordering import global_rank
 from custlens.runtime import materialize, ship_package
 
 BLOCK_ROWS = 2048
+FAN = 16
 CURVE_DIMENSIONS = 6
 CURVE_BITS = 10
 
@@ -36,58 +40,93 @@ def _curve_position(x: Column, lows: list[float], highs: list[float]) -> Column:
     return code
 
 
-def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = ()) -> tuple[DataFrame, np.ndarray]:
-    """Packed blocks (block, n, ids, xs flattened, payload arrays), written once, and their bounding boxes.
+@dataclass
+class Blocks:
+    """Points packed along the curve, and the boxes over them.
 
-    The boxes array has one row [block, n, lows.., highs..] per block, so it is smaller than the data by
-    the block size. The curve position is ranged together with the id, so copies cannot overfill a block.
+    `packed`: one row per block (block, n, ids, xs flattened, payload arrays, lows, highs, least, most), written once. Blocks
+    are the leaves of a tree of boxes: `FAN` consecutive ones share a parent, and so on up. `least` and `most` bound the weights.
     """
-    shape = points.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("d")).first()
-    n, d = shape["n"], shape["d"]
-    if n == 0:
+
+    packed: DataFrame
+    count: int
+    levels: list[DataFrame] = field(default_factory=list)
+
+    @property
+    def height(self) -> int:
+        """Levels until one has at most `FAN` boxes."""
+        out = 1
+        while self.count > FAN**out:
+            out += 1
+        return out
+
+    def level(self, i: int) -> DataFrame:
+        """Boxes `node`, `n`, `lows`, `highs`, `least`, `most` of one level; 0: the blocks."""
+        while len(self.levels) <= i:
+            if not self.levels:
+                self.levels.append(self.packed.select(F.col("block").alias("node"), "n", "lows", "highs", "least", "most"))
+                continue
+            below = self.levels[-1]
+            d = F.size("lows")
+            each = below.select(F.expr(f"node div {FAN}").alias("node"), "n", "least", "most", F.posexplode(F.arrays_zip("lows", "highs")).alias("_j", "_e"), d.alias("_d"))
+            sides = each.groupBy("node", "_j").agg(F.min("_e.lows").alias("l"), F.max("_e.highs").alias("h"), F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+            corner = F.array_sort(F.collect_list(F.struct("_j", "l", "h")))
+            up = sides.groupBy("node").agg(corner.alias("c"), F.max("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+            self.levels.append(materialize(up.select("node", "n", F.col("c.l").alias("lows"), F.col("c.h").alias("highs"), "least", "most")))
+        return self.levels[i]
+
+
+def blocks(points: DataFrame, rows: int = BLOCK_ROWS, payload: tuple[str, ...] = (), weight: str | None = None) -> Blocks:
+    """Blocks of at most `rows` points. The curve position is ranked together with the id, so copies cannot overfill a block."""
+    first = points.select(F.size("x").alias("d")).first()
+    if first is None:
         raise ValueError("no points")
-    n_blocks = math.ceil(n / rows)
-    members = F.array_sort(F.collect_list(F.struct("id", "x", *payload)))
-    columns = [F.size("m").alias("n"), F.col("m.id").alias("ids"), F.flatten("m.x").alias("xs"), *[F.col(f"m.{p}").alias(p) for p in payload]]
+    d = first["d"]
     extent = [F.min(F.col("x")[j]).alias(f"l{j}") for j in range(d)] + [F.max(F.col("x")[j]).alias(f"h{j}") for j in range(d)]
-    edges = points.agg(*extent).first()
+    edges = points.agg(F.count("*").alias("n"), *extent).first()
     position = _curve_position(F.col("x"), [edges[f"l{j}"] for j in range(d)], [edges[f"h{j}"] for j in range(d)])
-    ranged = points.withColumn("_z", position).repartitionByRange(n_blocks, "_z", "id").drop("_z")
-    placed = materialize(ranged.withColumn("block", F.spark_partition_id()))
+    placed = global_rank(points.withColumn("_z", position), [F.asc("_z"), F.asc("id")], "_r").withColumn("block", F.expr(f"(_r - 1) div {rows}"))
+    members = F.array_sort(F.collect_list(F.struct("id", "x", *payload)))
+    columns = [F.size("m").cast("bigint").alias("n"), F.col("m.id").alias("ids"), F.flatten("m.x").alias("xs"), *[F.col(f"m.{p}").alias(p) for p in payload]]
     corners = [F.array(*[F.col(f"{e}{j}") for j in range(d)]).alias(n) for e, n in (("l", "lows"), ("h", "highs"))]
-    packed = materialize(placed.groupBy("block").agg(members.alias("m"), *extent).select("block", *columns, *corners))
-    boxes = packed.select("block", "n", "lows", "highs").toPandas()
-    table = np.column_stack([boxes["block"], boxes["n"], np.vstack(boxes["lows"]), np.vstack(boxes["highs"])]).astype(float)
-    return packed.drop("lows", "highs"), table
+    size = F.col(weight).cast("double") if weight else F.lit(1.0)
+    packed = placed.groupBy("block").agg(members.alias("m"), F.min(size).alias("least"), F.max(size).alias("most"), *extent)
+    return Blocks(materialize(packed.select("block", *columns, *corners, "least", "most")), math.ceil(edges["n"] / rows))
 
 
-def _candidate_pairs(spark, query_boxes: np.ndarray, train_boxes: np.ndarray, k: int) -> DataFrame:
-    """Block pairs (a, b) that may hold a k-nearest neighbour, by box distances alone.
+def _near_pairs(query: Blocks, train: Blocks, k: int, weighted: bool = False) -> DataFrame:
+    """Block pairs (a, b) that may hold a k-nearest neighbour, found by descending both trees level by level.
 
-    The k-th neighbour of any point in box a is no farther than the k-th smallest farthest-corner
-    distance over train boxes (counted with their sizes); boxes nearer than that bound stay.
+    The k-th neighbour of any point in box a is no farther than the k-th smallest farthest-corner distance over the boxes
+    that a still meets (counted with their sizes); boxes nearer than that bound stay, and only their children are joined on
+    the parent. `weighted` distances are those of Ward: w v / (w + v) times the square, which grows with either weight.
     """
-    d = (train_boxes.shape[1] - 2) // 2
-    shared = spark.sparkContext.broadcast(train_boxes)
-
-    def pairs(batches):
-        t = shared.value
-        t_low, t_high, t_n = t[:, 2 : 2 + d], t[:, 2 + d :], t[:, 1]
-        for pdf in batches:
-            for a, low, high in zip(pdf["block"], pdf["lows"], pdf["highs"]):
-                gap = np.maximum(np.maximum(t_low - high, low - t_high), 0.0)
-                far = np.maximum(np.abs(t_high - low), np.abs(high - t_low))
-                nearest, farthest = (gap**2).sum(1), (far**2).sum(1)
-                order = np.argsort(farthest)
-                enough = np.searchsorted(np.cumsum(t_n[order]), k)
-                bound = farthest[order[min(enough, len(order) - 1)]]
-                keep = nearest <= bound * (1 + 1e-9)
-                yield pd.DataFrame({"a": int(a), "b": t[keep, 0].astype("int64")})
-
-    rows = [(int(r[0]), r[2 : 2 + d].tolist(), r[2 + d :].tolist()) for r in query_boxes]
-    frame = spark.createDataFrame(rows, "block bigint, lows array<double>, highs array<double>")
-    parts = max(1, min(len(rows) // 64, 4096))
-    return frame.repartition(parts).mapInPandas(pairs, "a bigint, b bigint")
+    a_side = lambda t: t.select(F.col("node").alias("a"), F.expr(f"node div {FAN}").alias("a_up"), *[F.col(c).alias(f"a_{c}") for c in ("lows", "highs", "least", "most")])
+    b_side = lambda t: t.select(F.col("node").alias("b"), F.expr(f"node div {FAN}").alias("b_up"), "n", *[F.col(c).alias(f"b_{c}") for c in ("lows", "highs", "least", "most")])
+
+    def squares(ends: Column) -> Column:
+        return F.aggregate(ends, F.lit(0.0), lambda s, v: s + v * v)
+
+    def scale(bound: str) -> Column:
+        w, v = F.col(f"a_{bound}"), F.col(f"b_{bound}")
+        return w * v / (w + v) if weighted else F.lit(1.0)
+
+    minus = lambda p, q: F.zip_with(p, q, lambda x, y: x - y)
+    gap = F.zip_with(minus("b_lows", "a_highs"), minus("a_lows", "b_highs"), lambda p, q: F.greatest(p, q, F.lit(0.0)))
+    reach = F.zip_with(minus("b_highs", "a_lows"), minus("a_highs", "b_lows"), lambda p, q: F.greatest(F.abs(p), F.abs(q)))
+    whole = Window.partitionBy("a")
+    upto = whole.orderBy("far", "b").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = None
+    for level in range(max(query.height, train.height) - 1, -1, -1):
+        asked, found = a_side(query.level(level)), b_side(train.level(level))
+        if pairs is None:  # all boxes of the top have parent 0
+            met = asked.join(found, F.col("a_up") == F.col("b_up"))
+        else:
+            met = pairs.select(F.col("a").alias("a_up"), F.col("b").alias("b_up")).join(asked, "a_up").join(found, "b_up")
+        bounds = met.select("a", "b", "n", (squares(gap) * scale("least")).alias("near"), (squares(reach) * scale("most")).alias("far"))
+        enough = bounds.withColumn("_upto", F.sum("n").over(upto)).withColumn("_bound", F.min(F.when(F.col("_upto") >= k, F.col("far"))).over(whole))
+        pairs = materialize(enough.where(F.col("_bound").isNull() | (F.col("near") <= F.col("_bound") * (1 + 1e-9))).select("a", "b"))
+    return pairs
 
 
 def _matrix(flat, n: int) -> np.ndarray:
@@ -103,12 +142,16 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _nearest_in_pair(k: int):
+def _nearest_in_pair(k: int, weighted: bool):
     def run(batches):
         for pdf in batches:
-            for q_ids, q_xs, t_ids, t_xs in zip(pdf["q_ids"], pdf["q_xs"], pdf["t_ids"], pdf["t_xs"]):
-                q_ids, t_ids = np.asarray(q_ids), np.asarray(t_ids)
-                dist = _squared(_matrix(q_xs, len(q_ids)), _matrix(t_xs, len(t_ids)))
+            for r in pdf.itertuples(index=False):
+                q_ids, t_ids = np.asarray(r.q_ids), np.asarray(r.t_ids)
+                dist = _squared(_matrix(r.q_xs, len(q_ids)), _matrix(r.t_xs, len(t_ids)))
+                if weighted:
+                    w, v = np.asarray(r.q_weight, float)[:, None], np.asarray(r.t_weight, float)[None, :]
+                    dist *= w * v / (w + v)
+                    dist[q_ids[:, None] == t_ids[None, :]] = np.inf
                 if k < dist.shape[1]:
                     row, col = np.nonzero(dist <= np.partition(dist, k - 1, axis=1)[:, k - 1 : k])
                 else:
@@ -137,9 +180,7 @@ def nearest(query: DataFrame, train: DataFrame, k: int, rows: int = BLOCK_ROWS)
     same = Window.partitionBy("x").orderBy("id")
     train = train.select("id", "x").withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
     asked = distinct_points(query.select("id", "x"))
-    q_packed, q_boxes = blocks(asked.select("id", "x"), rows)
-    t_packed, t_boxes = blocks(train, rows)
-    found = _compare(query.sparkSession, q_packed, q_boxes, t_packed, t_boxes, k)
+    found = compare(blocks(asked.select("id", "x"), rows), blocks(train, rows), k)
     return (
         query.select("id", "x").join(asked.select("x", F.col("id").alias("_asked")), "x")
         .select("id", "_asked").join(found.withColumnRenamed("id", "_asked"), "_asked")
@@ -147,16 +188,19 @@ def nearest(query: DataFrame, train: DataFrame, k: int, rows: int = BLOCK_ROWS)
     )
 
 
-def _compare(spark, q_packed, q_boxes, t_packed, t_boxes, k) -> DataFrame:
-    ship_package(spark)
-    pairs = materialize(_candidate_pairs(spark, q_boxes, t_boxes, k))
-    q = q_packed.select(F.col("block").cast("bigint").alias("a"), F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"))
-    t = t_packed.select(F.col("block").cast("bigint").alias("b"), F.col("ids").alias("t_ids"), F.col("xs").alias("t_xs"))
-    joined = pairs.join(q, "a").join(t, "b").select("q_ids", "q_xs", "t_ids", "t_xs")
-    local = joined.mapInPandas(_nearest_in_pair(k), "id bigint, neighbour bigint, squared double")
+def compare(query: Blocks, train: Blocks, k: int, weighted: bool = False) -> DataFrame:
+    """(id, neighbour, distance, place) of the k nearest; `weighted` by the payload `weight` as Ward's costs, each point without itself."""
+    ship_package(query.packed.sparkSession)
+    pairs = _near_pairs(query, train, k + 1 if weighted else k, weighted)
+    extra = ["weight"] if weighted else []
+    q = query.packed.select(F.col("block").alias("a"), F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"), *[F.col(c).alias(f"q_{c}") for c in extra])
+    t = train.packed.select(F.col("block").alias("b"), F.col("ids").alias("t_ids"), F.col("xs").alias("t_xs"), *[F.col(c).alias(f"t_{c}") for c in extra])
+    local = pairs.join(q, "a").join(t, "b").drop("a", "b").mapInPandas(_nearest_in_pair(k, weighted), "id bigint, neighbour bigint, squared double")
+    if weighted:
+        local = local.where(F.col("squared") < float("inf"))
     best = Window.partitionBy("id").orderBy("squared", "neighbour")
     placed = local.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
-    return placed.select("id", "neighbour", F.sqrt("squared").alias("distance"), "place")
+    return placed.select("id", "neighbour", (F.col("squared") if weighted else F.sqrt("squared")).alias("distance"), "place")
 
 
 def k_distance(points: DataFrame, k: int = 4, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -165,8 +209,8 @@ def k_distance(points: DataFrame, k: int = 4, rows: int = BLOCK_ROWS) -> DataFra
     Distinct points carry their number of copies, so a point with k copies has distance 0 at once.
     """
     unique = distinct_points(points.select("id", "x"))
-    packed, boxes = blocks(unique.select("id", "x"), rows)
-    found = _compare(points.sparkSession, packed, boxes, packed, boxes, k)
+    packed = blocks(unique.select("id", "x"), rows)
+    found = compare(packed, packed, k)
     weight = unique.select(F.col("id").alias("neighbour"), "weight")
     upto = Window.partitionBy("id").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     reached = found.join(weight, "neighbour").withColumn("upto", F.sum("weight").over(upto)).filter(F.col("upto") >= k)
@@ -188,10 +232,10 @@ def silhouette(df: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     none = df.sparkSession.createDataFrame([(None,)], "silhouette double")
     if sizes.limit(2).count() < 2:
         return none
-    packed, boxes = blocks(unique.select("id", "x", "cluster", "weight"), rows, ("cluster", "weight"))
+    cut = blocks(unique.select("id", "x", "cluster", "weight"), rows, ("cluster", "weight"))
     ship_package(df.sparkSession)
-    last = int(boxes[:, 0].max())
-    packed = packed.withColumn("at", F.col("block"))
+    last = cut.count - 1
+    packed = cut.packed.withColumn("at", F.col("block"))
     cols = ("ids", "xs", "cluster", "weight")
     left = packed.select("at", F.explode(F.sequence("at", F.lit(last))).alias("other"), *[F.col(c).alias(f"l_{c}") for c in cols])
     right = packed.select(F.col("at").alias("other"), *[F.col(c).alias(f"r_{c}") for c in cols])

@@ -16,10 +16,10 @@ from custlens import config
 from custlens.functions.quantiles import exact_quantiles
 from custlens.operators import cluster_metrics, neighbours
 from custlens.operators.dbscan import dbscan
+from custlens.operators.hierarchy import ward
 from custlens.runtime import materialize
 
 RESTARTS = 10
-MICRO_CLUSTERS = 500
 
 
 def points_of(matrix: DataFrame, columns: list[str] = config.RFM) -> DataFrame:
@@ -97,63 +97,12 @@ def eps_heuristic(points: DataFrame, k: int = 4, q: float = 0.92) -> float:
     return exact_quantiles(materialize(neighbours.k_distance(points, k)), {"k_distance": [q]})["k_distance"][0]
 
 
-def ward_merges(centers: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, int, float, float]]:
-    """Merge steps (step, left, right, height, size) of weighted centres; step s makes cluster len(centers) + s."""
-    centers, weights = centers.astype(float).copy(), weights.astype(float).copy()
-    first_new = len(centers)
-    names, steps = list(range(first_new)), []
-    gap = ((centers[:, None, :] - centers[None, :, :]) ** 2).sum(2)
-    while len(names) > 1:
-        cost = gap * (weights[:, None] * weights[None, :]) / (weights[:, None] + weights[None, :])
-        np.fill_diagonal(cost, np.inf)
-        i, j = sorted(divmod(int(np.argmin(cost)), len(names)))
-        size = weights[i] + weights[j]
-        left, right = sorted((names[i], names[j]))
-        steps.append((len(steps), left, right, float(np.sqrt(2 * cost[i, j])), float(size)))
-        centers[i] = (centers[i] * weights[i] + centers[j] * weights[j]) / size
-        weights[i], names[i] = size, first_new + len(steps) - 1
-        centers, weights = np.delete(centers, j, 0), np.delete(weights, j)
-        gap = np.delete(np.delete(gap, j, 0), j, 1)
-        del names[j]
-        gap[i] = gap[:, i] = ((centers - centers[i]) ** 2).sum(1)
-    return steps
-
-
-def ward(points: DataFrame, k: int = 2, micro: int = MICRO_CLUSTERS, seed: int = config.SEED) -> tuple[DataFrame, DataFrame]:
-    """Hierarchical segments (id, x, cluster) and the merge table.
-
-    K-means on Spark first reduces all rows to at most `micro` weighted centres, a fixed bound; the
-    merges then work on those. With as many micro-clusters as distinct rows this is plain Ward.
-    """
-    vectors = _vectors(points)
-    distinct = vectors.count()
-    model = KMeans(k=min(micro, distinct), seed=seed, maxIter=40, weightCol="weight").fit(vectors)
-    vectors.unpersist()
-    placed = model.transform(points.withColumn("features", array_to_vector("x"))).select("id", "x", F.col("prediction").alias("p"))
-    d = points.select(F.size("x")).first()[0]
-    rows = placed.groupBy("p").agg(F.count("*").alias("n"), F.array(*[F.avg(F.col("x")[j]) for j in range(d)]).alias("c")).orderBy("p").collect()
-    steps = ward_merges(np.array([r["c"] for r in rows]), np.array([r["n"] for r in rows]))
-    group = {i: {i} for i in range(len(rows))}
-    for s, left, right, _, _ in steps[: max(0, len(rows) - k)]:
-        group[len(rows) + s] = group.pop(left) | group.pop(right)
-
-    def recency(members: set[int]) -> float:
-        return -sum(rows[i]["n"] * rows[i]["c"][0] for i in members) / sum(rows[i]["n"] for i in members)
-
-    label = {}
-    for number, members in enumerate(sorted(group.values(), key=recency)):
-        label.update({rows[i]["p"]: number for i in members})
-    lookup = F.element_at(F.lit([label.get(p, -1) for p in range(max(label) + 1)]), F.col("p") + 1)
-    merges = points.sparkSession.createDataFrame(steps, "step int, left int, right int, height double, size double")
-    return placed.select("id", "x", lookup.cast("int").alias("cluster")), merges
-
-
 def validation_table(points: DataFrame, k: int = 2, eps: float | None = None, min_samples: int = 5, seed: int = config.SEED, restarts: int = RESTARTS) -> tuple[DataFrame, dict[str, DataFrame]]:
     """One row of indices per algorithm, and the label tables (CustomerID, cluster) behind them."""
     eps = eps_heuristic(points) if eps is None else eps
     by_k, inertia = kmeans(points, k, seed, restarts)
     by_density = dbscan(points, eps, min_samples).join(points, "id").select("id", "x", "cluster")
-    by_ward, _ = ward(points, k, seed=seed)
+    by_ward, _ = ward(points, k)
     tables = {"KMeans": materialize(by_k), "DBSCAN": materialize(by_density), "AGNES": materialize(by_ward)}
     notes = {"KMeans": f"inertia={inertia:.4f}", "DBSCAN": f"eps={eps:.4f}, min_samples={min_samples}", "AGNES": "linkage=ward"}
     rows = []

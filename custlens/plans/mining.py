@@ -157,8 +157,8 @@ def _(spark, d):
     return eda.rule_edges(rules.prune(mined_rules(spark, d)))
 
 
-def _by_segment(spark, d, min_invoices: int = 50):
-    return rules.segment_rules(basket_lines(spark, d, "p_type"), given_segments(spark, d), SUPPORT, CONFIDENCE, LIFT, min_invoices)
+def _by_segment(spark, d, min_invoices: int = 50, lift: float = LIFT):
+    return rules.segment_rules(basket_lines(spark, d, "p_type"), given_segments(spark, d), SUPPORT, CONFIDENCE, lift, min_invoices)
 
 
 @register("segment_rules", f"""
@@ -172,7 +172,7 @@ def _(spark, d):
 @register("segment_rule_status", f"""
 WITH {BY_SEGMENT_SQL}, r AS (SELECT grp, least(10, count(*)) AS n_rules FROM best GROUP BY 1), big AS (SELECT max(n_baskets) AS n FROM total)
 SELECT grp AS cluster, n_baskets, CASE WHEN n_baskets < n THEN 0 ELSE n_rules END AS n_rules,
-       CASE WHEN n_baskets < n THEN concat('only ', n_baskets, ' invoices (< ', n, ')') END AS skip_reason FROM total JOIN r USING (grp), big""")
+       CASE WHEN n_baskets < n THEN concat('too few invoices: ', n_baskets, ' of ', n) END AS skip_reason FROM total JOIN r USING (grp), big""")
 def _(spark, d):
     """The floor is set to the largest segment's invoices, so every other segment shows its reason."""
     lines, segments = basket_lines(spark, d, "p_type"), given_segments(spark, d)
@@ -181,6 +181,16 @@ def _(spark, d):
     return _by_segment(spark, d, floor)[1]
 
 
+@register("segment_rule_status_strict", f"""
+WITH {BY_SEGMENT_SQL}, r AS (SELECT grp, count(*) AS n FROM best WHERE lift >= 1000 GROUP BY 1)
+SELECT total.grp AS cluster, n_baskets, CAST(coalesce(least(10, r.n), 0) AS BIGINT) AS n_rules,
+       CASE WHEN n_baskets < 50 THEN concat('too few invoices: ', n_baskets, ' of 50') WHEN r.n IS NULL THEN 'nothing reaches support 0.02 and lift 1000.0' END AS skip_reason
+FROM total LEFT JOIN r ON r.grp = total.grp""")
+def _(spark, d):
+    """A lift that no rule reaches: segments with enough invoices show why they have no rules."""
+    return _by_segment(spark, d, lift=1000.0)[1]
+
+
 @register("miner_comparison", f"""
 WITH {ALL_SQL} SELECT a AS algorithm, (SELECT count(*) FROM freq) AS n_itemsets, (SELECT count(*) FROM rule) AS n_rules, CAST(0 AS BIGINT) AS n_differences
 FROM (VALUES ('apriori'), ('fpgrowth')) AS t(a)""")

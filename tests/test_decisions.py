@@ -20,8 +20,8 @@ def test_tiers(spark):
 
 def test_score_is_the_sum_of_its_points(spark):
     """Every combination of tiers, marks and segment rates on both sides of the two borders."""
-    risk, value, rate = {"High": 50, "Medium": 30, "Low": 0}, {"High": 25, "Medium": 10, "Low": 0}, {0.75: 20, 0.7: 20, 0.69: 10, 0.5: 10, 0.49: 0, None: 0}
-    assert (config.HIGH_SEGMENT_CHURN, config.MEDIUM_SEGMENT_CHURN) == (0.7, 0.5)
+    risk, value, rate = {"High": 50, "Medium": 30, "Low": 0}, {"High": 25, "Medium": 10, "Low": 0}, {0.75: 20, 0.7: 20, 0.69: 10, 0.4: 10, 0.39: 0, None: 0}
+    assert (config.HIGH_SEGMENT_CHURN, config.MEDIUM_SEGMENT_CHURN) == (0.7, 0.4)
     rows = [(a, b, c, d, e, risk[a] + value[b] + rate[c] + 15 * d + 10 * e) for a in risk for b in value for c in rate for d in (False, True) for e in (False, True)]
     df = spark.createDataFrame(rows, "r string, v string, c double, a boolean, d boolean, want int")
     got = df.withColumn("got", decisions.priority_score(*map(F.col, "rvcad")))

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from custlens.operators import anomaly, cluster_metrics, dbscan, neighbours, segments
+from custlens.operators import anomaly, cluster_metrics, dbscan, hierarchy, neighbours, segments
+from custlens.runtime import materialize
 
 
 @pytest.fixture(scope="module")
@@ -95,31 +96,71 @@ def test_kmeans_is_label_stable(cloud):
     assert (again.orderBy("id").toPandas()["cluster"].to_numpy() == got).all()
 
 
-def test_ward_matches_plain_ward():
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(12, 2))
-    groups, want = [[i] for i in range(12)], []
+def plain_ward(x, weight):
+    """Merges (height, size), the globally nearest pair each time, and the labels at two clusters."""
+    x, weight = x.copy(), np.array(weight, float)
+    groups, out, two = [[i] for i in range(len(x))], [], None
+    gap = ((x[:, None] - x[None]) ** 2).sum(-1)
     while len(groups) > 1:
-        best = None
-        for i in range(len(groups)):
-            for j in range(i + 1, len(groups)):
-                a, b = x[groups[i]], x[groups[j]]
-                cost = len(a) * len(b) / (len(a) + len(b)) * ((a.mean(0) - b.mean(0)) ** 2).sum()
-                if best is None or cost < best[0]:
-                    best = (cost, i, j)
-        cost, i, j = best
-        want.append((np.sqrt(2 * cost), len(groups[i]) + len(groups[j])))
-        groups[i] = groups[i] + groups.pop(j)
-    got = segments.ward_merges(x, np.ones(12))
-    assert np.allclose([(s[3], s[4]) for s in got], want)
-    assert sorted(n for s in got for n in (s[1], s[2])) == list(range(22))
-
-
-def test_ward_segments(cloud):
+        if len(groups) == 2:
+            two = [list(g) for g in groups]
+        cost = gap * (weight[:, None] * weight[None] / (weight[:, None] + weight[None]))
+        np.fill_diagonal(cost, np.inf)
+        i, j = sorted(divmod(int(cost.argmin()), len(groups)))
+        out.append((np.sqrt(2 * cost[i, j]), weight[i] + weight[j]))
+        x[i] = (x[i] * weight[i] + x[j] * weight[j]) / (weight[i] + weight[j])
+        weight[i] += weight[j]
+        groups[i] += groups.pop(j)
+        x, weight = np.delete(x, j, 0), np.delete(weight, j)
+        gap = np.delete(np.delete(gap, j, 0), j, 1)
+        gap[i] = gap[:, i] = ((x - x[i]) ** 2).sum(1)
+    return out, two
+
+
+def check_ward(spark, x, copies, rows, last):
+    ids = np.cumsum(copies) - copies
+    table = [(int(ids[i] + c), [float(v) for v in x[i]]) for i in range(len(x)) for c in range(copies[i])]
+    labelled, merges = hierarchy.ward(materialize(spark.createDataFrame(table, "id bigint, x array<double>")), 2, rows, last)
+    got = merges.orderBy("step").toPandas()
+    want, two = plain_ward(x, copies)
+    assert np.allclose(sorted(got["height"]), [h for h, _ in want]) and sorted(got["size"]) == pytest.approx(sorted(s for _, s in want))
+    assert sorted([*got["left"], *got["right"]]) == list(range(2 * len(x) - 2)) and (got["left"] < got["right"]).all() and (got["right"] < len(x) + got["step"]).all()
+    sets = labelled.join(spark.createDataFrame([(int(v), i) for i, v in enumerate(ids)], "id bigint, i int"), "id").groupBy("cluster").agg(F.collect_list("i").alias("i"), F.avg(F.col("x")[0]).alias("m")).orderBy("cluster").collect()
+    assert {frozenset(r["i"]) for r in sets} == {frozenset(g) for g in two} and sets[0]["m"] > sets[1]["m"]
+    assert labelled.count() == copies.sum()
+
+
+def test_ward_in_rounds_equals_plain_ward(spark):
+    """Every merge by a distributed round, over several blocks."""
+    rng = np.random.default_rng(1)
+    check_ward(spark, rng.normal(size=(150, 3)), rng.integers(1, 4, 150), 20, 1)
+
+
+@pytest.mark.parametrize("n", [800, 3000])
+def test_ward_of_many_points(spark, n):
+    rng = np.random.default_rng(n)
+    x = np.concatenate([rng.normal(0, 1, (n // 2, 2)), rng.normal(4, 1, (n - n // 2, 2))])
+    check_ward(spark, x, np.ones(n, int), 256, 300)
+
+
+def test_ward_of_few_points(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id bigint, x array<double>")
+    labelled, merges = hierarchy.ward(df, 2)
+    assert {r["cluster"] for r in labelled.collect()} == {0} and merges.count() == 0
+    grid = spark.createDataFrame([(i, [float(i % 6), float(i // 6)]) for i in range(36)], "id bigint, x array<double>")
+    labelled, merges = hierarchy.ward(grid, 3, 5, 4)  # many equal costs
+    assert merges.count() == 35 and labelled.select("cluster").distinct().count() == 3
+
+
+def test_pairs_of_blocks_are_pruned(cloud):
+    """No box goes to the driver: pairs are equi-joins on the parent box, and far blocks never meet."""
     p, _, df = cloud
-    labelled, merges = segments.ward(df, 2, micro=40)
-    got = labelled.orderBy("id").toPandas()["cluster"].to_numpy()
-    assert ((p[:, 0] > 1.5) == (got == 0)).mean() > 0.99 and merges.count() == 39
+    cut = neighbours.blocks(neighbours.distinct_points(df).select("id", "x"), 5)
+    assert cut.height == 2 and cut.level(1).agg(F.sum("n")).first()[0] == len(np.unique(p, axis=0)) == cut.packed.agg(F.sum("n")).first()[0]
+    pairs = neighbours._near_pairs(cut, cut, 4)
+    assert pairs.count() < 0.6 * cut.count**2 and cut.packed.agg(F.max("n")).first()[0] == 5
+    plan = neighbours.compare(cut, cut, 4)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_reconstruction(spark, supervised):
