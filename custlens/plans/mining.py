@@ -183,7 +183,7 @@ def _(spark, d):
 
 @register("segment_rule_status_strict", f"""
 WITH {BY_SEGMENT_SQL}, r AS (SELECT grp, count(*) AS n FROM best WHERE lift >= 1000 GROUP BY 1)
-SELECT total.grp AS cluster, n_baskets, CAST(coalesce(least(10, r.n), 0) AS BIGINT) AS n_rules,
+SELECT total.grp AS cluster, n_baskets, CAST(CASE WHEN r.n IS NULL THEN 0 ELSE least(10, r.n) END AS BIGINT) AS n_rules,
        CASE WHEN n_baskets < 50 THEN concat('too few invoices: ', n_baskets, ' of 50') WHEN r.n IS NULL THEN 'nothing reaches support 0.02 and lift 1000.0' END AS skip_reason
 FROM total LEFT JOIN r ON r.grp = total.grp""")
 def _(spark, d):
