@@ -3,14 +3,17 @@
 The k-mers of a text are its runs of five words, labelled by how often they occurred before. Each of `sketches` hash
 functions takes the `LEAST` labelled k-mers with the smallest hashes and keeps them in text order; their hash is the entry of
 the sketch. Texts with an equal entry are candidates, which grows with edit similarity: words that moved elsewhere change
-the order. Sketches find a pair with a probability only, too small a one for short texts: texts of up to `SHORT` words get
-entries that miss no pair (`_exact_entries`), and only texts that can be near a longer one have a sketch. A candidate pair is a link if a banded alignment of the words has an edit similarity of at least `SIMILAR`.
+the order. Sketches find a pair with a probability only, too small a one for short texts: texts of up to `SHORT` words also get
+entries that miss no pair (`_exact_entries`), beside the first `SHORT_SKETCHES` sketches; texts that can be near a longer one have
+all of them. A candidate pair is a link if a banded alignment of the words has an edit similarity of at least `SIMILAR`.
 Classes are the connected components of the links.
 
-Work per entry is linear. Equal texts are one node. Of buckets with the same members, by a 128-bit fingerprint, one is kept. In each bucket of equal entries all members meet the member with the
-smallest id first. While the bucket then still holds several classes, a member outside its largest class meets those of other
-classes, for some rounds; after that all such members do, and only if two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No bucket is one task and no
-member is left out: a pair inside one class already needs no comparison, any other is compared.
+Equal texts are one node. Sketches are worked off in layers, few first. In a layer each class found so far is listed once per
+entry, so a group of copies, however large, costs a row per entry and not one per member. Entries that hold several classes
+have all of them meet the smallest id first. Where classes then still differ, all members of the entry are listed; a member
+outside the entry's largest class meets those of other classes, for some rounds; after that all such members do, and only if
+two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No entry is one task and no member is
+left out: a pair inside one class already needs no comparison, any other is compared.
 
 Defined cases: a null text is an empty one. Texts without words are near only to equal texts. Rows that share an id are one document. `near_duplicates` leaves rows with a null id out,
 `near_duplicates_of_all` does not. Extra columns are ignored.
@@ -34,17 +37,20 @@ from custlens.llm.batches import add_columns
 from custlens.llm.bpe import hash_tables
 from custlens.llm.text_stats import BLANK
 from custlens.operators.dbscan import components
-from custlens.runtime import materialize, ship_package
+from custlens.runtime import materialize, ship_package, stage_tables
 
 WORDS = 5
 LEAST = 2
 # With words replaced at random places, 192 entries find 99.5 % of the pairs of 129 words at edit similarity 0.8, more of longer ones.
 SKETCHES = 192
+# Sketches of each layer; the exact entries of short texts join the second one.
+LAYERS = (2, 22, 56, 56, 56)
 SIMILAR = 0.8
 # Pairs of texts of up to SHORT words are found exactly: up to DELETED words by what some deletions leave, beyond by runs of RUN words.
 SHORT = 128
 DELETED = 15
 RUN = 4
+SHORT_SKETCHES = 8
 CELLS = 256
 # Rounds in which one more member of each bucket that holds several classes meets the rest, before all that are left meet.
 STAR_ROUNDS = 3
@@ -63,12 +69,15 @@ def _edits(words: int) -> int:
     return int(np.floor((1 - SIMILAR) * words + 1e-9))
 
 
-# A text of fewer words is near no text of more than SHORT words.
+# A text of fewer words is near no text of more than SHORT words: it needs no sketch beside its exact entries.
 SKETCHED = SHORT + 1 - _edits(SHORT + 1)
 
 
-def sketch(texts: list[str | None], sketches: int = SKETCHES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per text: its words, and its words per cell, at most 255 each; and all entries as their texts' places, in order, and values."""
+Ragged = tuple[np.ndarray, np.ndarray]
+
+
+def sketch(texts: list[str | None], sketches: int = SKETCHES) -> tuple[np.ndarray, np.ndarray, Ragged, Ragged]:
+    """Per text: its words, and its words per cell, at most 255 each; its sketches and its exact entries, each as the texts' places, in order, and values."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     end = np.cumsum([len(r) + 1 for r in raw])
@@ -79,8 +88,9 @@ def sketch(texts: list[str | None], sketches: int = SKETCHES) -> tuple[np.ndarra
     n = len(texts)
     words = np.bincount(doc, minlength=n)
     cells = np.zeros((n, CELLS), np.uint8)
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if not len(lo):
-        return words, cells, np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return words, cells, none, none
     table, powers, inverse = hash_tables(len(data), 3)
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * powers[: len(data)])])
     word = _mix((prefix[hi] - prefix[lo]) * inverse[lo])
@@ -89,22 +99,25 @@ def sketch(texts: list[str | None], sketches: int = SKETCHES) -> tuple[np.ndarra
         count = np.bincount((doc[part] - a) * CELLS + (word[part] >> np.uint64(56)).astype(np.int64), minlength=512 * CELLS)
         cells[a : a + 512] = np.minimum(count, 255).reshape(512, CELLS)[: n - a]
 
-    some = np.flatnonzero(words >= SKETCHED)
     first = np.cumsum(words) - words
     place = np.arange(len(word)) - first[doc]
-    keys = _sketches(word, doc, words, place, some, sketches)
-    near_doc, near = _exact_entries(word, doc, words, place, first)
-    owner, entry = np.concatenate([np.repeat(some, sketches), near_doc]), np.concatenate([keys.ravel(), near])
+    owners, keys = [], []
+    for some, count in ((words >= SKETCHED, sketches), ((words >= WORDS + LEAST - 1) & (words < SKETCHED), min(sketches, SHORT_SKETCHES))):
+        found = _sketches(word, doc, words, place, some, count)
+        owners.append(np.repeat(np.flatnonzero(some), count))
+        keys.append(found.ravel())
+    owner, key = np.concatenate(owners), np.concatenate(keys)
     order = np.argsort(owner, kind="stable")
-    return words, cells, owner[order], entry[order]
+    return words, cells, (owner[order], key[order]), _exact_entries(word, doc, words, place, first)
 
 
-def _sketches(word: np.ndarray, doc: np.ndarray, words: np.ndarray, place: np.ndarray, some: np.ndarray, sketches: int) -> np.ndarray:
-    """`sketches` entries of each text of `some`."""
+def _sketches(word: np.ndarray, doc: np.ndarray, words: np.ndarray, place: np.ndarray, chosen: np.ndarray, sketches: int) -> np.ndarray:
+    """The first `sketches` entries of each chosen text."""
+    some = np.flatnonzero(chosen)
     keys = np.zeros((len(some), sketches), np.uint64)
     if not len(some):
         return keys
-    at = np.flatnonzero((words[doc] >= SKETCHED) & (place <= words[doc] - WORDS))
+    at = np.flatnonzero(chosen[doc] & (place <= words[doc] - WORDS))
     gram = np.zeros(len(at), np.uint64)
     for k in range(WORDS):
         gram = gram * _NEXT + word[at + k]
@@ -117,7 +130,7 @@ def _sketches(word: np.ndarray, doc: np.ndarray, words: np.ndarray, place: np.nd
     limit = np.repeat(np.where(each > 48, 24 / np.maximum(each, 1) * 2.0**64, 2.0**64 - 2**12).astype(np.uint64), each)
     everywhere = np.arange(len(gram))
     highest = np.iinfo(np.uint64).max
-    factors = np.random.default_rng(11).integers(1, 2**63, sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    factors = np.random.default_rng(11).integers(1, 2**63, max(sketches, SKETCHES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     turned = gram ^ (gram >> np.uint64(32))
     for s in range(sketches):
         hashes = turned * factors[s]
@@ -184,16 +197,16 @@ def _occurrence(code: np.ndarray) -> np.ndarray:
 
 
 def with_sketches(df: DataFrame, text: str) -> DataFrame:
-    """`df` without its text, with `_words`, `_entries` (none for a text without words) and `_cells`."""
+    """`df` without its text, with `_words`, `_sketches`, `_exact` (both empty for a text without words) and `_cells`."""
 
     def compute(texts: list) -> list[pa.Array]:
-        words, cells, owner, entry = sketch(texts)
-        size = np.bincount(owner, minlength=len(texts))
-        entries = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(entry.view(np.int64)))
+        words, cells, *ragged = sketch(texts)
+        lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(o, minlength=len(texts)))).astype(np.int32)), pa.array(e.view(np.int64))) for o, e in ragged]
         counts = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * CELLS), pa.array(cells.ravel().astype(np.int16)))
-        return [pa.array(words, pa.int64()), entries, counts]
+        return [pa.array(words, pa.int64()), *lists, counts]
 
-    fields = [T.StructField("_words", T.LongType()), T.StructField("_entries", T.ArrayType(T.LongType(), False)), T.StructField("_cells", T.ArrayType(T.ShortType(), False))]
+    longs = T.ArrayType(T.LongType(), False)
+    fields = [T.StructField("_words", T.LongType()), T.StructField("_sketches", longs), T.StructField("_exact", longs), T.StructField("_cells", T.ArrayType(T.ShortType(), False))]
     return add_columns(df, text, fields, compute, keep_text=False)
 
 
@@ -238,35 +251,63 @@ def contracted_components(found: DataFrame) -> DataFrame:
     return ends.join(roots, "into", "left").groupBy("node").agg(F.min(F.coalesce("root", "into")).alias("root"))
 
 
-def links(nodes: DataFrame, entries: DataFrame, texts: DataFrame) -> DataFrame:
-    """Classes (node, root) of distinct texts that have links. `nodes`: `id`, `_words`, `_cells`, a written table; `entries`: `id`, `entry`; `texts`: `id`, `text`.
+def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Classes (node, root) of distinct texts that have links. `nodes`: `id` and the columns of `with_sketches`, `texts`: `id`, `text`; both written tables.
 
     Every candidate pair is either verified, or its two texts are in one class through other links.
     """
-    bucket = Window.partitionBy("entry")
-    shared = entries.select("entry", "id", F.count("*").over(bucket).alias("_n"), F.min("id").over(bucket).alias("first")).where("_n > 1")
-    shared = materialize(shared)
-    # near texts share many entries: one bucket for all that have the same members
-    marks = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"_mark{k}") for k in range(2)]
-    buckets = shared.groupBy("entry", "_n", "first").agg(*marks).groupBy("_n", "first", "_mark0", "_mark1").agg(F.min("entry").alias("entry"))
+    classes, begin = nodes.sparkSession.createDataFrame([], "node long, root long"), 0
+    for layer, count in enumerate(LAYERS):
+        part = F.slice("_sketches", begin + 1, count)
+        entries = nodes.select("id", (F.concat(part, "_exact") if layer == 1 else part).alias("entries")).where("size(entries) > 0")
+        with stage_tables(nodes.sparkSession) as keep:
+            classes = keep(_layer(entries, nodes, texts, classes, first=layer == 0))
+        begin += count
+    return classes
+
+
+def _layer(entries: DataFrame, nodes: DataFrame, texts: DataFrame, classes: DataFrame, first: bool) -> DataFrame:
+    """`classes` after all candidate pairs of the `entries` (`id`, `entries`) of a layer."""
+    if first:
+        listed = entries.select(F.explode("entries").alias("entry"), "id", F.col("id").alias("root"))
+    else:
+        placed = entries.join(classes.withColumnRenamed("node", "id"), "id", "left")
+        linked = placed.where("root is not null").select(F.explode("entries").alias("entry"), "id", "root")
+        single = placed.where("root is null").select(F.explode("entries").alias("entry"), "id", F.col("id").alias("root"))
+        listed = linked.groupBy("entry", "root").agg(F.min("id").alias("id")).select("entry", "id", "root").unionByName(single)
+    several = listed.groupBy("entry").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min(F.struct("id", "root")).alias("_first")).where("_low < _high")
+    # written, so that Spark knows its size and need not deal out all entries if it is small
+    several = materialize(several.select("entry", F.col("_first.id").alias("first"), F.col("_first.root").alias("first_root")))
+    crossing = materialize(listed.join(several, "entry"))
     sizes = nodes.select("id", "_words")
-    members = shared.join(buckets.select("entry"), "entry", "left_semi").join(sizes, "id").join(sizes.select(F.col("id").alias("first"), F.col("_words").alias("first_words")), "first")
-    members = materialize(members.select("entry", "id", "_words", "_n", "first", "first_words"))
-    involved = members.select("id").distinct()
-    used = materialize(texts.join(involved, "id", "left_semi"))
-    star = members.where((F.col("id") != F.col("first")) & _lengths_allow("_words", "first_words")).select(F.col("first").alias("u"), F.col("id").alias("v")).distinct()
-    classes = materialize(contracted_components(verified(star, used)))
-    several = members.where("_n > 2").select("entry", "id", "first", "_words")
+    star = crossing.where("root <> first_root").select(F.col("first").alias("u"), F.col("id").alias("v"), F.col("first_root").alias("uroot"), F.col("root").alias("vroot")).distinct()
+    star = star.join(sizes.select(F.col("id").alias("u"), F.col("_words").alias("_u")), "u").join(sizes.select(F.col("id").alias("v"), F.col("_words").alias("_v")), "v")
+    star = materialize(star.where(_lengths_allow("_u", "_v")).select("u", "v", "uroot", "vroot"))
+    classes = _joined(star, texts, classes)
+
+    # entries whose classes still differ: all their members
+    still = crossing.join(classes.withColumnRenamed("node", "id"), "id", "left").groupBy("entry", "first").agg(F.min(F.coalesce(classes["root"], "id")).alias("_low"), F.max(F.coalesce(classes["root"], "id")).alias("_high"))
+    still = materialize(still.where("_low < _high").select("entry", "first"))
+    if still.isEmpty():
+        return classes
+    members = crossing.select("entry", "id") if first else crossing.select("entry", "id").unionByName(linked.select("entry", "id")).distinct()
+    members = materialize(members.join(still, "entry").join(sizes, "id").select("entry", "id", "first", "_words"))
     for ask_all in [*[False] * STAR_ROUNDS, True]:
-        mixed = _mixed(several, classes, nodes)
-        pairs = materialize(_apart(mixed, ask_all))
-        if pairs.isEmpty():
-            continue
-        joined = verified(pairs, used).join(pairs, ["u", "v"]).select(F.col("uroot").alias("u"), F.col("vroot").alias("v")).distinct()
-        classes = _merged(classes, materialize(joined))
+        pairs = materialize(_apart(_mixed(members, classes, nodes), ask_all))
+        classes = _joined(pairs, texts, classes)
     return classes
 
 
+def _joined(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """`classes` after verifying `pairs` (`u`, `v`, in classes `uroot`, `vroot`; a written table)."""
+    if pairs.isEmpty():
+        return classes
+    asked = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
+    used = materialize(texts.join(asked, "id", "left_semi"))
+    near = materialize(verified(pairs, used).select("u", "v"))
+    return _merged(classes, materialize(near.join(pairs, ["u", "v"]).select(F.col("uroot").alias("u"), F.col("vroot").alias("v")).distinct()))
+
+
 def _mixed(several: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of buckets that hold several classes, with their class `root`, the bucket's `largest` class and their cells."""
     placed = several.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -311,13 +352,23 @@ def _cells_allow() -> Column:
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per id: `id`, `class_id` (the smallest id of its class), `text_id` (the smallest id with an equal text), `n_words`."""
     rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).where("id is not null")
-    coded = materialize(with_sketches(rows.withColumn("code", F.unhex(F.sha2("text", 256))), "text"))
-    equal = coded.groupBy("code").agg(F.min("id").alias("text_id"))
-    same = materialize(coded.select("id", "code", F.col("_words").alias("n_words")).distinct().join(equal, "code").select("id", "text_id", "n_words"))
-    nodes = coded.join(same.select(F.col("text_id").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    entries = nodes.select("id", F.explode("_entries").alias("entry"))
-    classes = links(materialize(nodes.select("id", "_words", "_cells")), entries, rows)
-    per_id = same.groupBy("id").agg(F.min("text_id").alias("text_id"), F.max("text_id").alias("_last"), F.max("n_words").alias("n_words"))
+    with stage_tables(df.sparkSession) as keep:
+        return keep(_classes_per_id(rows))
+
+
+def _classes_per_id(rows: DataFrame) -> DataFrame:
+    """`near_duplicates` of `id`, `text`."""
+    rows = rows.withColumn("code", F.unhex(F.sha2("text", 256)))
+    named = materialize(rows.select("id", "code").distinct())
+    equal = named.groupBy("code").agg(F.min("id").alias("text_id"))
+    same = materialize(named.join(equal, "code").select("id", "code", "text_id"))
+    # one row for each node; an id that stands for several texts has the sketches of one
+    chosen = same.where("id = text_id").groupBy("id").agg(F.min("code").alias("code"))
+    texts = materialize(rows.join(chosen, ["id", "code"], "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    nodes = materialize(with_sketches(texts, "text"))
+    classes = links(nodes, texts)
+    sized = same.join(nodes.select(F.col("id").alias("text_id"), F.col("_words").alias("n_words")), "text_id")
+    per_id = sized.groupBy("id").agg(F.min("text_id").alias("text_id"), F.max("text_id").alias("_last"), F.max("n_words").alias("n_words"))
     # an id with several texts ties them together
     several = per_id.where("text_id <> _last").select("id", F.col("text_id").alias("u"))
     if not several.isEmpty():
