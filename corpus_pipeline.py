@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from custlens.llm import order_minhash, packing, quality_classifier, quality_rules, suffix_dedup
 from custlens.llm.queries import END_ID, WORD_BPE
-from custlens.runtime import materialize
+from custlens.runtime import discard, materialize, stage_tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,17 +24,17 @@ def _with_whole_row(docs: DataFrame, *needed: str) -> DataFrame:
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail no base rule and no certified cutoff."""
-    stats = materialize(quality_rules.with_statistics(_with_whole_row(docs, "doc_id", "lang", "text"), keep_text=False))
+    """Documents that fail no base rule and no certified cutoff. Statistics for the fit are written without texts; the verdict takes them anew."""
+    stats = materialize(quality_rules.with_statistics(docs.select("doc_id", "lang", "text"), keep_text=False))
     cutoffs = quality_rules.fit_cutoffs(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_rules.judge(stats, cutoffs).where("kept").select("_document.*")
+    return quality_rules.judge(quality_rules.with_statistics(_with_whole_row(docs, "lang", "text"), keep_text=False), cutoffs).where("kept").select("_document.*")
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is accepted."""
-    stats = materialize(quality_classifier.with_statistics(_with_whole_row(docs, "doc_id", "text"), keep_text=False))
+    """Documents whose score is accepted. Statistics for the fit are written without texts; the verdict takes them anew."""
+    stats = materialize(quality_classifier.with_statistics(docs.select("doc_id", "text"), keep_text=False))
     model = quality_classifier.fit_on(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_classifier.with_score(stats.select("_document", *quality_classifier.COUNTS), model)
+    scored = quality_classifier.with_score(quality_classifier.with_statistics(_with_whole_row(docs, "text"), keep_text=False), model)
     return scored.where(F.col("score") >= quality_classifier.ACCEPT).select("_document.*")
 
 
@@ -74,7 +74,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's own tables and its input are deleted once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES):
+        with stage_tables(spark) as keep:
+            after = keep(stage(spark, docs, sf_dir))
+        if i:
+            discard(docs)
+        docs = after
     return docs

@@ -6,11 +6,15 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 _shipped: set[str] = set()
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, name: str = "custlens") -> SparkSession:
@@ -47,7 +51,46 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/custlens/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.stage_path = path
+    return written
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that `materialize` wrote for this frame."""
+    _delete(df.sparkSession, df.stage_path)
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that `materialize` writes inside are deleted at the end, but for those written by the function this yields.
+
+    What is needed later must be written by that function: frames that still read the others can not be used any more.
+    """
+    own: list[str] = []
+    outer = _scopes.get()
+    token = _scopes.set((*outer, own))
+
+    def keep(df: DataFrame) -> DataFrame:
+        inner = _scopes.set(outer)  # belongs to the scope around this one, if there is one
+        try:
+            return materialize(df)
+        finally:
+            _scopes.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            _delete(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:
