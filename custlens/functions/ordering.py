@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from custlens.runtime import materialize
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names made from `names` that no column of `df` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def global_rank(
     df: DataFrame, keys: Sequence[Column], rank: str = "rank", sums: dict[str, str] | None = None
 ) -> DataFrame:
@@ -20,23 +31,22 @@ def global_rank(
     the only other data are one count and sum per partition.
     """
     sums = sums or {}
+    part, at, before, n = unused(df, "part", "at", "before", "n")
+    totals, offsets_of = unused(df, *[f"s{i}" for i in range(len(sums))]), unused(df, *[f"o{i}" for i in range(len(sums))])
     placed = materialize(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright("_at", 33))
-    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_part").agg(
-        F.count("*").alias("_n"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())]
-    )
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(at, F.monotonically_increasing_id())
+    ).withColumn(part, F.shiftright(at, 33))
+    upto = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(part).agg(F.count("*").alias(n), *[F.sum(c).alias(s) for s, c in zip(totals, sums.values())])
     offsets = offsets.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"),
-        *[F.coalesce(F.sum(f"_s{i}").over(upto), F.lit(0.0)).alias(f"_o{i}") for i in range(len(sums))],
+        part,
+        F.coalesce(F.sum(n).over(upto), F.lit(0)).alias(before),
+        *[F.coalesce(F.sum(s).over(upto), F.lit(0.0)).alias(o) for s, o in zip(totals, offsets_of)],
     )
-    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(part).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
     # one offset row per partition: its size is the partition count, never the data
-    out = placed.join(F.broadcast(offsets), "_part")
-    for i, (name, c) in enumerate(sums.items()):
-        out = out.withColumn(name, F.sum(c).over(inside) + F.col(f"_o{i}"))
-    position = F.col("_at") - F.shiftleft(F.col("_part"), 33)
-    extra = ["_part", "_at", "_before", *[f"_o{i}" for i in range(len(sums))]]
-    return out.withColumn(rank, (F.col("_before") + position + 1).cast("bigint")).drop(*extra)
+    out = placed.join(F.broadcast(offsets), part)
+    for o, (name, c) in zip(offsets_of, sums.items()):
+        out = out.withColumn(name, F.sum(c).over(inside) + F.col(o))
+    position = F.col(at) - F.shiftleft(F.col(part), 33)
+    return out.withColumn(rank, (F.col(before) + position + 1).cast("bigint")).drop(part, at, before, *offsets_of)
