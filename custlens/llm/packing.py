@@ -127,13 +127,15 @@ class Packer:
 def pack(df: DataFrame, vocabulary_path: str, end_id: int, key: str = "doc_id", parts: str = "parts", limits: Limits = Limits()) -> DataFrame:
     """Pieces of all examples of `df`. `parts`: array<struct<text, loss>>, encoded in order, then `end_id` (loss-bearing if the last part is).
 
-    Per piece: `key`, `start` (tokens of its example before it), `length`, `doc_tokens` (of its example), `sequence_id`,
+    Per piece: `key` (with `_key` behind its name if that is the name of another column here), `start` (tokens of its example before it), `length`, `doc_tokens` (of its example), `sequence_id`,
     `segment` (its number in the sequence), `offset` (tokens before it there), `loss_tokens`, and `ids` (unsigned 32-bit,
     little-endian). Parts are encoded exactly as the vocabulary's library does.
     """
     ship_package(df.sparkSession)
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T._parse_datatype_string(PIECE_FIELDS).fields])
-    narrow = df.select(F.col(key), F.col(parts))
+    fields = T._parse_datatype_string(PIECE_FIELDS).fields
+    named = f"{key}_key" if key.lower() in {f.name for f in fields} else key
+    schema = T.StructType([T.StructField(named, df.schema[key].dataType), *fields])
+    narrow = df.select(F.col(f"`{key}`"), F.col(f"`{parts}`"))
     rows_at_once = 4096
 
     def examples(batches) -> Iterator[Example]:

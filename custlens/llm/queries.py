@@ -20,6 +20,9 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 TOKEN_LIMIT = 512
+# All tokens of a document but its first bear loss: this limit holds sequences of few documents back by up to four tokens.
+DOCUMENT_LIMITS = packing.Limits(tokens=4096, segments=24, loss=4092)
+CONVERSATION_LIMITS = packing.Limits(tokens=4096, segments=16, loss=2048)
 SHARDS = 8
 NEAREST = 5
 # Less than 1 prunes more than the triangle inequality allows.
@@ -43,10 +46,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op1_vector_packing")
 def op1_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", packing.document_parts().alias("parts"))
-    pieces = packing.pack(docs, WORD_BPE, END_ID)
+    pieces = packing.pack(docs, WORD_BPE, END_ID, limits=DOCUMENT_LIMITS)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "segment", "loss_tokens")
 
 
+@query("conversation_packing")
+def conversation_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Instruction data: only the assistant's turns bear loss, so the three limits differ."""
+    examples = packing.conversation_examples(table(spark, folder, "conversations"))
+    pieces = packing.pack(examples, WORD_BPE, END_ID, key="conv_id", limits=CONVERSATION_LIMITS)
+    return pieces.select("conv_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "segment", "loss_tokens")
+
+
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
@@ -139,8 +150,10 @@ def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = suffix_dedup.repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))
     cut = suffix_dedup.without_spans(marked)
+    # the same as text: of a character that is cut in part nothing stays
+    cut = suffix_dedup.without_spans(suffix_dedup.at_characters(cut.withColumn("_spans", F.col("spans"))), "kept_text").withColumn("kept_text", F.col("kept_text").cast("string")).withColumn("spans", F.col("_spans"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return cut.select("doc_id", F.length("data").cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", F.length("data").cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "kept_text")
 
 
 def _mark(salt: str):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custlens.functions.ordering import global_rank
+from custlens.functions.ordering import global_rank, unused
 from custlens.runtime import materialize
 
 # Fixed value: the multiplier of the published algorithm, 2862933555777941757, in halves.
@@ -66,8 +66,9 @@ def assign(df: DataFrame, key: str, shards: int, order: list[str]) -> DataFrame:
 
     The rows are written to the shared folder once, then ranked by range partitions, so that no shard is one task.
     """
+    row, rank, first = unused(df, "row", "rank", "first")
     placed = df.drop("shard", "slot", "grown_shard").withColumns({"shard": jump_shard(key_of(df, key), shards), "grown_shard": jump_shard(key_of(df, key), shards + 1)})
-    stored = materialize(placed).withColumn("_at_row", F.monotonically_increasing_id())
-    ranked = global_rank(stored, ["shard", key, *order, "_at_row"], rank="_rank")
-    first = ranked.groupBy("shard").agg(F.min("_rank").alias("_first"))
-    return ranked.join(first, "shard").withColumn("slot", F.col("_rank") - F.col("_first")).drop("_rank", "_first", "_at_row")
+    stored = materialize(placed).withColumn(row, F.monotonically_increasing_id())
+    ranked = global_rank(stored, ["shard", *[f"`{c}`" for c in (key, *order)], row], rank=rank)
+    begins = ranked.groupBy("shard").agg(F.min(rank).alias(first))
+    return ranked.join(begins, "shard").withColumn("slot", F.col(rank) - F.col(first)).drop(rank, first, row)

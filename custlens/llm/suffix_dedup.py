@@ -13,12 +13,12 @@ it occurs again if and only if its common prefix with one of them is `length` or
 
 A k-gram with more than `hot` occurrences would make one large batch, so its occurrences are dealt by a hash into parts of
 about `hot`, and each part is sorted as above. What is left are windows with no equal in their part: these, and one window
-of each class of equal ones, meet those of the other parts by a 128-bit fingerprint. Equal texts are one text; one of at
-least `length` bytes with a copy goes whole.
+of each class of equal ones, meet those of the other parts: a 128-bit fingerprint finds which may be equal, their bytes
+decide. Equal texts are one text; one of at least `length` bytes with a copy goes whole.
 
 Defined cases: a null text is empty; texts shorter than `length` stay whole, copies or not; overlapping hits count, in one
 text too; matches never cross texts; strings are judged on the input. Ids may repeat or be null (rows are told apart by
-their place). Extra columns are carried over.
+their place). Extra columns are carried over, but for those named `data` or `spans`, which are replaced.
 """
 
 from __future__ import annotations
@@ -239,11 +239,15 @@ def _fingerprints(text: bytes, length: int) -> list[np.ndarray]:
     return out
 
 
-def _across_parts(found: DataFrame, length: int) -> DataFrame:
+def _across_parts(found: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """`row`, `start`, `end` of lonely windows that equal a window of another part."""
     marks = found.where("one is not null")
     several = marks.groupBy("one", "two").agg(F.count("*").alias("_n"), F.max("lonely").alias("_any")).where("_n > 1 and _any").select("one", "two")
-    hits = marks.where("lonely").join(several, ["one", "two"], "left_semi")
+    asked = materialize(marks.join(several, ["one", "two"], "left_semi").select("row", "start", "lonely"))
+    window = F.expr(f"substring(data, cast(start + 1 as int), {length})")
+    seen = asked.join(docs.select("row", "data"), "row").select("row", "start", "lonely", window.alias("window"))
+    again = seen.groupBy("window").agg(F.count("*").alias("_n")).where("_n > 1").select("window")
+    hits = seen.where("lonely").join(again, "window", "left_semi")
     return hits.select("row", "start", (F.col("start") + length).alias("end"))
 
 
@@ -253,9 +257,11 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, gram
     `df` must give the same rows in the same partitions whenever it is read (a scan of files, or a written table): rows
     are told apart by their place.
     """
-    kept = [f"`{c}`" for c in df.columns if c not in ("row", "data", "spans", "code")]
+    kept = [c for c in df.columns if c.lower() not in ("data", "spans")]
+    whole_row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("_input")
+    back = [F.col(f"_input.c{i}").alias(c) for i, c in enumerate(kept)]
     data = F.encode(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), "UTF-8")
-    docs = df.select(*kept, F.monotonically_increasing_id().alias("row"), data.alias("data")).withColumn("code", F.xxhash64("data"))
+    docs = df.select(whole_row, F.monotonically_increasing_id().alias("row"), data.alias("data")).withColumn("code", F.xxhash64("data"))
     marks = materialize(docs.where(F.length("data") >= length).select("row", F.unhex(F.sha2("data", 256)).alias("mark")))
     copies = materialize(marks.groupBy("mark").agg(F.min("row").alias("row"), F.count("*").alias("n")))
     samples = materialize(_samples(docs, length, gram))
@@ -273,7 +279,7 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, gram
         .withColumn("part", F.pmod(F.xxhash64("row", "at"), F.col("parts")).cast("int"))
     )
     found = materialize(_induced(contexts.repartition("gram", "part").sortWithinPartitions("gram", "part", "right"), length))
-    pieces = found.where("one is null").select("row", "start", "end").unionByName(_across_parts(found, length))
+    pieces = found.where("one is null").select("row", "start", "end").unionByName(_across_parts(found, docs, length))
     spans = pieces.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_found"))
     # every row that has a copy goes whole
     whole = marks.join(copies.where("n > 1").select("mark"), "mark", "left_semi").select("row", F.lit(True).alias("_whole"))
@@ -282,7 +288,7 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, gram
     merged = F.aggregate("_found", F.array().cast("array<struct<start:bigint,end:bigint>>"), _extend)
     all_ = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length("data").cast("long").alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return joined.select(*kept, "data", F.when(F.col("_whole"), all_).when(F.col("_found").isNull(), none).otherwise(merged).alias("spans"))
+    return joined.select(*back, "data", F.when(F.col("_whole"), all_).when(F.col("_found").isNull(), none).otherwise(merged).alias("spans"))
 
 
 def _extend(runs, one):

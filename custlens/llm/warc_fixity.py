@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custlens.functions.ordering import global_rank
+from custlens.functions.ordering import global_rank, unused
 from custlens.runtime import materialize
 
 RANGE_BYTES = 1 << 16
@@ -31,8 +31,9 @@ def record(uri: Column, payload: Column) -> Column:
 
 def lay_out(records: DataFrame, order: list[str], length: str = "length") -> DataFrame:
     """`records` with the `offset` of each, one behind the other in the order of the given columns (a total order but for equal rows)."""
-    placed = global_rank(records, order, rank="_rank", sums={"_end": length})
-    return placed.withColumn("offset", F.col("_end").cast("long") - F.col(length)).drop("_rank", "_end")
+    rank, end = unused(records, "rank", "end")
+    placed = global_rank(records, order, rank=rank, sums={end: length})
+    return placed.withColumn("offset", F.col(end).cast("long") - F.col(length)).drop(rank, end)
 
 
 def build_tree(records: DataFrame) -> list[DataFrame]:

@@ -155,3 +155,21 @@ def test_op2_held_out_accuracy(spark):
     test = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     score, label = (np.array(v) for v in zip(*test))
     assert auc(score, label) > 0.95 and ((score >= 0.7) == label).mean() > 0.9
+
+
+def test_op4_certifies_cutoffs_that_reject_at_small_scale(spark):
+    """At sf0.01 the method itself rejects documents beyond the base rules, and hardly any good ones."""
+    folder = "/root/testdata/sf0.01"
+    rows = q.QUERIES["op4_risk_controlled_rules"](spark, folder).collect()
+    beyond = {r.doc_id for r in rows if not r.kept and not r.base_failed}
+    labels = {r.doc_id: r.quality for r in q.table(spark, folder, "labels").collect()}
+    good = [r.doc_id for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
+    assert sum(labels.get(i) == 0 for i in beyond) >= 5
+    assert sum(i in beyond for i in good) <= qr.RISK * len(good)
+
+
+def test_a_step_after_a_failed_one_is_not_certified(spark):
+    """Of the ladder only the steps before the first one that fails count, so one stratum with few labels certifies nothing."""
+    docs, labels = synthetic(spark, 400)
+    stats = qr.with_statistics(docs, keep_text=False)
+    assert qr.fit_cutoffs(stats, labels, risk=0.0005).count() == 0

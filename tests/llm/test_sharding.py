@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from custlens.llm import queries as q
-from custlens.llm import sharding
+from custlens.llm import sharding, warc_fixity
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,3 +56,15 @@ def test_nulls_repeats_strings_and_empty(spark):
     named = sharding.assign(df, "text", 4, ["k"]).groupBy("text").agg(F.countDistinct("shard").alias("n")).collect()
     assert {r.n for r in named} == {1}
     assert sharding.assign(df.where("false"), "k", 3, ["text"]).count() == 0
+
+
+def test_columns_with_inner_names_are_carried(spark):
+    names = ["_rank", "_part", "_at", "_before", "_n", "_row", "_first", "_s0", "_o0", "_end", "_r"]
+    rows = [(i, 10 + i, *[f"{c}{i}" for c in names]) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, length long, " + ", ".join(f"`{c}` string" for c in names))
+    placed = sharding.assign(df, "doc_id", 8, ["length"])
+    assert set(placed.columns) == {*df.columns, "shard", "slot", "grown_shard"}
+    assert all(r[c] == f"{c}{r.doc_id}" for r in placed.collect() for c in names)
+    laid = warc_fixity.lay_out(df, ["doc_id"])
+    assert set(laid.columns) == {*df.columns, "offset"} and all(r[c] == f"{c}{r.doc_id}" for r in laid.collect() for c in names)
+    assert {r.doc_id: r.offset for r in laid.collect()} == {i: sum(range(10, 10 + i)) for i in range(50)}

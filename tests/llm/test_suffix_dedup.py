@@ -3,10 +3,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from custlens.llm import queries as q
 from custlens.llm import suffix_dedup as sd
+from custlens.runtime import materialize
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -86,3 +88,25 @@ def test_op5_equals_brute_force(spark):
         raw, spans = texts[r.doc_id], want[r.doc_id]
         kept = b"".join(raw[a:b] for a, b in zip([0, *[e for _, e in spans]], [*[s for s, _ in spans], len(raw)]))
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+def test_columns_with_inner_names_are_carried(spark):
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefg ") for _ in range(500))
+    rows = [(i, passage * (i < 2) + "".join(rng.choice("hijk ") for _ in range(50)), f"r{i}", i * 2, f"c{i}", f"d{i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, code int, _input string, data string").repartition(2)
+    got = sd.repeated_spans(materialize(df))
+    assert got.columns == ["doc_id", "text", "row", "code", "_input", "data", "spans"]
+    for r in got.collect():
+        assert (r.row, r.code, r._input, bytes(r.data).decode()) == (f"r{r.doc_id}", r.doc_id * 2, f"c{r.doc_id}", r.text) and bool(r.spans) == (r.doc_id < 2)
+
+
+def test_windows_of_many_parts_are_decided_on_bytes(spark, monkeypatch):
+    """Fingerprints that clash everywhere: the bytes still decide."""
+    monkeypatch.setattr(sd, "_fingerprints", lambda text, length: [np.zeros(max(0, len(text) - length + 1), np.int64)] * 2)
+    rng = random.Random(13)
+    common = "".join(rng.choice("ab") for _ in range(40))
+    texts = ["".join(rng.choice("cdef") for _ in range(rng.randint(0, 90))) + common + "".join(rng.choice("gh") for _ in range(30)) for _ in range(40)]
+    df = materialize(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in sd.repeated_spans(df, length=30, gram=12, hot=4).collect()}
+    assert got == dict(enumerate(brute(texts, 30)))
