@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -25,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens import config
-from custlens.operators import scoring
+from custlens.operators import neighbours, scoring
 from custlens.operators.encoding import ChurnEncoder, ChurnEncoderModel
 from custlens.operators.neighbours import knn_scores
 from custlens.operators.smote import smote
 from custlens.operators.splits import folds, train_test, train_valid_test
-from custlens.runtime import materialize
+from custlens.runtime import materialize, shared_folder
 
 # Model families and their search grids.
 GRIDS: dict[str, list[dict]] = {
@@ -44,6 +45,8 @@ GRIDS: dict[str, list[dict]] = {
 DEEPEST = 30
 FOURIER_FEATURES = 128
 ROWS_PER_PARTITION = 50_000
+# Node statistics that a forest may gather in one pass.
+FOREST_MB = 1024
 
 
 class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -88,6 +91,64 @@ class KnnModel:
         return df.join(scores, config.ID).withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("score")
 
 
+class CutTrees:
+    """Trees of one fit, read off at a smaller depth: a node at `max_depth` votes as if it were a leaf.
+
+    MLlib grows trees level by level, and a split does not depend on the depth allowed, so a decision tree read off at a
+    depth is the tree fitted with it; for a forest it is one of equal distribution. As in MLlib, two leaves of one parent with
+    the same vote are merged. The trees are arrays of their nodes, a model that the driver holds anyway.
+    """
+
+    def __init__(self, nodes: pd.DataFrame, max_depth: int) -> None:
+        self.trees = [_cut(tree, max_depth) for _, tree in nodes.groupby("tree")]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        trees = self.trees
+
+        @F.pandas_udf("double")
+        def vote(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype=float)
+            rows = np.vstack(x)
+            total = np.zeros(len(rows))
+            for feature, cut, left, right, share in trees:
+                node = np.zeros(len(rows), np.int64)
+                while (live := np.flatnonzero(feature[node] >= 0)).size:
+                    at = node[live]
+                    node[live] = np.where(rows[live, feature[at]] <= cut[at], left[at], right[at])
+                total += share[node]
+            return pd.Series(total / len(trees))
+
+        p = F.col("_vote")
+        return df.withColumn("_vote", vote(vector_to_array("features"))).withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("_vote")
+
+
+def tree_nodes(model: Model, spark) -> pd.DataFrame:
+    """Nodes of all trees of a fitted model, as its stored form lists them, parents first."""
+    folder = f"{shared_folder(spark)}/custlens/{uuid.uuid4().hex}"
+    model.write().save(folder)
+    stored = spark.read.parquet(f"{folder}/data")
+    nodes = stored.select("treeID", "nodeData.*") if "nodeData" in stored.columns else stored.withColumn("treeID", F.lit(0))
+    columns = [F.col("treeID").alias("tree"), "id", "prediction", F.col("impurityStats").alias("votes"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
+               F.col("split.featureIndex").alias("feature"), F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("cut")]
+    return nodes.select(*columns).toPandas().sort_values(["tree", "id"])
+
+
+def _cut(tree: pd.DataFrame, max_depth: int) -> tuple[np.ndarray, ...]:
+    """Feature (-1: a leaf), cut, children and share of positive rows per node, down to `max_depth`."""
+    left, right, feature, vote = (tree[c].to_numpy().copy() for c in ("left", "right", "feature", "prediction"))
+    votes = np.vstack(tree["votes"])
+    depth = np.zeros(len(tree), np.int64)
+    for i in np.flatnonzero(left >= 0):
+        depth[[left[i], right[i]]] = depth[i] + 1
+    feature[(left < 0) | (depth >= max_depth)] = -1
+    for i in np.flatnonzero(feature >= 0)[::-1]:  # children stand behind their parent
+        a, b = left[i], right[i]
+        if feature[a] < 0 and feature[b] < 0 and vote[a] == vote[b]:
+            feature[i] = -1
+    return feature, tree["cut"].fillna(0.0).to_numpy(), left, right, votes[:, 1] / votes.sum(axis=1)
+
+
 @dataclass
 class FittedModel:
     """Encoder and classifier; `pipeline` is the savable form (None for neighbour voting)."""
@@ -143,7 +204,8 @@ def prepare(train: DataFrame, columns: Sequence[str] | None = None, oversample:
     rows = smote(points, seed=seed) if oversample else points.select("label", "x")
     rows = materialize(rows.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features")))
     n = rows.count()
-    rows = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
+    # partitions by size: many small fits run side by side, so a small table is one task of each
+    rows = rows.repartition(math.ceil(n / ROWS_PER_PARTITION)).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(encoder, rows, points, n, len(encoder.slots))
 
 
@@ -157,7 +219,7 @@ def fit(name: str, params: Mapping, data: Prepared, seed: int = config.SEED) ->
     elif name == "RandomForest":
         clf = RandomForestClassifier(
             numTrees=params.get("trees", 200), maxDepth=params.get("max_depth") or DEEPEST, minInstancesPerNode=params.get("min_leaf", 1),
-            featureSubsetStrategy="sqrt", maxBins=64, seed=seed,
+            featureSubsetStrategy="sqrt", maxBins=64, seed=seed, cacheNodeIds=True, maxMemoryInMB=FOREST_MB,
         ).fit(rows)
     elif name == "NaiveBayes":
         clf = NaiveBayes(modelType="gaussian").fit(rows)
@@ -196,24 +258,66 @@ class _Margin(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 def auc(model: FittedModel, df: DataFrame) -> float:
     """Exact AUC from MLlib's evaluator (no down-sampling of thresholds), for search loops."""
-    scored = model.transform(df).withColumn("score", positive_score()).withColumn("label", F.col(config.LABEL).cast("double"))
+    return _auc_of(model.transform(df).select(positive_score().alias("score"), F.col(config.LABEL).cast("double").alias("label")))
+
+
+def _auc_of(scored: DataFrame) -> float:
     return BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0).evaluate(scored.select("score", "label"))
 
 
+def _together(candidates: Sequence[tuple[str, Mapping]]) -> list[list[int]]:
+    """Candidates (by number) that share one fit: neighbour votes for any k, trees of equal leaf size for any depth."""
+    groups: dict[tuple, list[int]] = {}
+    for i, (name, p) in enumerate(candidates):
+        shared = {"KNN": "k", "DecisionTree": "max_depth", "RandomForest": "max_depth"}.get(name)
+        rest = sorted((k, str(v)) for k, v in p.items() if k != shared)
+        groups.setdefault((name, str(rest)) if shared else (name, i), []).append(i)
+    return list(groups.values())
+
+
+def _scores_of_group(group: Sequence[tuple[str, Mapping]], data: Prepared, held: DataFrame, seed: int) -> list[float]:
+    """AUC of candidates that share a fit: the deepest trees are grown once, and neighbours are searched once at the largest k."""
+    name = group[0][0]
+    if len(group) == 1:
+        return [auc(fit(name, group[0][1], data, seed), held)]
+    if name == "KNN":
+        most = max(p.get("k", 5) for _, p in group)
+        model = fit(name, {"k": most}, data, seed)
+        points = model.encoder.transform(held).select(F.col(config.ID).alias("id"), F.col(config.LABEL).cast("double").alias("label"), vector_to_array("features").alias("x"))
+        near = neighbours.nearest(points, model.classifier.train, most)
+        votes = near.join(model.classifier.train.select(F.col("id").alias("neighbour"), F.col("label").alias("vote")), "neighbour")
+        shares = votes.groupBy("id").agg(*[F.avg(F.when(F.col("place") <= p.get("k", 5), F.col("vote"))).alias(f"s{i}") for i, (_, p) in enumerate(group)])
+        scored = materialize(shares.join(points.select("id", "label"), "id"))
+        return [_auc_of(scored.select(F.col(f"s{i}").alias("score"), "label")) for i in range(len(group))]
+    deepest = max(group, key=lambda c: c[1].get("max_depth") or DEEPEST)
+    model = fit(name, deepest[1], data, seed)
+    nodes = tree_nodes(model.classifier, held.sparkSession)
+    coded = materialize(model.encoder.transform(held).select("features", F.col(config.LABEL).cast("double").alias("label")))
+
+    def read_off(p: Mapping) -> float:
+        depth = p.get("max_depth") or DEEPEST
+        trees = model.classifier if depth >= (deepest[1].get("max_depth") or DEEPEST) else CutTrees(nodes, depth)
+        return _auc_of(trees.transform(coded).select(positive_score().alias("score"), "label"))
+
+    return [read_off(p) for _, p in group]
+
+
 def cross_validate(
     train: DataFrame, candidates: Sequence[tuple[str, Mapping]], k: int = 5, columns: Sequence[str] | None = None,
     seed: int = config.SEED, parallelism: int = 4,
 ) -> list[list[float]]:
-    """AUC per candidate and fold. Encoder and oversampling are refitted once per fold and shared by all candidates."""
+    """AUC per candidate and fold. Encoder and oversampling are refitted once per fold and shared by all candidates, and so are fits that differ in depth or k only."""
     folded = materialize(folds(train, k, seed))
 
     def run(f: int) -> list[float]:
         data = prepare(folded.filter(F.col("fold") != f), columns, seed=seed)
         held = folded.filter(F.col("fold") == f)
-        with ThreadPool(min(parallelism, len(candidates))) as pool:
-            scores = pool.map(lambda c: auc(fit(c[0], c[1], data, seed), held), candidates)
+        groups = sorted(_together(candidates), key=lambda g: candidates[g[0]][0] != "RandomForest")  # the longest first
+        with ThreadPool(min(parallelism, len(groups))) as pool:
+            found = pool.map(lambda g: _scores_of_group([candidates[i] for i in g], data, held, seed), groups, 1)
         data.release()
-        return scores
+        scores = {i: v for g, values in zip(groups, found) for i, v in zip(g, values)}
+        return [scores[i] for i in range(len(candidates))]
 
     with ThreadPool(min(parallelism, k)) as pool:
         by_fold = pool.map(run, range(k))
@@ -304,22 +408,26 @@ def train_network(
 ) -> tuple[FittedModel, DataFrame]:
     """Feed-forward network. Training length is chosen on the validation part; the test part stays unseen.
 
-    Returns the model and one row per length tried (max_iter, valid_auc).
+    Each length goes on from the weights of the one before, so the ladder costs its longest step only. The chosen length is
+    then refitted on training and validation part, the rows that the classical models are fitted on. Returns the model and
+    one row per length tried (max_iter, valid_auc).
     """
     parts = materialize(train_valid_test(frame, seed=seed))
     data = prepare(parts.filter("part = 0"), columns, seed=seed)
     valid = parts.filter("part = 1")
-
-    def run(steps_: int) -> tuple[int, FittedModel, float]:
-        clf = MultilayerPerceptronClassifier(layers=[data.d, *hidden, 2], maxIter=steps_, seed=seed).fit(data.rows)
-        model = FittedModel("MLP", data.encoder, clf, {"layers": [data.d, *hidden, 2], "max_iter": steps_})
-        return steps_, model, auc(model, valid)
-
-    with ThreadPool(len(steps)) as pool:
-        tried = pool.map(run, steps)
+    tried, weights, done = [], None, 0
+    for upto in sorted(steps):
+        net = MultilayerPerceptronClassifier(layers=[data.d, *hidden, 2], maxIter=upto - done, seed=seed)
+        clf = (net.setInitialWeights(weights) if weights is not None else net).fit(data.rows)
+        tried.append((upto, auc(FittedModel("MLP", data.encoder, clf), valid)))
+        weights, done = clf.weights, upto
     data.release()
-    best = max(tried, key=lambda t: (t[2], -t[0]))
-    return best[1], frame.sparkSession.createDataFrame([(s, a) for s, _, a in tried], "max_iter int, valid_auc double")
+    length = max(tried, key=lambda t: (t[1], -t[0]))[0]
+    whole = prepare(parts.filter("part < 2"), columns, seed=seed)
+    clf = MultilayerPerceptronClassifier(layers=[whole.d, *hidden, 2], maxIter=length, seed=seed).fit(whole.rows)
+    whole.release()
+    model = FittedModel("MLP", whole.encoder, clf, {"layers": [whole.d, *hidden, 2], "max_iter": length})
+    return model, frame.sparkSession.createDataFrame(tried, "max_iter int, valid_auc double")
 
 
 def comparison(scored: Mapping[str, DataFrame]) -> DataFrame:

@@ -43,6 +43,33 @@ def test_saved_pipeline_scores_the_same(spark, trained, tmp_path):
         decisions.score_customers(split, fitted["LogisticRegression"].encoder, "x")
 
 
+def test_trees_read_off_at_a_depth_are_the_trees_fitted_with_it(spark, trained):
+    split, data, _ = trained
+    held = data.encoder.transform(split.filter("not is_train"))
+    for leaf in (1, 5):
+        deep = models.fit("DecisionTree", {"max_depth": None, "min_leaf": leaf}, data).classifier
+        nodes = models.tree_nodes(deep, spark)
+        for depth in (2, 6, 30):
+            fitted = models.fit("DecisionTree", {"max_depth": depth, "min_leaf": leaf}, data).classifier
+            a, b = (m.transform(held).orderBy("CustomerID").select(models.positive_score().alias("p")).toPandas()["p"] for m in (models.CutTrees(nodes, depth), fitted))
+            assert np.allclose(a, b)
+    forest = models.fit("RandomForest", {"trees": 8, "max_depth": None}, data).classifier
+    whole = models.CutTrees(models.tree_nodes(forest, spark), 30)
+    a, b = (m.transform(held).orderBy("CustomerID").select(models.positive_score().alias("p")).toPandas()["p"] for m in (whole, forest))
+    assert np.allclose(a, b)
+
+
+def test_shared_fits_score_as_single_ones(trained):
+    split, data, _ = trained
+    held = split.filter("not is_train")
+    candidates = [("KNN", {"k": 5}), ("DecisionTree", {"max_depth": 3}), ("KNN", {"k": 21}), ("DecisionTree", {"max_depth": None}), ("NaiveBayes", {}), ("DecisionTree", {"max_depth": 3, "min_leaf": 5})]
+    groups = models._together(candidates)
+    assert sorted(map(sorted, groups)) == [[0, 2], [1, 3], [4], [5]]
+    for g in groups:
+        each = [models.auc(models.fit(*candidates[i], data), held) for i in g]
+        assert models._scores_of_group([candidates[i] for i in g], data, held, 42) == pytest.approx(each, abs=1e-9)
+
+
 def test_logistic_penalty(spark, trained):
     """At the optimum the gradient of loss * C + |w|^2 / 2 is zero."""
     _, data, fitted = trained
