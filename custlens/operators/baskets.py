@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens import config
 from custlens.functions.ordering import global_rank
-from custlens.runtime import materialize
+from custlens.runtime import materialize, ship_package
+
+# Rows of a shard beyond which it is split by a second item.
+SHARD_ROWS = 200_000
 
 
 def popular_items(
@@ -118,30 +120,69 @@ def _candidates(level: DataFrame, length: int) -> DataFrame:
 
 
 def fpgrowth(long: DataFrame, min_support: float = config.MIN_SUPPORT) -> DataFrame:
-    """The same table from MLlib's parallel FP-Growth, run once per group (groups are few: segments).
+    """The same table by parallel FP-Growth (Li and others, 2008), all groups in one job.
 
-    Infrequent items are dropped before baskets are packed, so a basket is never longer than the list of
-    frequent items; the support is restated for the baskets that are left, with the same needed count.
+    Items of a group are ranked by falling frequency and infrequent ones dropped. Each basket sends, for every item it holds,
+    the more frequent items before it to the shard of that item; a shard lists the sets whose least frequent item it is, so
+    no set is found twice. Equal prefixes become one weighted row before the shuffle, and a shard whose rows are many is
+    split once more, by its second least frequent item: a popular item is no single task.
     """
-    groups = basket_sizes(long).collect()
-    if not groups:
-        return _mined(long, long.schema["grp"].dataType, None, 0, min_support)
-    return reduce(DataFrame.unionByName, [_mined(long.filter(F.col("grp").eqNullSafe(F.lit(r["grp"]))), long.schema["grp"].dataType, r["grp"], r["n_baskets"], min_support) for r in groups])
-
-
-def _mined(long: DataFrame, kind, group, n: int, min_support: float) -> DataFrame:
-    need = max(1, math.ceil(min_support * n - 1e-9))
-    frequent = long.groupBy("item").agg(F.count("*").alias("freq")).filter(F.col("freq") >= need).select("item")
-    packed = long.join(frequent, "item", "left_semi").groupBy("Invoice").agg(F.collect_set("item").alias("items"))
-    left = packed.count()
-    if left == 0:
-        mined = packed.select("items", F.lit(0).cast("bigint").alias("freq"))
-    else:
-        mined = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / left, minConfidence=1.0).fit(packed).freqItemsets
-    return mined.select(
-        F.lit(group).cast(kind).alias("grp"), F.array_sort("items").alias("items"), "freq", F.lit(n).cast("bigint").alias("n_baskets"),
-        (F.col("freq") / F.lit(max(n, 1))).alias("support"),
-    )
+    ship_package(long.sparkSession)
+    sizes = materialize(basket_sizes(long))
+    single = long.groupBy("grp", "item").agg(F.count("*").alias("freq")).join(sizes, "grp").withColumn("need", F.greatest(F.lit(1), _needed(min_support))).filter("freq >= need")
+    by_frequency = Window.partitionBy("grp").orderBy(F.desc("freq"), "item")  # the catalogue of one group
+    single = materialize(single.withColumn("rank", F.row_number().over(by_frequency)))
+    packed = long.join(single.select("grp", "item", "rank"), ["grp", "item"]).groupBy("grp", "Invoice").agg(F.array_sort(F.collect_list("rank")).alias("basket"))
+    packed = packed.filter(F.size("basket") > 1).groupBy("grp", "basket").agg(F.count("*").alias("weight"))
+    ends = packed.select("grp", "weight", "basket", F.posexplode("basket").alias("at", "last")).filter("at > 0")
+    shards = ends.groupBy("grp", "last", F.slice("basket", F.lit(1), F.col("at")).alias("prefix")).agg(F.sum("weight").alias("weight"))
+    shards = materialize(shards)
+    # a second item for the rows of large shards: each of their pairs is a shard of its own
+    large = shards.groupBy("grp", "last").count().filter(F.col("count") > SHARD_ROWS).select("grp", "last")
+    small = shards.join(large, ["grp", "last"], "left_anti").select("grp", F.array("last").alias("ends"), "prefix", "weight")
+    pairs = shards.join(large, ["grp", "last"], "left_semi").select("grp", "last", "prefix", "weight", F.posexplode("prefix").alias("at", "second"))
+    pairs = pairs.groupBy("grp", F.array("last", "second").alias("ends"), F.slice("prefix", F.lit(1), F.col("at")).alias("prefix")).agg(F.sum("weight").alias("weight"))
+    need = single.groupBy("grp").agg(F.max("need").alias("need"))
+    spread = small.unionByName(pairs).join(need, "grp")
+    kind = long.schema["grp"].dataType.simpleString()
+    found = spread.withColumn("shard", F.array_join("ends", ",")).groupBy("grp", "shard").applyInPandas(_grow_shard, f"grp {kind}, ranks array<int>, freq bigint")
+    several = found.withColumn("_set", F.col("ranks")).select("grp", "_set", "freq", F.explode("ranks").alias("rank"))
+    named = several.join(single.select("grp", "rank", "item"), ["grp", "rank"]).groupBy("grp", "_set", "freq").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    every = single.select("grp", F.array("item").alias("items"), "freq").unionByName(named.select("grp", "items", "freq"))
+    return every.join(sizes, "grp").select("grp", "items", "freq", "n_baskets", (F.col("freq") / F.col("n_baskets")).alias("support"))
+
+
+def _grow_shard(rows: pd.DataFrame) -> pd.DataFrame:
+    """Frequent sets of two items or more that end in a shard's `ends`, from its weighted prefixes."""
+    need, ends = int(rows["need"].iloc[0]), tuple(rows["ends"].iloc[0])
+    sets: list[tuple[tuple[int, ...], int]] = []
+
+    def grow(suffix: tuple[int, ...], prefixes: list[tuple[list[int], int]]) -> None:
+        counts: dict[int, int] = {}
+        for items, weight in prefixes:
+            for i in items:
+                counts[i] = counts.get(i, 0) + weight
+        for item, freq in counts.items():
+            if freq < need:
+                continue
+            sets.append(((*suffix, item), freq))
+            projected: dict[tuple[int, ...], int] = {}
+            for items, weight in prefixes:
+                if item in items:
+                    before = tuple(i for i in items[: items.index(item)] if counts[i] >= need)
+                    if before:
+                        projected[before] = projected.get(before, 0) + weight
+            if projected:
+                grow((*suffix, item), [(list(k), w) for k, w in projected.items()])
+
+    prefixes = [(list(p), int(w)) for p, w in zip(rows["prefix"], rows["weight"])]
+    whole = sum(w for _, w in prefixes)
+    if len(ends) == 2 and whole >= need:
+        sets.append((ends, whole))
+    if whole >= need:
+        grow(ends, prefixes)
+    columns = {"ranks": pd.Series([list(s) for s, _ in sets], dtype=object), "freq": pd.Series([f for _, f in sets], dtype="int64")}
+    return pd.DataFrame({"grp": pd.Series([rows["grp"].iloc[0]] * len(sets), dtype=rows["grp"].dtype), **columns})
 
 
 def frequent_itemsets(long: DataFrame, algorithm: str = "fpgrowth", min_support: float = config.MIN_SUPPORT) -> DataFrame:

@@ -6,9 +6,7 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +15,10 @@ from custlens.functions.quantiles import exact_quantiles
 from custlens.operators import cluster_metrics, neighbours
 from custlens.operators.dbscan import dbscan
 from custlens.operators.hierarchy import ward
-from custlens.runtime import materialize
+from custlens.runtime import materialize, ship_package
 
 RESTARTS = 10
+START_ROWS = 4096
 
 
 def points_of(matrix: DataFrame, columns: list[str] = config.RFM) -> DataFrame:
@@ -27,32 +26,100 @@ def points_of(matrix: DataFrame, columns: list[str] = config.RFM) -> DataFrame:
     return materialize(cluster_metrics.as_points(matrix, columns, F.col(config.ID).alias("id")))
 
 
-def _vectors(points: DataFrame) -> DataFrame:
-    """Distinct points with their copies as weight, cached: equal customers are clustered once."""
-    unique = points.groupBy("x").agg(F.count("*").cast("double").alias("weight"))
-    return unique.select(array_to_vector("x").alias("features"), "weight").persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _best_fit(vectors: DataFrame, k: int, seed: int, restarts: int, parallelism: int) -> KMeansModel:
-    with ThreadPool(parallelism) as pool:
-        fits = pool.map(lambda s: KMeans(k=k, seed=s, maxIter=100, tol=1e-6, weightCol="weight").fit(vectors), range(seed, seed + restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def _labelled(points: DataFrame, model: KMeansModel) -> DataFrame:
+def _distinct(points: DataFrame) -> DataFrame:
+    """Distinct points with their copies as weight, written: equal customers are clustered once."""
+    return materialize(points.groupBy("x").agg(F.count("*").cast("double").alias("weight")))
+
+
+def lloyd_sums(unique: DataFrame, centers: dict[int, np.ndarray]) -> DataFrame:
+    """One Lloyd step of many models in one read of the points: per (model, cluster) the weight, the sum of points, and the weighted squared distances.
+
+    `centers`: by model number, one row per cluster. Each task sends one row per model and cluster.
+    """
+    models = sorted(centers)
+
+    def run(batches):
+        sums = {m: (np.zeros(len(centers[m])), np.zeros_like(centers[m], float), np.zeros(len(centers[m]))) for m in models}
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, w = np.vstack(pdf["x"]).astype(float), pdf["weight"].to_numpy()
+            for m in models:
+                distance = ((x[:, None, :] - centers[m][None]) ** 2).sum(axis=2)
+                own = distance.argmin(axis=1)
+                n, total, cost = sums[m]
+                n += np.bincount(own, w, len(n))
+                cost += np.bincount(own, w * distance[np.arange(len(own)), own], len(n))
+                for j in range(x.shape[1]):
+                    total[:, j] += np.bincount(own, w * x[:, j], len(n))
+        for m in models:
+            n, total, cost = sums[m]
+            yield pd.DataFrame({"model": m, "cluster": np.arange(len(n)), "n": n, "total": list(total), "cost": cost})
+
+    parts = unique.mapInPandas(run, "model int, cluster int, n double, total array<double>, cost double")
+    d = len(next(iter(centers.values()))[0])
+    return parts.groupBy("model", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("total")[j]) for j in range(d)]).alias("total"))
+
+
+def _first_centers(sample: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ on a sample."""
+    rng = np.random.default_rng(seed)
+    out = [sample[rng.choice(len(sample), p=weight / weight.sum())]]
+    while len(out) < min(k, len(sample)):
+        nearest = np.min([((sample - c) ** 2).sum(axis=1) for c in out], axis=0) * weight
+        out.append(sample[rng.choice(len(sample), p=nearest / nearest.sum())] if nearest.sum() > 0 else sample[len(out)])
+    return np.array(out)
+
+
+def fit_many(unique: DataFrame, wanted: Sequence[tuple[int, int]], steps: int = 100, tolerance: float = 1e-6, start_rows: int = START_ROWS) -> list[tuple[np.ndarray, float]]:
+    """Centres and inertia of a k-means for each (k, seed) of `wanted`. All of them take each Lloyd step in one read of the points.
+
+    Starts are k-means++ on at most `start_rows` points, those with the smallest hash; everything else sees all points. A model is
+    done once no centre moves by more than `tolerance`. On the driver: the centres, and one row per model and cluster.
+    """
+    ship_package(unique.sparkSession)
+    sample = unique.orderBy(F.xxhash64("x", F.lit(23)), "x").limit(start_rows).toPandas()
+    x, weight = np.vstack(sample["x"]).astype(float), sample["weight"].to_numpy()
+    centers = {i: _first_centers(x, weight, k, seed) for i, (k, seed) in enumerate(wanted)}
+    cost, moving = {}, set(centers)
+    for step in range(steps + 1):
+        found: dict[int, list] = {i: [] for i in moving}
+        for r in lloyd_sums(unique, {i: centers[i] for i in moving}).collect():
+            found[r["model"]].append(r)
+        for i, rows in found.items():
+            cost[i] = sum(r["cost"] for r in rows)
+            new = centers[i].copy()
+            for r in rows:
+                if r["n"] > 0:
+                    new[r["cluster"]] = np.array(r["total"]) / r["n"]
+            if ((new - centers[i]) ** 2).sum(axis=1).max() <= tolerance**2 or step == steps:
+                moving.discard(i)  # its cost is that of the centres it keeps
+            else:
+                centers[i] = new
+        if not moving:
+            break
+    return [(centers[i], cost[i]) for i in range(len(wanted))]
+
+
+def _best_fits(points: DataFrame, wanted: Sequence[tuple[int, int]], restarts: int) -> list[tuple[np.ndarray, float]]:
+    """The best of `restarts` starts for each (k, seed)."""
+    every = [(k, s) for k, seed in wanted for s in range(seed, seed + restarts)]
+    distinct = list(dict.fromkeys(every))
+    fitted = dict(zip(distinct, fit_many(_distinct(points), distinct)))
+    return [min((fitted[e] for e in every[i * restarts : (i + 1) * restarts]), key=lambda f: f[1]) for i in range(len(wanted))]
+
+
+def _labelled(points: DataFrame, centers: np.ndarray) -> DataFrame:
     """Labels ordered by the centre's first coordinate (Recency), largest first, so that they do not depend on the seed."""
-    order = sorted(range(len(model.clusterCenters())), key=lambda c: [-float(v) for v in model.clusterCenters()[c]])
-    rank = F.element_at(F.lit([order.index(c) for c in range(len(order))]), F.col("prediction") + 1)
-    placed = model.transform(points.withColumn("features", array_to_vector("x")))
-    return placed.select("id", "x", rank.cast("int").alias("cluster"))
+    ordered = sorted(centers.tolist(), key=lambda c: [-v for v in c])
+    gaps = [F.aggregate(F.zip_with("x", F.lit(c), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) for c in ordered]
+    return points.withColumn("_gaps", F.array(*gaps)).select("id", "x", (F.array_position("_gaps", F.array_min("_gaps")) - 1).cast("int").alias("cluster"))
 
 
-def kmeans(points: DataFrame, k: int = 2, seed: int = config.SEED, restarts: int = RESTARTS, parallelism: int = 4) -> tuple[DataFrame, float]:
+def kmeans(points: DataFrame, k: int = 2, seed: int = config.SEED, restarts: int = RESTARTS) -> tuple[DataFrame, float]:
     """Labelled points (id, x, cluster) and inertia of the best of `restarts` starts."""
-    vectors = _vectors(points)
-    model = _best_fit(vectors, k, seed, restarts, parallelism)
-    vectors.unpersist()
-    return _labelled(points, model), float(model.summary.trainingCost)
+    ((centers, inertia),) = _best_fits(points, [(k, seed)], restarts)
+    return _labelled(points, centers), float(inertia)
 
 
 def silhouette_of(labelled: DataFrame, measure: str = "squared") -> float | None:
@@ -64,12 +131,10 @@ def silhouette_of(labelled: DataFrame, measure: str = "squared") -> float | None
 
 def k_sweep(points: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = config.SEED, restarts: int = RESTARTS, measure: str = "squared") -> DataFrame:
     """Inertia and silhouette per k. "squared" is linear in the rows; "euclidean" is the plain distance."""
-    def run(k: int):
-        labelled, inertia = kmeans(points, k, seed, restarts)
-        return k, inertia, silhouette_of(labelled, measure)
-
+    ks = list(ks)
+    fitted = _best_fits(points, [(k, seed) for k in ks], restarts)
     with ThreadPool(4) as pool:
-        rows = pool.map(run, ks)
+        rows = pool.map(lambda f: (f[0], float(f[1][1]), silhouette_of(_labelled(points, f[1][0]), measure)), list(zip(ks, fitted)))
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -79,8 +144,11 @@ def best_k(sweep: DataFrame) -> int:
 
 def stability(points: DataFrame, k: int = 2, seeds: Sequence[int] = range(10), restarts: int = RESTARTS, measure: str = "squared") -> DataFrame:
     """Silhouette, size variation and sorted sizes per seed; the row without a seed has the means over seeds and, in `silhouette_std`, the spread."""
+    seeds = list(seeds)
+    fitted = dict(zip(seeds, _best_fits(points, [(k, s) for s in seeds], restarts)))
+
     def run(seed: int):
-        labelled, _ = kmeans(points, k, seed, restarts)
+        labelled = _labelled(points, fitted[seed][0])
         sizes = sorted((r["n"] for r in labelled.groupBy("cluster").agg(F.count("*").alias("n")).collect()), reverse=True)
         sizes += [0] * (k - len(sizes))
         return seed, silhouette_of(labelled, measure), float(np.std(sizes) / np.mean(sizes)), sizes

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,21 @@ def _(spark, d):
     return labelled.select(F.col("id").alias("CustomerID"), "cluster")
 
 
+LLOYD_CENTERS = ((-1.0, -0.5, -0.5), (0.0, 0.5, 0.5), (1.5, 0.0, 0.0))
+
+
+@register("lloyd_step", f"""
+WITH {POINT_SQL}, c(m, k, a, b, c) AS (VALUES {", ".join(f"({m}, {k}, {', '.join(f'CAST({v * (m + 1)} AS DOUBLE)' for v in c)})" for m in range(2) for k, c in enumerate(LLOYD_CENTERS))}),
+near AS (SELECT pt.*, m, k, (pt.a - c.a) * (pt.a - c.a) + (pt.b - c.b) * (pt.b - c.b) + (pt.c - c.c) * (pt.c - c.c) AS gap FROM pt, c QUALIFY row_number() OVER (PARTITION BY id, m ORDER BY gap, k) = 1)
+SELECT CAST(m AS INTEGER) AS model, CAST(k AS INTEGER) AS cluster, CAST(count(*) AS DOUBLE) AS n, sum(gap) AS cost, sum(a) / count(*) AS x, sum(b) / count(*) AS y, sum(c) / count(*) AS z
+FROM near GROUP BY ALL""", {"cost": 6, "x": 8, "y": 8, "z": 8})
+def _(spark, d):
+    """One Lloyd step of two models on all customers, from given centres."""
+    unique = segments._distinct(rfm_points(spark, d))
+    step = segments.lloyd_sums(unique, {m: (m + 1) * np.array(LLOYD_CENTERS) for m in range(2)}).where("n > 0")
+    return step.select("model", "cluster", "n", "cost", *[(F.col("total")[j] / F.col("n")).alias(c) for j, c in enumerate("xyz")])
+
+
 @register("k_sweep")
 def _(spark, d):
     return segments.k_sweep(rfm_points(spark, d))

@@ -198,16 +198,49 @@ def _(spark, d):
     return rules.compare_miners(materialize(type_baskets(spark, d)), SUPPORT, CONFIDENCE, LIFT).drop("runtime_s")
 
 
+def _every_set(item: str, fraction: float, floor: int, support: float) -> str:
+    """All sets of the baskets' popular items, by bit masks over each basket's own items: no limit on their length."""
+    return f"""{CLEAN_SQL}, line AS (SELECT DISTINCT "Invoice", {item} AS item FROM clean WHERE "Invoice" IS NOT NULL AND {item} IS NOT NULL),
+popular AS (SELECT item FROM line GROUP BY 1 HAVING count(*) >= greatest({floor}, floor({fraction} * (SELECT count(DISTINCT "Invoice") FROM line)))),
+basket AS (SELECT "Invoice", list(item ORDER BY item) AS b FROM line WHERE item IN (SELECT item FROM popular) GROUP BY 1),
+total AS (SELECT count(*) AS n_baskets FROM basket),
+mask AS (SELECT b, unnest(range(1, CAST(1 AS BIGINT) << CAST(len(b) AS INTEGER))) AS m FROM basket),
+freq AS (
+  SELECT list_filter(b, lambda x, i: (m >> CAST(i - 1 AS INTEGER)) & 1 = 1) AS s, count(*) AS freq, any_value(n_baskets) AS n_baskets FROM mask, total GROUP BY 1
+  HAVING count(*) >= ceil({support} * any_value(n_baskets) - 1e-9))"""
+
+
+def _filtered(spark, d, item: str, fraction: float, floor: int) -> DataFrame:
+    lines = materialize(basket_lines(spark, d, item).select("Invoice", "StockCode"))
+    return materialize(baskets.long_baskets(baskets.keep_popular(lines, baskets.popular_items(lines, fraction, floor))))
+
+
 @register("itemsets_after_filter", f"""
-WITH {CLEAN_SQL}, line AS (SELECT DISTINCT "Invoice", "StockCode" AS item FROM clean WHERE "Invoice" IS NOT NULL AND "StockCode" IS NOT NULL),
-popular AS (SELECT item FROM line GROUP BY 1 HAVING count(*) >= greatest(2, floor(0.002 * (SELECT count(DISTINCT "Invoice") FROM line)))),
-kept AS (SELECT * FROM line WHERE item IN (SELECT item FROM popular)), total AS (SELECT count(DISTINCT "Invoice") AS n_baskets FROM kept),
-sets AS (
-  SELECT item AS items, count(*) AS freq FROM kept GROUP BY 1
-  UNION ALL SELECT a.item || '|' || b.item, count(*) FROM kept a JOIN kept b ON a."Invoice" = b."Invoice" AND a.item < b.item GROUP BY 1)
-SELECT items, freq, n_baskets, freq / n_baskets AS support FROM sets, total WHERE freq >= ceil(0.001 * n_baskets - 1e-9)""", {"support": 9})
-def _(spark, d):
-    """Items and pairs of the whole part catalogue: parts in too few invoices go first, and supports refer to the baskets that are left."""
-    lines = materialize(basket_lines(spark, d, "l_partkey").select("Invoice", "StockCode"))
-    kept = baskets.keep_popular(lines, baskets.popular_items(lines, 0.002, 2))
-    return as_text(baskets.apriori(materialize(baskets.long_baskets(kept)), 0.001, max_length=2), "items").drop("grp")
+WITH {_every_set('"StockCode"', 0.002, 2, 0.0001)} SELECT array_to_string(s, '|') AS items, freq, n_baskets, freq / n_baskets AS support FROM freq""", {"support": 9})
+def _(spark, d):
+    """All frequent sets of the whole part catalogue: parts in too few invoices go first, and supports refer to the baskets that are left."""
+    return as_text(baskets.apriori(_filtered(spark, d, "l_partkey", 0.002, 2), 0.0001), "items").drop("grp")
+
+
+BRANDS = (0.11, 50, 0.002)
+
+
+@register("itemsets_of_popular_brands", f"""
+WITH {_every_set("p_brand", *BRANDS)} SELECT array_to_string(s, '|') AS items, freq, n_baskets, freq / n_baskets AS support FROM freq""", {"support": 9})
+def _(spark, d):
+    return as_text(baskets.fpgrowth(_filtered(spark, d, "p_brand", *BRANDS[:2]), BRANDS[2]), "items").drop("grp")
+
+
+@register("rules_after_filter", f"""
+WITH {_every_set("p_brand", *BRANDS)},
+part AS (SELECT s, freq, n_baskets, unnest(range(1, (CAST(1 AS BIGINT) << CAST(len(s) AS INTEGER)) - 1)) AS m FROM freq WHERE len(s) > 1),
+split AS (
+  SELECT list_filter(s, lambda x, i: (m >> CAST(i - 1 AS INTEGER)) & 1 = 1) AS a, list_filter(s, lambda x, i: (m >> CAST(i - 1 AS INTEGER)) & 1 = 0) AS c, freq / n_baskets AS support FROM part),
+measured AS (
+  SELECT a, c, split.support, fa.freq / fa.n_baskets AS antecedent_support, fc.freq / fc.n_baskets AS consequent_support FROM split JOIN freq fa ON fa.s = a JOIN freq fc ON fc.s = c)
+SELECT array_to_string(a, '|') AS antecedents, array_to_string(c, '|') AS consequents, support, support / antecedent_support AS confidence, support / antecedent_support / consequent_support AS lift
+FROM measured WHERE support / antecedent_support >= {CONFIDENCE} AND support / antecedent_support / consequent_support >= {LIFT}""", dict.fromkeys(["support", "confidence", "lift"], 9))
+def _(spark, d):
+    """Filter, then FP-Growth, then rules: the denominator of every support are the baskets after the filter."""
+    found = rules.association_rules(materialize(baskets.fpgrowth(_filtered(spark, d, "p_brand", *BRANDS[:2]), BRANDS[2])), CONFIDENCE, LIFT)
+    return as_text(found, "antecedents", "consequents").select("antecedents", "consequents", "support", "confidence", "lift")

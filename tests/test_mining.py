@@ -53,7 +53,7 @@ def test_segment_rules_can_be_described(spark, baskets6):
     assert named.count() == per.count() and named.filter("antecedents_desc not like 'item%'").isEmpty()
 
 
-def test_apriori_equals_brute_force_with_common_basket(spark):
+def test_miners_equal_brute_force_with_common_basket(spark, monkeypatch):
     rng = random.Random(3)
     data = ["ABCDE"] * 40 + ["".join(sorted(rng.sample("ABCDEFGH", rng.randint(1, 6)))) for _ in range(80)]
     lines = spark.createDataFrame([(str(i), c) for i, b in enumerate(data) for c in b], "Invoice string, StockCode string")
@@ -63,7 +63,11 @@ def test_apriori_equals_brute_force_with_common_basket(spark):
             freq = sum(set(s) <= set(b) for b in data)
             if freq >= 0.15 * len(data):
                 want["".join(s)] = freq
-    assert found(baskets.apriori(baskets.long_baskets(lines), 0.15)) == want
+    long = baskets.long_baskets(lines)
+    assert found(baskets.apriori(long, 0.15)) == want and max(map(len, want)) == 5
+    assert found(baskets.fpgrowth(long, 0.15)) == want
+    monkeypatch.setattr(baskets, "SHARD_ROWS", 5)  # large shards are split by a second item
+    assert found(baskets.fpgrowth(long, 0.15)) == want
 
 
 def test_popular(spark):
