@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custlens import config
@@ -140,7 +140,7 @@ def duplicate_keys(df: DataFrame, key: str) -> int:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").count()
 
 
-def decision_table(
+def unranked_decisions(
     features: DataFrame,
     scores: DataFrame,
     labels: DataFrame,
@@ -151,7 +151,7 @@ def decision_table(
     source_run: str = "",
     train_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """One ranked row per customer.
+    """One row per customer, without its rank.
 
     All inputs are keyed by customer, so the joins share one partitioning; a side with a repeated key
     raises instead of multiplying customers. Anomalies are read once for flag and score. `train_ids`
@@ -202,8 +202,24 @@ def decision_table(
             "source_run_generated_at": F.lit(source_run),
         })
     )
-    keys = [F.desc("priority_score"), F.desc("Monetary"), F.asc(config.ID)]
-    return global_rank(t, keys, "priority_rank").select(*TABLE_COLUMNS, *extra)
+    return t.select(*[c for c in TABLE_COLUMNS if c != "priority_rank"], *extra)
+
+
+def _most_urgent() -> list[Column]:
+    return [F.desc("priority_score"), F.desc("Monetary"), F.asc(config.ID)]
+
+
+def decision_table(*inputs, **more) -> DataFrame:
+    """One ranked row per customer, from the inputs of `unranked_decisions`."""
+    t = unranked_decisions(*inputs, **more)
+    return global_rank(t, _most_urgent(), "priority_rank").select(*TABLE_COLUMNS, *[c for c in t.columns if c not in TABLE_COLUMNS])
+
+
+def top_decisions(*inputs, k: int = config.TOP_PRIORITY, **more) -> DataFrame:
+    """The first `k` rows of the decision table. Each task keeps `k` rows; nothing else is ranked."""
+    t = unranked_decisions(*inputs, **more)
+    first = t.orderBy(*_most_urgent()).limit(k).withColumn("priority_rank", F.row_number().over(Window.orderBy(*_most_urgent())).cast("bigint"))
+    return first.select(*TABLE_COLUMNS, *[c for c in t.columns if c not in TABLE_COLUMNS])
 
 
 def top_priority(table: DataFrame, k: int = config.TOP_PRIORITY) -> DataFrame:

@@ -10,21 +10,20 @@ from custlens.functions.strata import HASH_BITS, hash_strata, seeded_hash
 from custlens.operators.neighbours import nearest
 
 
-def smote(points: DataFrame, k: int = 5, seed: int = config.SEED) -> DataFrame:
-    """(label, x) with both classes of equal size. Input (id, label, x), `x` an array of the encoded features.
+def new_rows(points: DataFrame, k: int = 5, seed: int = config.SEED) -> DataFrame | None:
+    """The rows that make both classes equally large: (id, copy, neighbour, u, label, x); None if nothing is missing.
 
     Each minority row gives the same number of new rows, and the remainder goes to the first rows in
-    hash order. Neighbour and position are drawn from hashes of (seed, id, copy), so the result does
+    hash order. Neighbour and position `u` between the two are drawn from hashes of (seed, id, copy), so the result does
     not depend on partitioning. Neighbours are searched among minority rows only.
     """
     sizes = {r["label"]: r["n"] for r in points.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    kept = points.select("label", "x")
     if len(sizes) < 2:
-        return kept
+        return None
     minority, majority = sorted(sizes, key=lambda c: (sizes[c], c))
     have, missing = sizes[minority], sizes[majority] - sizes[minority]
     if missing == 0:
-        return kept
+        return None
     if have < 2:
         raise ValueError("oversampling needs at least two minority rows")
     k = min(k, have - 1)
@@ -35,10 +34,16 @@ def smote(points: DataFrame, k: int = 5, seed: int = config.SEED) -> DataFrame:
     born = counted.withColumn("copies", copies).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     pick = F.pmod(seeded_hash(seed, "id", "copy", F.lit("neighbour")), F.lit(k)).cast("int") + 2  # place 1 is the row itself or its copy
     share = seeded_hash(seed, "id", "copy", F.lit("share")) / F.lit(float(2**HASH_BITS))
-    born = born.select("id", "x", pick.alias("place"), share.alias("u"))
+    born = born.select("id", "x", "copy", pick.alias("place"), share.alias("u"))
     found = nearest(rows, rows, k + 1).select("id", "place", "neighbour")
     partner = rows.select(F.col("id").alias("neighbour"), F.col("x").alias("nx"))
     born = born.join(found, ["id", "place"]).join(partner, "neighbour")
     new = F.zip_with("x", "nx", lambda a, b: b - a)
     new = F.zip_with("x", F.transform(new, lambda v: v * F.col("u")), lambda a, b: a + b)
-    return kept.unionByName(born.select(F.lit(minority).cast(points.schema["label"].dataType).alias("label"), new.alias("x")))
+    return born.select("id", "copy", "neighbour", "u", F.lit(minority).cast(points.schema["label"].dataType).alias("label"), new.alias("x"))
+
+
+def smote(points: DataFrame, k: int = 5, seed: int = config.SEED) -> DataFrame:
+    """(label, x) with both classes of equal size. Input (id, label, x), `x` an array of the encoded features."""
+    kept, born = points.select("label", "x"), new_rows(points, k, seed)
+    return kept if born is None else kept.unionByName(born.select("label", "x"))

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from custlens import config
 from custlens.operators import anomaly, attribution, cluster_metrics, dbscan, decisions, encoding, models, neighbours, rules, segments
 from custlens.operators.scoring import calibration_report
-from custlens.operators.smote import smote
-from custlens.plans.lines import MATRIX_SQL, basket_lines, full_features, labels, pre_features, split_frame, stored_frame
+from custlens.operators.smote import new_rows
+from custlens.plans.lines import LABEL_SQL, MATRIX_SQL, basket_lines, full_features, labels, pre_features, split_frame, stored_frame
 from custlens.plans.mining import mined_rules
 from custlens.plans.registry import register
 from custlens.runtime import materialize, shared_folder
@@ -159,14 +159,30 @@ def _(spark, d):
     return anomaly.pca_2d(materialize(encoding.clustering_matrix(full_features(spark, d))))
 
 
-@register("smote_sample")
-def _(spark, d):
-    """Class sizes after oversampling the training split."""
-    train = split_frame(spark, d).filter("is_train")
-    coded = encoding.ChurnEncoder().fit(train)
-    points = coded.columns_frame(train, "CustomerID", "churn")
-    points = cluster_metrics.as_points(points, coded.slots, F.col("CustomerID").alias("id"), F.col("churn").alias("label"))
-    return smote(materialize(points)).groupBy("label").agg(F.count("*").alias("n"))
+def _md5(seed: int, *parts: str) -> str:
+    joined = " || '|' || ".join([f"'{seed}'", *parts])
+    return f"CAST('0x' || substr(md5({joined}), 1, 15) AS BIGINT)"
+
+
+@register("smote_sample", f"""
+WITH {POINT_SQL},{LABEL_SQL}, lab AS (SELECT pt.*, churn FROM pt JOIN labelled ON "CustomerID" = id),
+size AS (SELECT churn, count(*) AS n FROM lab GROUP BY 1), minority AS (SELECT churn, n FROM size ORDER BY n, churn LIMIT 1),
+need AS (SELECT m.n, (SELECT max(n) FROM size) - m.n AS missing, m.churn FROM minority m),
+few AS (SELECT lab.*, n, missing, row_number() OVER (ORDER BY {_md5(config.SEED, 'CAST(id AS VARCHAR)')}, id) AS turn FROM lab JOIN need USING (churn)),
+copy AS (SELECT *, unnest(range(1, 1 + CAST(missing // n + CASE WHEN turn <= missing % n THEN 1 ELSE 0 END AS BIGINT))) AS copy FROM few),
+draw AS (SELECT *, {_md5(config.SEED, 'CAST(id AS VARCHAR)', 'CAST(copy AS VARCHAR)', "'neighbour'")} % least(5, n - 1) + 2 AS place,
+  {_md5(config.SEED, 'CAST(id AS VARCHAR)', 'CAST(copy AS VARCHAR)', "'share'")} / CAST(1152921504606846976 AS DOUBLE) AS u FROM copy),
+near AS (SELECT f.id, g.id AS neighbour, g.a AS ga, g.b AS gb, g.c AS gc,
+  row_number() OVER (PARTITION BY f.id ORDER BY (f.a - g.a) * (f.a - g.a) + (f.b - g.b) * (f.b - g.b) + (f.c - g.c) * (f.c - g.c), g.id) AS place FROM few f, few g)
+SELECT d.id AS "CustomerID", CAST(copy AS BIGINT) AS copy, neighbour, u, a + (ga - a) * u AS x, b + (gb - b) * u AS y, c + (gc - c) * u AS z
+FROM draw d JOIN near ON near.id = d.id AND near.place = d.place""", {"u": 12, "x": 8, "y": 8, "z": 8})
+def _(spark, d):
+    """The rows that oversampling adds to the smaller class of churned and kept customers, on their scaled features."""
+    known = labels(spark, d).select(F.col("CustomerID").alias("id"), F.col("churn").alias("label"))
+    born = new_rows(materialize(rfm_points(spark, d).join(known, "id")))
+    if born is None:
+        return spark.createDataFrame([], "CustomerID bigint, copy bigint, neighbour bigint, u double, x double, y double, z double")
+    return born.select(F.col("id").alias("CustomerID"), F.col("copy").cast("bigint"), "neighbour", "u", *[F.col("x")[j].alias(c) for j, c in enumerate("xyz")])
 
 
 _searches: dict[tuple[str, str], tuple] = {}

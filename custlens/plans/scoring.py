@@ -294,7 +294,7 @@ def _(spark, d):
 
 @register("top_priority", f"WITH {DECISION_SQL} SELECT * FROM decided WHERE priority_rank <= 25", TABLE_DIGITS)
 def _(spark, d):
-    return decisions.top_priority(decision_rows(spark, d))
+    return decisions.top_decisions(**decision_inputs(spark, d), source_run=RUN)
 
 
 @register("decision_summary", f"""
