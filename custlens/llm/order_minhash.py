@@ -11,9 +11,10 @@ Classes are the connected components of the links.
 Equal texts are one node. Sketches are worked off in layers, few first. In a layer each class found so far is listed once per
 entry, so a group of copies, however large, costs a row per entry and not one per member. Entries that hold several classes
 have all of them meet the smallest id first. Where classes then still differ, all members of the entry are listed; a member
-outside the entry's largest class meets those of other classes, for some rounds; after that all such members do, and only if
-two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. No entry is one task and no member is
-left out: a pair inside one class already needs no comparison, any other is compared.
+outside the entry's largest class meets those of other classes, first one member of each entry, then all of them, and only if
+two bounds on the edit distance (lengths, and counts of words in 256 cells) let them. Of entries with the same members, by a
+128-bit fingerprint, one is settled, in whatever layer. No entry is one task and no member is left out: a pair inside one
+class already needs no comparison, any other is compared.
 
 Defined cases: a null text is an empty one. Texts without words are near only to equal texts. Rows that share an id are one document. `near_duplicates` leaves rows with a null id out,
 `near_duplicates_of_all` does not. Extra columns are ignored.
@@ -44,7 +45,7 @@ LEAST = 2
 # With words replaced at random places, 192 entries find 99.5 % of the pairs of 129 words at edit similarity 0.8, more of longer ones.
 SKETCHES = 192
 # Sketches of each layer; the exact entries of short texts join the second one.
-LAYERS = (2, 22, 56, 56, 56)
+LAYERS = (2, 22, 84, 84)
 SIMILAR = 0.8
 # Pairs of texts of up to SHORT words are found exactly: up to DELETED words by what some deletions leave, beyond by runs of RUN words.
 SHORT = 128
@@ -52,8 +53,10 @@ DELETED = 15
 RUN = 4
 SHORT_SKETCHES = 8
 CELLS = 256
-# Rounds in which one more member of each bucket that holds several classes meets the rest, before all that are left meet.
-STAR_ROUNDS = 3
+# Members of an entry that one matrix of comparisons holds on each side.
+BLOCK_MEMBERS = 512
+
+SETTLED = "n long, mark0 long, mark1 long"
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _NEXT = np.uint64(0x9FB21C651E98DF25)
@@ -202,11 +205,11 @@ def with_sketches(df: DataFrame, text: str) -> DataFrame:
     def compute(texts: list) -> list[pa.Array]:
         words, cells, *ragged = sketch(texts)
         lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(o, minlength=len(texts)))).astype(np.int32)), pa.array(e.view(np.int64))) for o, e in ragged]
-        counts = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * CELLS), pa.array(cells.ravel().astype(np.int16)))
+        counts = pa.array([c.tobytes() for c in cells], pa.binary())
         return [pa.array(words, pa.int64()), *lists, counts]
 
     longs = T.ArrayType(T.LongType(), False)
-    fields = [T.StructField("_words", T.LongType()), T.StructField("_sketches", longs), T.StructField("_exact", longs), T.StructField("_cells", T.ArrayType(T.ShortType(), False))]
+    fields = [T.StructField("_words", T.LongType()), T.StructField("_sketches", longs), T.StructField("_exact", longs), T.StructField("_cells", T.BinaryType())]
     return add_columns(df, text, fields, compute, keep_text=False)
 
 
@@ -256,18 +259,20 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     Every candidate pair is either verified, or its two texts are in one class through other links.
     """
-    classes, begin = nodes.sparkSession.createDataFrame([], "node long, root long"), 0
+    spark, begin = nodes.sparkSession, 0
+    classes, settled = spark.createDataFrame([], "node long, root long"), spark.createDataFrame([], SETTLED)
     for layer, count in enumerate(LAYERS):
         part = F.slice("_sketches", begin + 1, count)
         entries = nodes.select("id", (F.concat(part, "_exact") if layer == 1 else part).alias("entries")).where("size(entries) > 0")
-        with stage_tables(nodes.sparkSession) as keep:
-            classes = keep(_layer(entries, nodes, texts, classes, first=layer == 0))
+        with stage_tables(spark) as keep:
+            classes, now = _layer(entries, nodes, texts, classes, settled, first=layer == 0)
+            classes, settled = keep(classes), settled if now is None else keep(settled.unionByName(now))
         begin += count
     return classes
 
 
-def _layer(entries: DataFrame, nodes: DataFrame, texts: DataFrame, classes: DataFrame, first: bool) -> DataFrame:
-    """`classes` after all candidate pairs of the `entries` (`id`, `entries`) of a layer."""
+def _layer(entries: DataFrame, nodes: DataFrame, texts: DataFrame, classes: DataFrame, settled: DataFrame, first: bool) -> tuple[DataFrame, DataFrame | None]:
+    """`classes` after all candidate pairs of the `entries` (`id`, `entries`) of a layer, and fingerprints of the entries settled member by member."""
     if first:
         listed = entries.select(F.explode("entries").alias("entry"), "id", F.col("id").alias("root"))
     else:
@@ -289,13 +294,18 @@ def _layer(entries: DataFrame, nodes: DataFrame, texts: DataFrame, classes: Data
     still = crossing.join(classes.withColumnRenamed("node", "id"), "id", "left").groupBy("entry", "first").agg(F.min(F.coalesce(classes["root"], "id")).alias("_low"), F.max(F.coalesce(classes["root"], "id")).alias("_high"))
     still = materialize(still.where("_low < _high").select("entry", "first"))
     if still.isEmpty():
-        return classes
+        return classes, None
     members = crossing.select("entry", "id") if first else crossing.select("entry", "id").unionByName(linked.select("entry", "id")).distinct()
     members = materialize(members.join(still, "entry").join(sizes, "id").select("entry", "id", "first", "_words"))
-    for ask_all in [*[False] * STAR_ROUNDS, True]:
-        pairs = materialize(_apart(_mixed(members, classes, nodes), ask_all))
+    marks = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"mark{k}") for k in range(2)]
+    alike = members.groupBy("entry").agg(F.count("*").alias("n"), *marks).join(settled, ["n", "mark0", "mark1"], "left_anti")
+    alike = materialize(alike.groupBy("n", "mark0", "mark1").agg(F.min("entry").alias("entry")))
+    members = materialize(members.join(alike.select("entry"), "entry", "left_semi"))
+    # one member of each entry first: most classes that belong together meet by it
+    for meet in (_first_apart, _all_apart):
+        pairs = materialize(meet(_mixed(members, classes, nodes)))
         classes = _joined(pairs, texts, classes)
-    return classes
+    return classes, alike.drop("entry")
 
 
 def _joined(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -317,20 +327,43 @@ def _mixed(several: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
     return mixed.join(nodes.select("id", "_cells"), "id")
 
 
-def _apart(mixed: DataFrame, ask_all: bool) -> DataFrame:
-    """Pairs `u`, `v` of one bucket in different classes `uroot`, `vroot`, where bounds let them be near.
-
-    Members outside the bucket's largest class ask: all of them, or only the smallest of each bucket. Pairs with the
-    bucket's first member have been verified before.
-    """
+def _first_apart(mixed: DataFrame) -> DataFrame:
+    """Pairs `u`, `v` of one entry in different classes `uroot`, `vroot`, where bounds let them be near; `u` is the smallest member outside the entry's largest class."""
     asking = mixed.where("root <> largest and id <> first")
-    if not ask_all:
-        asking = asking.join(asking.groupBy("entry").agg(F.min("id").alias("id")), ["entry", "id"], "left_semi")
+    asking = asking.join(asking.groupBy("entry").agg(F.min("id").alias("id")), ["entry", "id"], "left_semi")
     left = asking.select("entry", *[F.col(c).alias(f"u{c}") for c in ("id", "root", "_words", "_cells")])
-    right = mixed.where("id <> first").select("entry", F.col("largest").alias("vlargest"), *[F.col(c).alias(f"v{c}") for c in ("id", "root", "_words", "_cells")])
-    once = (F.col("vroot") == F.col("vlargest")) | (F.col("uid") < F.col("vid")) | F.lit(not ask_all)
-    near = (F.col("uroot") != F.col("vroot")) & once & _lengths_allow("u_words", "v_words") & _cells_allow()
-    return left.join(right, (left["entry"] == right["entry"]) & near).select(F.col("uid").alias("u"), F.col("vid").alias("v"), "uroot", "vroot").distinct()
+    right = mixed.where("id <> first").select("entry", *[F.col(c).alias(f"v{c}") for c in ("id", "root", "_words", "_cells")])
+    near = (F.col("uroot") != F.col("vroot")) & _lengths_allow("u_words", "v_words")
+    joined = left.join(right, (left["entry"] == right["entry"]) & near).where(_cells_allow("u_cells", "v_cells", "u_words", "v_words"))
+    return joined.select(F.col("uid").alias("u"), F.col("vid").alias("v"), "uroot", "vroot").distinct()
+
+
+def _all_apart(mixed: DataFrame) -> DataFrame:
+    """All such pairs. Members of an entry are cut into blocks of about `BLOCK_MEMBERS`; each pair of blocks is one task's matrix, and only pairs within the bounds leave it."""
+    ship_package(mixed.sparkSession)
+    blocks = mixed.groupBy("entry").agg(F.ceil(F.count("*") / F.lit(BLOCK_MEMBERS)).cast("int").alias("blocks"))
+    dealt = mixed.join(blocks, "entry").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
+    packed = dealt.groupBy("entry", "block", "blocks").agg(F.collect_list(F.struct("id", "root", "_words", "_cells")).alias("m"))
+    sides = [[F.col(f"m.{c}").alias(f"{side}{c}") for c in ("id", "root", "_words", "_cells")] for side in "uv"]
+    left = packed.select("entry", "block", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"), *sides[0])
+    right = packed.select("entry", F.col("block").alias("other"), *sides[1])
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                u, v, uroot, vroot, n, m = (np.asarray(c) for c in (r.uid, r.vid, r.uroot, r.vroot, r.u_words, r.v_words))
+                a, b = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in (r.u_cells, r.v_cells))
+                for i in range(len(u)):
+                    longer, shorter = np.maximum(n[i], m), np.minimum(n[i], m)
+                    asked = np.flatnonzero((vroot != uroot[i]) & (shorter >= SIMILAR * longer - 1e-9) & ((v > u[i]) | (r.block != r.other)))
+                    if len(asked):
+                        gap = np.abs(b[asked] - a[i]).sum(axis=1, dtype=np.int32)
+                        near = asked[gap <= 2 * np.floor((1 - SIMILAR) * longer[asked] + 1e-9)]
+                        if len(near):
+                            yield pd.DataFrame({"u": u[i], "v": v[near], "uroot": uroot[i], "vroot": vroot[near]})
+
+    # one pair of blocks is a few hundred kilobytes: few of them at a time
+    return left.join(right, ["entry", "other"]).drop("entry").mapInPandas(compare, "u long, v long, uroot long, vroot long").distinct()
 
 
 def _merged(classes: DataFrame, joined: DataFrame) -> DataFrame:
@@ -343,10 +376,11 @@ def _merged(classes: DataFrame, joined: DataFrame) -> DataFrame:
     return materialize(before.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
 
 
-def _cells_allow() -> Column:
+@F.pandas_udf(T.BooleanType())
+def _cells_allow(u: pd.Series, v: pd.Series, u_words: pd.Series, v_words: pd.Series) -> pd.Series:
     """One edit changes the counts of two cells by one each at most; counts stop at 255, which only lowers the difference."""
-    gap = F.aggregate(F.zip_with("u_cells", "v_cells", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
-    return gap <= 2 * F.floor(F.lit(1 - SIMILAR) * F.greatest("u_words", "v_words") + F.lit(1e-9))
+    a, b = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in (u, v))
+    return pd.Series(np.abs(a - b).sum(axis=1) <= 2 * np.floor((1 - SIMILAR) * np.maximum(u_words, v_words).to_numpy() + 1e-9))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
