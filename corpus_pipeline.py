@@ -18,24 +18,28 @@ from custlens.runtime import discard, materialize, stage_tables
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _with_whole_row(docs: DataFrame, *needed: str) -> DataFrame:
-    """The columns an operator needs, beside the row of `docs` in one column that no name can clash with."""
-    return docs.select(F.struct(*COLUMNS).alias("_document"), *needed)
+def _renamed(docs: DataFrame) -> DataFrame:
+    """The columns of documents under names that no statistic has."""
+    return docs.select(*[F.col(c).alias(f"_document_{c}") for c in COLUMNS])
+
+
+def _named_back(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.col(f"_document_{c}").alias(c) for c in COLUMNS])
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no base rule and no certified cutoff. Statistics for the fit are written without texts; the verdict takes them anew."""
     stats = materialize(quality_rules.with_statistics(docs.select("doc_id", "lang", "text"), keep_text=False))
     cutoffs = quality_rules.fit_cutoffs(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_rules.judge(quality_rules.with_statistics(_with_whole_row(docs, "lang", "text"), keep_text=False), cutoffs).where("kept").select("_document.*")
+    return _named_back(quality_rules.judge(quality_rules.with_statistics(_renamed(docs), "_document_text"), cutoffs, "_document_lang").where("kept"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is accepted. Statistics for the fit are written without texts; the verdict takes them anew."""
     stats = materialize(quality_classifier.with_statistics(docs.select("doc_id", "text"), keep_text=False))
     model = quality_classifier.fit_on(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_classifier.with_score(quality_classifier.with_statistics(_with_whole_row(docs, "text"), keep_text=False), model)
-    return scored.where(F.col("score") >= quality_classifier.ACCEPT).select("_document.*")
+    scored = quality_classifier.with_score(quality_classifier.with_statistics(_renamed(docs), "_document_text"), model)
+    return _named_back(scored.where(F.col("score") >= quality_classifier.ACCEPT))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
