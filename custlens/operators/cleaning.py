@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from custlens import config
 from custlens.functions.quantiles import exact_quantiles
+from custlens.runtime import materialize
 
 CLIPPED = ["Quantity", "Price"]
 
@@ -49,7 +50,8 @@ def winsor_bounds(
     valid = keep_valid(raw)
     if fit_before is not None:
         valid = valid.filter(invoice_time(valid) < F.lit(fit_before).cast("timestamp_ntz"))
-    return exact_quantiles(valid.select(*CLIPPED), {c: list(q) for c in CLIPPED})
+    # two narrow columns, written: the passes of the quantiles do not read and join the raw lines again
+    return exact_quantiles(materialize(valid.select(*CLIPPED)), {c: list(q) for c in CLIPPED})
 
 
 def clean(

@@ -144,7 +144,7 @@ WITH {RAW_SQL} SELECT CAST(year("InvoiceDate") AS INTEGER) AS year, count(*) AS
 def _(spark, d):
     raw = star.raw_lines(spark, d)
     older = raw.filter(F.col("InvoiceDate") < customers.moment(CUTOFF))
-    newer = raw.filter(F.col("InvoiceDate") >= customers.moment(CUTOFF))
+    newer = raw.filter(F.coalesce(F.col("InvoiceDate") >= customers.moment(CUTOFF), F.lit(True)))  # undated lines too
     both = retail.union_parts(retail.trim_names(older), retail.trim_names(newer))
     return both.groupBy(F.year("InvoiceDate").alias("year")).agg(F.count("*").alias("n_lines"), F.sum("Quantity").alias("units"))
 
