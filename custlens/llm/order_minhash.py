@@ -280,10 +280,12 @@ def _layer(entries: DataFrame, nodes: DataFrame, texts: DataFrame, classes: Data
         linked = placed.where("root is not null").select(F.explode("entries").alias("entry"), "id", "root")
         single = placed.where("root is null").select(F.explode("entries").alias("entry"), "id", F.col("id").alias("root"))
         listed = linked.groupBy("entry", "root").agg(F.min("id").alias("id")).select("entry", "id", "root").unionByName(single)
-    several = listed.groupBy("entry").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min(F.struct("id", "root")).alias("_first")).where("_low < _high")
+    several = listed.groupBy("entry").agg(F.min("root").alias("first_root"), F.max("root").alias("_high")).where("first_root < _high")
     # written, so that Spark knows its size and need not deal out all entries if it is small
-    several = materialize(several.select("entry", F.col("_first.id").alias("first"), F.col("_first.root").alias("first_root")))
+    several = materialize(several.select("entry", "first_root"))
     crossing = materialize(listed.join(several, "entry"))
+    # a class is listed once per entry: one row has the smallest root
+    crossing = crossing.join(crossing.where("root = first_root").select("entry", F.col("id").alias("first")), "entry")
     sizes = nodes.select("id", "_words")
     star = crossing.where("root <> first_root").select(F.col("first").alias("u"), F.col("id").alias("v"), F.col("first_root").alias("uroot"), F.col("root").alias("vroot")).distinct()
     star = star.join(sizes.select(F.col("id").alias("u"), F.col("_words").alias("_u")), "u").join(sizes.select(F.col("id").alias("v"), F.col("_words").alias("_v")), "v")
