@@ -163,6 +163,20 @@ def test_pairs_of_blocks_are_pruned(cloud):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_comparisons_are_dealt_to_tasks(spark):
+    """One-hot patterns come together in blocks, and the comparison does not end in one task when its rows are few."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(240, 2)), np.eye(4)[rng.integers(0, 4, 240)]], axis=1)
+    df = materialize(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id bigint, x array<double>"))
+    cut = neighbours.blocks(df, 20)
+    mixed = cut.packed.where("exists(sequence(2, 5), j -> lows[j] < highs[j])").count()
+    assert cut.packed.count() == 12 and mixed <= 3
+    found = neighbours.compare(cut, cut, 3)
+    assert found.count() == 720 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    got = found.orderBy("id", "place").toPandas()["distance"].to_numpy().reshape(-1, 3)
+    assert np.allclose(got, np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 1)[:, :3])
+
+
 def test_reconstruction(spark, supervised):
     features = supervised.drop("churn")
     losses = {r["bottleneck"]: r["loss"] for r in anomaly.loss_curve(features).collect()}
