@@ -79,6 +79,15 @@ def test_dbscan_salts_a_crowded_cell(cloud, monkeypatch):
     assert (dbscan.dbscan(df, 0.3003, 6).orderBy("id").toPandas()["cluster"].to_numpy() == labels).all()
 
 
+def test_dbscan_of_copies_alone(spark):
+    """More copies than the k-distance asks for make eps 0: each point with enough copies is a cluster."""
+    rows = [(i, [float(i // 6), 1.0]) for i in range(18)] + [(20, [9.0, 9.0]), (21, [9.0, 9.0])]
+    df = materialize(spark.createDataFrame(rows, "id bigint, x array<double>"))
+    assert segments.eps_heuristic(df, 4, 0.5) == 0
+    got = {r["id"]: (r["cluster"], r["core"]) for r in dbscan.dbscan(df, 0.0, 5).collect()}
+    assert got == {i: (i // 6, True) for i in range(18)} | {20: (-1, False), 21: (-1, False)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (102, 101)]
     got = {r["node"]: r["root"] for r in dbscan.components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
