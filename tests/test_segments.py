@@ -46,6 +46,19 @@ def test_silhouettes(cloud, rows):
     assert neighbours.silhouette(df.withColumn("cluster", F.lit(0))).first()[0] is None
 
 
+def test_silhouette_blocks_grow_with_the_table(cloud, monkeypatch):
+    """The blocks that are moved grow with the table; each pair of them, of an even or odd number, counts once."""
+    p, dist, df = cloud
+    labels = (p[:, 0] > 1.5).astype(int)
+    marked = df.withColumn("cluster", (F.col("x")[0] > 1.5).cast("int"))
+    used, cut = [], neighbours.blocks
+    monkeypatch.setattr(neighbours, "blocks", lambda points, rows, *rest: used.append(cut(points, rows, *rest)) or used[-1])
+    for spread in (4, 5):
+        monkeypatch.setattr(neighbours, "SPREAD", spread)
+        assert neighbours.silhouette(marked, 7).first()[0] == pytest.approx(brute_silhouette(dist, labels))
+    assert {u.count % 2 for u in used} == {0, 1} and max(u.count for u in used) <= 6
+
+
 def brute_dbscan(dist, eps, m):
     near = dist <= eps
     core = near.sum(1) >= m
