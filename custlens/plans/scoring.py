@@ -12,10 +12,10 @@ from custlens.operators import anomaly, decisions, encoding, neighbours, quality
 from custlens.operators.cluster_metrics import as_points, profile_clusters
 from custlens.operators.eda import churn_overview, profile_minmax
 from custlens.plans.lines import (
-    AUC_SQL, CLEAN_SQL, FRAME_SQL, FULL_SQL, LABEL_SQL, PRE_SQL, SEGMENT_SQL, SPLIT_SQL, basket_lines, clean_lines, frame, full_features,
+    AUC_SQL, CLEAN_SQL, FRAME_SQL, FULL_SQL, LABEL_SQL, PRE_SQL, SEGMENT_SQL, SPLIT_SQL, feature_lines, frame, full_features,
     given_segments, labels, pre_features, split_frame, stored_frame,
 )
-from custlens.plans.mining import ALL_SQL, DESCRIBE_SQL, ORDER, mined_rules, names_sql
+from custlens.plans.mining import ALL_SQL, DESCRIBE_SQL, ORDER, described_rules, names_sql
 from custlens.plans.registry import register
 from custlens.runtime import materialize, shared_folder
 from custlens.sources import runlog
@@ -208,7 +208,7 @@ WITH {PRE_SQL},{LABEL_SQL},{SEGMENT_SQL} SELECT cluster, count(*) AS n_customers
 FROM segments JOIN labelled USING ("CustomerID") LEFT JOIN features USING ("CustomerID") GROUP BY 1""",
           {"churn_rate": 9, "Recency_mean": 6, "Frequency_mean": 6, "Monetary_mean": 3})
 def _(spark, d):
-    lines = clean_lines(spark, d)
+    lines = feature_lines(spark, d)
     return decisions.segment_synthesis(given_segments(spark, d), labels(spark, d, lines), pre_features(spark, d, lines))
 
 
@@ -273,10 +273,9 @@ TABLE_DIGITS = {"Monetary": 4, "avg_basket_value": 4, "churn_probability": 9, "s
 
 def decision_inputs(spark, d) -> dict[str, DataFrame]:
     """Stage tables of the decision flow, each written once."""
-    features, known = materialize(pre_features(spark, d)), materialize(labels(spark, d))
-    segments = given_segments(spark, d)
-    typed = basket_lines(spark, d, "p_type")
-    named = rules.describe_rules(rules.top_rules(rules.prune(mined_rules(spark, d))), rules.code_descriptions(typed))
+    lines = feature_lines(spark, d)
+    features, known = materialize(pre_features(spark, d, lines)), materialize(labels(spark, d, lines))
+    segments, named = given_segments(spark, d), described_rules(spark, d)
     return {
         "features": features, "labels": known, "segments": segments, "scores": decisions.scorecard_scores(features),
         "segment_rates": decisions.churn_by_segment(known, segments), "anomalies": far_customers(features), "rules": named,

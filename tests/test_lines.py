@@ -141,3 +141,32 @@ def test_sources_round_trip(spark, raw, tmp_path):
     assert {r["Invoice"] for r in cleaning.clean(loaded).collect()} == {"5001", "5002", "5003", "5004", "5005"}
     with pytest.raises(Exception):
         retail.load_raw(spark, f"{tmp_path}/absent.csv")
+
+
+def _star(spark, folder, parts):
+    rows = {
+        "nation": ([(1, "Chile")], "n_nationkey int, n_name string"),
+        "supplier": ([(7, 1)], "s_suppkey bigint, s_nationkey int"),
+        "part": (parts, "p_partkey bigint, p_name string, p_type string, p_brand string"),
+        "orders": ([(i, 5, datetime(2000, i, 3)) for i in (1, 2, 3)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+        "lineitem": ([(1, 9, 7, 2.0, 10.0, "N"), (1, 8, 7, 4.0, 12.0, "N"), (2, 8, 7, 1.0, 4.0, "N"), (3, 9, 7, 1.0, 5.0, "R")],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_returnflag string"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_features_and_labels_read_the_joined_lines_once(spark, tmp_path, copies):
+    """Features do not join the raw tables once per branch; a part key that repeats still repeats its lines."""
+    from custlens.plans import lines as plans
+
+    folder = str(tmp_path)
+    _star(spark, folder, [(9, "pen", "t", "b")] * copies + [(8, "ink", "t", "b")])
+    features = plans.pre_features(spark, folder)
+    assert not any("lineitem" in f or "orders" in f for f in features.inputFiles())
+    whole = customers.pre_cutoff_features(plans.clean_lines(spark, folder), plans.CUTOFF)
+    assert features.collect() == whole.collect()
+    assert features.first()["avg_basket_size"] == pytest.approx((2 * copies + 4 + 1) / 2, abs=0.1)
+    assert not any("supplier" in f or "part.parquet" in f for f in plans.labels(spark, folder).inputFiles())
+    assert plans.labels(spark, folder).collect() == customers.churn_labels(plans.basket_lines(spark, folder, "l_partkey"), plans.CUTOFF, plans.WINDOW).collect()
