@@ -206,3 +206,20 @@ def test_reconstruction(spark, supervised):
     assert errors.agg(F.avg("reconstruction_error")).first()[0] == pytest.approx(losses[4], rel=1e-6)
     assert anomaly.reconstruction_errors(features, 6).agg(F.max("reconstruction_error")).first()[0] < 1e-9
     assert losses[0] == pytest.approx(1.0) and list(losses.values()) == sorted(losses.values(), reverse=True)
+
+
+def test_silhouettes_of_a_sweep_read_distinct_points(spark, monkeypatch):
+    """Copies count by their weight: the sweep scores 3 distinct points, not 120 rows, and gets what all rows give."""
+    from custlens.operators import cluster_metrics
+
+    rows = [(i, [[0.0, 0.0], [0.0, 1.0], [9.0, 9.0]][min(i % 4, 2)]) for i in range(120)]
+    points = spark.createDataFrame(rows, "id bigint, x array<double>")
+    seen, plain = [], cluster_metrics.silhouette_squared
+    monkeypatch.setattr(cluster_metrics, "silhouette_squared", lambda df, *more: seen.append(df.count()) or plain(df, *more))
+    (swept,) = segments.k_sweep(points, [2], restarts=2).collect()
+    stable = segments.stability(points, 2, seeds=[1], restarts=2).first()
+    assert seen == [3, 3]
+    labelled, inertia = segments.kmeans(points, 2, restarts=2)
+    want = plain(labelled).first()[0]
+    assert (swept["silhouette"], swept["inertia"], stable["silhouette"]) == pytest.approx((want, inertia, want), rel=1e-12)
+    assert stable["cluster_sizes"] == [60, 60]
