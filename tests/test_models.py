@@ -134,3 +134,12 @@ def test_shapley_adds_up_and_matches_a_linear_model(spark, trained):
     top = attribution.ranked(values).first()["feature"]
     assert top == "Recency"
     assert cluster_metrics is not None
+
+
+def test_a_lone_fit_uses_several_tasks(spark):
+    """10,000 rows are three tasks of a network or shallow forest that is fitted alone; few rows stay one task."""
+    rows = spark.range(10_000)
+    assert models.Prepared(None, rows, rows, 10_000, 1).spread().rdd.getNumPartitions() == 3
+    assert models.Prepared(None, rows, rows, 4096, 1).spread().rdd.getNumPartitions() == 1
+    assert models.Prepared(None, rows, rows, 72_864, 1).spread().rdd.getNumPartitions() == models.LONE_TASKS
+    assert models.Prepared(None, rows, rows, 6_000_000, 1).spread().rdd.getNumPartitions() == 120
