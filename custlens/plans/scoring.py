@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custlens import config
-from custlens.operators import anomaly, decisions, encoding, neighbours, quality, rules, scoring, simple_models, splits
+from custlens.operators import anomaly, decisions, encoding, neighbours, quality, scoring, simple_models, splits
 from custlens.operators.cluster_metrics import as_points, profile_clusters
 from custlens.operators.eda import churn_overview, profile_minmax
 from custlens.plans.lines import (
