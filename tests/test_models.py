@@ -105,6 +105,26 @@ def test_smote_balance_and_convexity(spark):
     assert key(out) == key(again)
 
 
+def test_smote_searches_neighbours_of_giving_rows_only(spark, monkeypatch):
+    """60 and 63 rows: three rows give a new one, so three points are looked up; the new rows are those of a search for all."""
+    rng = np.random.default_rng(5)
+    p = np.round(rng.normal(size=(123, 2)), 3)
+    df = materialize(spark.createDataFrame([(i, int(i < 60), [float(v) for v in p[i]]) for i in range(123)], "id bigint, label int, x array<double>"))
+    asked, search = [], smote.nearest
+
+    def counted(query, train, k):
+        asked.append(query.count())
+        return search(query, train, k)
+
+    monkeypatch.setattr(smote, "nearest", counted)
+    born = smote.new_rows(df, k=5).collect()
+    assert asked == [3] and len(born) == 3
+    for r in born:
+        near = sorted((((p[r["id"]] - p[j]) ** 2).sum(), j) for j in range(60))[1:6]
+        assert r["neighbour"] in [j for _, j in near]
+        assert np.allclose(r["x"], p[r["id"]] + (p[r["neighbour"]] - p[r["id"]]) * r["u"])
+
+
 def test_short_search(supervised):
     board, fitted, split = models.train_classical(supervised, {"LogisticRegression": [{"C": 0.1}, {"C": 10.0}], "NaiveBayes": [{}]}, k=3)
     rows = board.collect()
