@@ -3,7 +3,7 @@
 Chains are sentences: words up to a line's end or a full stop. A word has two states, clean or toxic; its features are its
 letters, their first three and last three, hashed to `BUCKETS` weights. Labels are given per document, so words are labelled
 first: toxic is a word of a toxic document whose letters stand in toxic documents far more often than in clean ones, by a
-likelihood-ratio test over all buckets on *different* contexts (neighbour, word, neighbour), so that copies of a text count
+likelihood-ratio test over all buckets on *different* contexts (neighbour, word, neighbour) of all words of the labelled texts, so that copies of a text count
 once. The field is then fitted on these labelled words by its exact gradient, expected minus observed counts by
 forward-backward. Scoring runs forward-backward over every word of every text; words whose marginal is at least `MARGINAL`
 make up the offending spans. The sum of a text's squared marginals (plain ones would add up to something in any long text)
@@ -11,7 +11,7 @@ and their maximum go through a logistic curve fitted on whole labelled texts, we
 
 With two states, forward and backward need one number each, the ratio of both states, so a batch is one recursion over
 places for all chains at once. The fit sees at most `fit_rows` labelled texts, half of each label, and `fit_pieces` of their
-sentences in pieces of up to `PIECE` words; only this bounded sample goes to the driver. Scoring covers all rows in one
+sentences in pieces of up to `PIECE` words, toxic ones with a toxic word first; only this bounded sample and the counts per bucket go to the driver. Scoring covers all rows in one
 narrow pass, and ships one array of weights.
 
 Defined cases: null and texts without words have marginals of zero words and get the score of that. Null, contradicting or
@@ -136,7 +136,11 @@ def toxic_buckets(letters: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -
     before = np.where(first, -1, np.concatenate([[-1], letters[:-1]]))
     after = np.concatenate([np.where(first, -1, letters)[1:], [-1]])
     context = np.unique(np.column_stack([before, letters, after, toxic]), axis=0)
-    in_toxic, in_clean = (np.bincount(context[context[:, 3] == y, 1], minlength=BUCKETS) for y in (1, 0))
+    return _marking(*(np.bincount(context[context[:, 3] == y, 1], minlength=BUCKETS) for y in (1, 0)))
+
+
+def _marking(in_toxic: np.ndarray, in_clean: np.ndarray) -> np.ndarray:
+    """Buckets that mark toxic texts, by their numbers of different contexts."""
     a, b = max(1, in_toxic.sum()), max(1, in_clean.sum())
     share, usual = in_toxic / np.maximum(in_toxic + in_clean, 1), a / (a + b)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -226,6 +230,17 @@ def _pieces(sample: DataFrame) -> DataFrame:
     return sample.select("_label", "_text").mapInArrow(run, "_label int, features array<int>")
 
 
+LETTERS = "transform(sequence(0, size(features) div 3 - 1), i -> features[3 * i])"
+CONTEXTS = "transform(letters, (w, i) -> struct(if(i > 0, letters[i - 1], -1) AS before, w, if(i < size(letters) - 1, letters[i + 1], -1) AS after))"
+
+
+def _context_counts(pieces: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Different contexts of each bucket of letters in toxic and in clean pieces. One row per bucket goes to the driver."""
+    each = pieces.select("_label", F.expr(LETTERS).alias("letters")).select("_label", F.explode(F.expr(CONTEXTS)).alias("c")).select("_label", "c.*").distinct()
+    found = each.groupBy("w").agg(F.count_if(F.col("_label") == 1).alias("toxic"), F.count_if(F.col("_label") == 0).alias("clean")).toPandas()
+    return tuple(np.bincount(found["w"].to_numpy(np.int64), found[c].to_numpy(float), BUCKETS) for c in ("toxic", "clean"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", value: str = "toxic", fit_rows: int = 8_000, fit_pieces: int = 40_000) -> Scorer:
     """Fitted on at most `fit_rows` labelled texts that are not held out, and `fit_pieces` pieces of their sentences."""
     learn = materialize(agreed_labels(labels.where(~held_out(key)), value, key))
@@ -238,14 +253,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = materialize(one.select("_id", "_label", F.col("_one._text").alias("_text")))
 
     pieces = materialize(_pieces(sample))
-    of = {r._label: r["count"] for r in pieces.groupBy("_label").count().collect()}
-    hashed = F.xxhash64("features", F.lit(17))
-    taken = pd.concat([_draw(pieces.where(F.col("_label") == y), hashed, fit_pieces // 2, of.get(y, 0)).orderBy(hashed).limit(fit_pieces // 2).toPandas() for y in (0, 1)])
+    seeds = np.zeros(BUCKETS, bool)
+    seeds[_marking(*_context_counts(pieces))] = True
+    # pieces with a toxic word come first: a rare word would have too few in a plain draw
+    seeded = F.arrays_overlap(F.expr(LETTERS), F.lit(np.flatnonzero(seeds).tolist()).cast("array<int>")) & (F.col("_label") == 1)
+    pieces = pieces.withColumn("_seeded", seeded)
+    of = {(r._label, r._seeded): r["count"] for r in pieces.groupBy("_label", "_seeded").count().collect()}
+    hashed, parts = F.xxhash64("features", F.lit(17)), []
+    for y, first, n in ((1, True, fit_pieces // 2), (1, False, fit_pieces // 2 - min(fit_pieces // 2, of.get((1, True), 0))), (0, False, fit_pieces // 2)):
+        drawn = _draw(pieces.where((F.col("_label") == y) & (F.col("_seeded") == first)), hashed, n, of.get((y, first), 0))
+        parts.append(drawn.orderBy(hashed).limit(n).select("_label", "features").toPandas())
+    taken = pd.concat(parts)
     features = np.concatenate([np.zeros(0, np.int32), *taken["features"]]).reshape(-1, FEATURES)
     lengths = np.array([len(f) // FEATURES for f in taken["features"]], np.int64)
     toxic = np.repeat(taken["_label"].to_numpy(bool), lengths)
-    seeds = np.zeros(BUCKETS, bool)
-    seeds[toxic_buckets(features[:, 0], lengths, toxic)] = True
     model = fit_field(features, lengths, (toxic & seeds[features[:, 0]]).astype(np.int64))
 
     seen = with_marginals(sample, model, "_text").select("_label", "mass", "top").toPandas()

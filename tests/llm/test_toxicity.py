@@ -119,3 +119,23 @@ def test_fit_sample_is_bounded(spark):
     assert few.count() == 30
     model = tx.fit(docs, known, fit_rows=200, fit_pieces=600)
     assert tx.with_score(docs, model).where(f"score >= {tx.ACCEPT}").count() == pytest.approx(sum("Grobian" in t or "lump" in t or "SCHUFT" in t for _, t in rows), abs=4)
+
+
+def test_rare_toxic_words_of_short_texts_are_learnt(spark):
+    """One toxic text in ten is short and has a word of its own, whose sentences a plain draw of pieces hardly meets."""
+    rng = random.Random(3)
+    word = lambda: "w" + "".join(rng.choice("abcdefgh") for _ in range(3))
+    rows, labels = [], []
+    for i in range(1200):
+        bad, short = i % 2 == 1, i % 20 in (0, 1)
+        sentences = [" ".join(word() for _ in range(6)) + "." for _ in range(1 if short else 25)]
+        if bad:
+            sentences[0] = f"{word()} {'qrrt' if short else 'xnasty'} " + sentences[0]
+        rows.append((i, " ".join(sentences)))
+        labels.append((i, int(bad)))
+    docs, truth = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = tx.fit(docs, truth, fit_pieces=600)
+    scored = tx.with_score(docs, model).join(truth, "doc_id").where(tx.held_out()).toPandas()
+    clean = scored[scored.toxic == 0]["score"].max()
+    rare = scored[(scored.toxic == 1) & (scored.doc_id % 20 == 1)]["score"]
+    assert len(rare) > 10 and (rare > clean).all()
