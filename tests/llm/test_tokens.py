@@ -154,3 +154,14 @@ def test_conversation_without_roles(spark):
     (row,) = packing.conversation_examples(df).collect()
     assert [(p.text, p.loss) for p in row.parts] == [(None, True), ("b", False)]
     assert packing.conversation_examples(df.where(F.lit(False))).count() == 0
+
+
+def test_hash_tables_of_a_worker_do_not_pile_up():
+    """A worker keeps one pair of tables for each of the seeds used last, whatever sizes and seeds it met."""
+    table, powers, inverse = (x.copy() for x in bpe.hash_tables(1 << 20, 5))
+    for n in (1 << 19, 1 << 21, 1 << 20):
+        for seed in (3, 4, 5):
+            t, p, i = bpe.hash_tables(n, seed)
+            assert len(p) > n and len(i) > n
+    assert (t == table).all() and (p[: len(powers)] == powers).all() and (i[: len(inverse)] == inverse).all()
+    assert sum(len(x[1]) for x in bpe._hash_tables.values()) <= bpe.KEPT_TABLES * ((1 << 22) + 1)
