@@ -275,7 +275,7 @@ def decision_inputs(spark, d) -> dict[str, DataFrame]:
     """Stage tables of the decision flow, each written once."""
     lines = feature_lines(spark, d)
     features, known = materialize(pre_features(spark, d, lines)), materialize(labels(spark, d, lines))
-    segments, named = given_segments(spark, d), described_rules(spark, d)
+    segments, named = given_segments(spark, d), described_rules(spark, d, lines)
     return {
         "features": features, "labels": known, "segments": segments, "scores": decisions.scorecard_scores(features),
         "segment_rates": decisions.churn_by_segment(known, segments), "anomalies": far_customers(features), "rules": named,

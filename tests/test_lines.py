@@ -170,3 +170,16 @@ def test_features_and_labels_read_the_joined_lines_once(spark, tmp_path, copies)
     assert features.first()["avg_basket_size"] == pytest.approx((2 * copies + 4 + 1) / 2, abs=0.1)
     assert not any("supplier" in f or "part.parquet" in f for f in plans.labels(spark, folder).inputFiles())
     assert plans.labels(spark, folder).collect() == customers.churn_labels(plans.basket_lines(spark, folder, "l_partkey"), plans.CUTOFF, plans.WINDOW).collect()
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_baskets_of_the_decision_flow_read_the_joined_lines(spark, tmp_path, copies):
+    """Rules of the decision table take their baskets from the written lines: orders are joined once."""
+    from custlens.plans import lines as plans
+
+    folder = str(tmp_path)
+    _star(spark, folder, [(9, "pen ", "t", "b")] * copies + [(8, " ink", "u", "b")])
+    typed = plans.typed_lines(spark, folder, plans.feature_lines(spark, folder))
+    assert (copies > 1) == any("orders" in f for f in typed.inputFiles())
+    whole = plans.basket_lines(spark, folder, "p_type").select("Invoice", "StockCode", "Description")
+    assert sorted(typed.collect()) == sorted(whole.collect())

@@ -95,3 +95,11 @@ def test_segment_skip_reasons(spark, baskets6):
         pair = lambda d: {(tuple(r["antecedents"]), tuple(r["consequents"]), round(r["lift"], 9)) for r in d.collect()}
         assert pair(per.filter(F.col("cluster") == c)) == pair(want)
     assert all(r["skip_reason"] is None for r in status.collect())
+
+
+def test_apriori_counts_a_basket_once(spark):
+    """A row that comes twice is one item of its basket: support counts baskets, not rows."""
+    rows = [("x", str(i), c) for i, b in enumerate(["PQ", "PQ", "P", "R"]) for c in b]
+    long = spark.createDataFrame(rows * 2, "grp string, Invoice string, item string")
+    assert found(baskets.apriori(long, 0.25)) == {"P": 3, "Q": 2, "R": 1, "PQ": 2}
+    assert {r["n_baskets"] for r in baskets.apriori(long, 0.25).collect()} == {4}
