@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from custlens.llm.bpe import CHARS_AT_ONCE, batches_of_texts
-from custlens.runtime import ship_package
+from custlens.runtime import ship_package, tidy
 
 
 def add_columns(df: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[list], list[pa.Array]], size: int = CHARS_AT_ONCE, keep_text: bool = True) -> DataFrame:
@@ -33,4 +33,4 @@ def add_columns(df: DataFrame, text: str, fields: Sequence[T.StructField], compu
                 columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays([*columns, *compute(texts[lo:hi])], names=[*kept, *[f.name for f in fields]])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)

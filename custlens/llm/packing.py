@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from custlens.llm import bpe
 from custlens.llm.bpe_codec import encode_batch
-from custlens.runtime import ship_package
+from custlens.runtime import ship_package, tidy
 
 PIECE_FIELDS = "start long, length long, doc_tokens long, sequence_id long, segment int, offset long, loss_tokens long, ids binary"
 
@@ -198,7 +198,7 @@ def pack(df: DataFrame, vocabulary_path: str, end_id: int, key: str = "doc_id",
 
         return rows(sequences())
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
 
 
 def document_parts(text: str = "text"):
