@@ -92,3 +92,27 @@ def test_shared_forests_score_as_cut_ones(prepared):
     for depth, found in ((30, deep), (3, shallow)):
         scored = models.CutTrees(nodes, depth).transform(coded).select(models.positive_score().alias("score"), F.col("churn").cast("double").alias("label"))
         assert found == pytest.approx(models._auc_of(scored))
+
+
+def test_best_cuts_by_counts_and_by_sorts_agree():
+    """Few nodes are cut by counts of all their bins, many by small sorts of the rows; both equal a plain search."""
+    rng = np.random.default_rng(4)
+    n, m, bins = 400, 3, 12
+    cells, local, label = rng.integers(0, bins, (m, n)).astype(np.uint8), rng.integers(0, 9, n), rng.integers(0, 2, n)
+    weight = rng.integers(1, 4, n)
+    t = np.stack([np.bincount(local, weight * (label == c), 9) for c in (0, 1)])
+    both = weight << np.where(label == 1, forest.HALF, 0)
+    dense = forest._cuts(cells, local, both, t, 5, bins)
+    sparse = forest._cuts(cells, local, both, t, 5, 1 << 20)  # so many bins that none of their counts are held
+    assert all(np.array_equal(a, b) for a, b in zip(dense, sparse))
+    for node in range(9):
+        best = (-np.inf, 0, 0)
+        for f in range(m):
+            for b in range(bins):
+                l = [(weight * (label == c) * (local == node) * (cells[f] <= b)).sum() for c in (0, 1)]
+                r = [t[c, node] - l[c] for c in (0, 1)]
+                if min(sum(l), sum(r)) >= 5:
+                    gain = sum(v * v for v in l) / sum(l) + sum(v * v for v in r) / sum(r) - (t[:, node] ** 2).sum() / t[:, node].sum()
+                    if gain > best[0]:
+                        best = (gain, f, b)
+        assert (dense[2][node], dense[0][node], dense[1][node]) == pytest.approx(best)
