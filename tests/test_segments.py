@@ -223,3 +223,72 @@ def test_silhouettes_of_a_sweep_read_distinct_points(spark, monkeypatch):
     want = plain(labelled).first()[0]
     assert (swept["silhouette"], swept["inertia"], stable["silhouette"]) == pytest.approx((want, inertia, want), rel=1e-12)
     assert stable["cluster_sizes"] == [60, 60]
+
+
+def test_silhouette_of_many_clusters_leaves_few_rows(spark, monkeypatch):
+    """Clusters inside one block are settled there: what leaves the comparison does not grow with points times clusters."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(240, 3)), 3)
+    names = np.concatenate([np.arange(240 - 60) // 2 + 5, np.full(40, 3), np.full(20, -1)])
+    rows = [(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, names))]
+    df = spark.createDataFrame(rows + [(1000, x[0].tolist(), int(names[0]))], "id bigint, x array<double>, cluster int")
+    kept = np.concatenate([names != -1, [True]])
+    points, labels = np.vstack([x, x[:1]])[kept], np.append(names, names[0])[kept]
+    dist = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    monkeypatch.setattr(neighbours, "FEW_CLUSTERS", 8)
+    left, plain = [], neighbours._to_clusters
+    monkeypatch.setattr(neighbours, "_to_clusters", lambda *a: (left.append(sum(map(len, found := list(plain(*a))))), iter(found))[1])
+    assert neighbours.silhouette(df, 60).first()[0] == pytest.approx(brute_silhouette(dist, labels))
+    ids = np.arange(60)
+    sent = sum(map(len, plain(ids, x[:60], names[:60], x[60:120], names[60:120], np.ones(60), np.full(60, 2), 16)))
+    assert sent == 60  # 60 points and 30 clusters: one row a point
+
+
+def test_indices_of_many_clusters(spark):
+    """Rows against all of many clusters are arrays of bounded size, with the values of the expressions for few."""
+    rng = np.random.default_rng(9)
+    names = np.concatenate([np.arange(100), np.arange(100), np.arange(60)])
+    x = rng.normal(size=(len(names), 2))
+    df = spark.createDataFrame([(i, v.tolist(), int(c), 1.0) for i, (v, c) in enumerate(zip(x, names))], "id bigint, x array<double>, cluster int, w double")
+    dist = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    plan = cluster_metrics.silhouette_squared(df)._jdf.queryExecution().toString()
+    assert "MapInPandas" in plan
+    assert cluster_metrics.silhouette_squared(df).first()[0] == pytest.approx(brute_silhouette(dist, names))
+    assert cluster_metrics.silhouette_squared(df, "w").first()[0] == pytest.approx(brute_silhouette(dist, names))
+    center = np.array([x[names == c].mean(axis=0) for c in np.unique(names)])
+    scatter = np.array([np.sqrt(((x[names == c] - m) ** 2).sum(axis=1)).mean() for c, m in zip(np.unique(names), center)])
+    apart = np.sqrt(((center[:, None] - center[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(apart, np.inf)
+    worst = ((scatter[:, None] + scatter[None]) / apart).max(axis=1)
+    assert cluster_metrics.davies_bouldin(df).first()[0] == pytest.approx(worst.mean())
+
+
+def test_few_edges_are_one_task(spark, monkeypatch):
+    """Components of a small graph need no rounds of joins, and equal those of the rounds."""
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))], "u bigint, v bigint")
+    one = dbscan.components(df)
+    assert "MapInPandas" in one._jdf.queryExecution().toString()
+    found = sorted(map(tuple, one.collect()))
+    monkeypatch.setattr(dbscan, "LAST_EDGES", 0)
+    assert found == sorted(map(tuple, dbscan.components(df).collect()))
+
+
+def test_ward_in_one_task_holds_some_rows_of_the_costs(monkeypatch):
+    rng = np.random.default_rng(11)
+    x, w = rng.normal(size=(90, 3)), rng.integers(1, 5, 90).astype(float)
+    whole = [m.to_numpy() for m in hierarchy._mutual(np.arange(90), x.copy(), w.copy(), np.zeros(90))]
+    shapes, plain = [], hierarchy._squared
+    monkeypatch.setattr(hierarchy, "TILE_CELLS", 500)
+    monkeypatch.setattr(hierarchy, "_squared", lambda a, b: shapes.append(len(a) * len(b)) or plain(a, b))
+    tiled = [m.to_numpy() for m in hierarchy._mutual(np.arange(90), x.copy(), w.copy(), np.zeros(90))]
+    assert max(shapes) <= 500 and all(np.array_equal(a, b) for a, b in zip(whole, tiled))
+
+
+def test_points_are_written_before_they_are_cut_into_blocks(spark, monkeypatch):
+    """Both sides of a search are read many times: what makes them runs once."""
+    seen, cut = [], neighbours.blocks
+    monkeypatch.setattr(neighbours, "blocks", lambda points, *rest: seen.append(points._jdf.queryExecution().optimizedPlan().toString()) or cut(points, *rest))
+    df = spark.createDataFrame([(i, [float(i % 7), float(i // 7)]) for i in range(40)], "id bigint, x array<double>")
+    assert neighbours.nearest(df, df, 3).count() == 120
+    assert len(seen) == 2 and not any("Window" in p or "Aggregate" in p for p in seen)
