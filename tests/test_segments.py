@@ -292,3 +292,10 @@ def test_points_are_written_before_they_are_cut_into_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, [float(i % 7), float(i // 7)]) for i in range(40)], "id bigint, x array<double>")
     assert neighbours.nearest(df, df, 3).count() == 120
     assert len(seen) == 2 and not any("Window" in p or "Aggregate" in p for p in seen)
+
+
+def test_lloyd_steps_read_points_as_columns(spark):
+    df = spark.createDataFrame([([0.0, 1.0], 2.0), ([3.0, 1.0], 1.0), ([1.0, 1.0], 1.0)], "x array<double>, weight double")
+    step = segments.lloyd_sums(df, {0: np.array([[0.0, 1.0], [2.0, 1.0]])})  # the last point is as near to both: the first has it
+    assert "MapInArrow" in step._jdf.queryExecution().toString()
+    assert sorted((r["cluster"], r["n"], r["cost"], r["total"]) for r in step.collect()) == [(0, 3.0, 1.0, [1.0, 3.0]), (1, 1.0, 1.0, [3.0, 1.0])]
