@@ -299,3 +299,12 @@ def test_lloyd_steps_read_points_as_columns(spark):
     step = segments.lloyd_sums(df, {0: np.array([[0.0, 1.0], [2.0, 1.0]])})  # the last point is as near to both: the first has it
     assert "MapInArrow" in step._jdf.queryExecution().toString()
     assert sorted((r["cluster"], r["n"], r["cost"], r["total"]) for r in step.collect()) == [(0, 3.0, 1.0, [1.0, 3.0]), (1, 1.0, 1.0, [3.0, 1.0])]
+
+
+def test_grand_mean_is_computed_once(spark, monkeypatch):
+    """Not again for each cluster: it is written beside the clusters."""
+    seen, plain = [], cluster_metrics.materialize
+    monkeypatch.setattr(cluster_metrics, "materialize", lambda df: seen.append(df.columns) or plain(df))
+    df = spark.createDataFrame([(0, [0.0]), (0, [2.0]), (1, [10.0]), (1, [12.0])], "cluster int, x array<double>")
+    assert cluster_metrics.calinski_harabasz(df).first()[0] == pytest.approx(50.0)
+    assert any("mean" in c for c in seen)
